@@ -5,6 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import numpy as np
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,3 +71,26 @@ class TwoGenerationCache:
                 self.old, self.young = self.young, {}
             self.young[key] = hit
         return hit
+
+
+class WordHasher:
+    """64-bit hashes of words (bytes), remembered up to a bound."""
+
+    def __init__(self, limit: int = 600_000, seed: int = 0) -> None:
+        self.limit, self.seed, self.known = limit, seed, {}
+
+    def hashes(self, words: list[bytes]) -> np.ndarray:
+        known = self.known
+        new = set(words).difference(known)
+        if len(known) + len(new) > self.limit:
+            known.clear()
+            new = set(words)
+        make, seed = xxhash.xxh3_64_intdigest, self.seed
+        for word in new:
+            known[word] = make(word, seed)
+        return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+
+
+def ascii_lower_words(text: str | None) -> list[bytes]:
+    """Words [^\\x20\\x09-\\x0D]+ of a whole text with A-Z lower-cased."""
+    return text.encode("utf-8", "replace").lower().split() if text else []
