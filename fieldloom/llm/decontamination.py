@@ -7,8 +7,8 @@ outputs of a walk for each table, and item-sized windows that share a table's ke
 The number of tables follows from the recall aimed at. Every candidate is then verified by the exact edit
 distance between the item and the text around it.
 
-Windows start at each word of a region in which some three consecutive words are also in an item. No window
-elsewhere can be near: an item of n words with at most n div 5 edits keeps an unedited run of three (SEED_WORDS).
+Windows start only where an item can be near. An item of n words with k edits keeps n - 2 - 3 k of its runs of
+three words (the q-gram lemma), so a window with fewer runs that are in some item of its size is passed over.
 """
 
 from __future__ import annotations
@@ -31,6 +31,7 @@ SEED_WORDS = 3
 #: Sampled outputs of a table, the recall aimed at, and the share of outputs that near windows surely share.
 SAMPLED, RECALL, AGREEMENT = 2, 0.999, 0.35
 WALKS = 3
+STARTS_AT_ONCE = 1 << 16
 #: Items that are sent to the executors at a time; longer lists take further passes over the documents.
 ITEMS_PER_PASS, CHARS_PER_PASS = 20_000, 16 << 20
 WORDS = regex.compile(rb"[0-9a-z\x80-\xff]+")
@@ -66,7 +67,11 @@ def mixed(x: np.ndarray, salt: int) -> np.ndarray:
 def walk(hashed: np.ndarray, starts: np.ndarray, stop: np.ndarray, steps: int, salt: int) -> np.ndarray:
     """The CGK outputs of windows: one row for each step, one column for each start; 0 behind a window's stop."""
     out = np.zeros((steps, len(starts)), np.uint64)
-    at = starts.astype(np.int64).copy()
+    if not len(starts):
+        return out
+    base = int(starts.min())
+    hashed, stop = hashed[base : int(stop.max())], stop - base
+    at = starts.astype(np.int64) - base
     bits = mixed(hashed, salt + 1)
     for j in range(steps):
         if j and j % 64 == 0:
@@ -94,10 +99,18 @@ def edit_distance_within(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
 
 @dataclass
 class ItemClass:
-    """Items of about the same length: their tables, and the steps that a window of that size is walked."""
+    """Items of about the same length: their tables, and the steps that a window of that size is walked.
+
+    seeds are the items' runs of q words, of which every near window holds `least` within `span` words; sieve has
+    a bit for each 22-bit prefix of a seed, to pass over nearly all of a text at once."""
 
     steps: int
     longest: int
+    q: int
+    seeds: np.ndarray
+    least: int
+    span: int
+    sieve: np.ndarray
     tables: list[tuple[int, tuple[int, ...], np.ndarray, np.ndarray]] = field(default_factory=list)
 
 
@@ -110,24 +123,19 @@ class ItemIndex:
         n_tables = math.ceil(math.log(1 - recall) / math.log(1 - AGREEMENT**SAMPLED))
         rng = np.random.default_rng(seed)
         classes: dict[int, list[int]] = {}
-        grams: dict[int, list[np.ndarray]] = {}
         for at, (_, h) in enumerate(self.items):
             classes.setdefault(len(h).bit_length(), []).append(at)
-            q = min(SEED_WORDS, len(h))
-            grams.setdefault(q, []).append(seeds(h, q))
-        self.seeds = {q: np.unique(np.concatenate(g)) for q, g in grams.items()}
-        # A bit for each 22-bit prefix of a seed, to pass over nearly all of a text at once.
-        self.sieve = {}
-        for q, s in self.seeds.items():
-            self.sieve[q] = np.zeros(1 << 22, bool)
-            self.sieve[q][s >> np.uint64(42)] = True
-        self.longest = max([len(h) for _, h in self.items], default=0)
         self.classes = []
         for bits, members in sorted(classes.items()):
             least = 1 << (bits - 1)
             longest = max(len(self.items[m][1]) for m in members)
             # A walk of 1.5 n steps uses three quarters of the words, so no item of the class has ended by then.
-            group = ItemClass(max(SAMPLED, least + least // 2), longest)
+            q = min(SEED_WORDS, least)
+            known = np.unique(np.concatenate([seeds(self.items[m][1], q) for m in members]))
+            sieve = np.zeros(1 << 22, bool)
+            sieve[known >> np.uint64(42)] = True
+            kept = min(max(1, len(h) - q + 1 - allowed(len(h)) * q) for m in members for h in [self.items[m][1]])
+            group = ItemClass(max(SAMPLED, least + least // 2), longest, q, known, kept, longest + allowed(longest), sieve)
             flat = np.concatenate([self.items[m][1] for m in members])
             begin = np.cumsum([0, *[len(self.items[m][1]) for m in members]])
             walks = [walk(flat, begin[:-1], begin[1:], group.steps, 1000 * w) for w in range(WALKS)]
@@ -145,39 +153,42 @@ class ItemIndex:
             key = mixed(key ^ outputs[j], 17) + np.uint64(j)
         return key
 
-    def regions(self, hashed: np.ndarray) -> list[tuple[int, int]]:
-        """Runs of words that can hold a near window, from seeds with an item's length on each side."""
-        hits = []
-        for q, known in self.seeds.items():
-            grams = seeds(hashed, q)
-            at = np.flatnonzero(self.sieve[q][grams >> np.uint64(42)])
-            if len(at):
-                place = np.minimum(np.searchsorted(known, grams[at]), len(known) - 1)
-                hits.append(at[known[place] == grams[at]])
-        if not hits or not sum(map(len, hits)):
-            return []
-        at = np.unique(np.concatenate(hits))
-        reach = self.longest + allowed(self.longest)
-        first = np.flatnonzero(np.diff(at, prepend=at[0] - 2 * reach - 1) > 2 * reach)
-        last = [*(first[1:] - 1), len(at) - 1]
-        return [(max(0, int(at[a]) - reach), min(len(hashed), int(at[b]) + reach)) for a, b in zip(first, last)]
+    @staticmethod
+    def starts(group: ItemClass, grams: np.ndarray) -> np.ndarray:
+        """Where windows of a class can start, given the text's runs of q words."""
+        at = np.flatnonzero(group.sieve[grams >> np.uint64(42)])
+        if not len(at):
+            return at
+        place = np.minimum(np.searchsorted(group.seeds, grams[at]), len(group.seeds) - 1)
+        at = at[group.seeds[place] == grams[at]]
+        if len(at) < group.least:
+            return at[:0]
+        first, last = at[: len(at) - group.least + 1], at[group.least - 1 :]
+        dense = last - first <= group.span
+        # A window that holds the seeds from first to last starts at or before first and reaches last.
+        low, high = np.maximum(0, last[dense] - group.span), first[dense] + 1
+        change = np.zeros(len(grams) + 2, np.int64)
+        np.add.at(change, low, 1)
+        np.add.at(change, high, -1)
+        return np.flatnonzero(np.cumsum(change) > 0)
 
     def find(self, hashed: np.ndarray) -> dict[int, tuple[int, int]]:
         """For each item near some window of a text: (edits, word behind the window)."""
         found: dict[int, tuple[int, int]] = {}
-        for low, high in self.regions(hashed):
-            part = hashed[low:high]
+        grams = {q: seeds(hashed, q) for q in {g.q for g in self.classes}}
+        for group in self.classes:
+            at = self.starts(group, grams[group.q])
             candidates: dict[int, list[int]] = {}
-            for group in self.classes:
-                starts = np.arange(len(part))
-                stop = np.minimum(starts + group.longest, len(part))
-                walks = [walk(part, starts, stop, group.steps, 1000 * w) for w in range(WALKS)]
+            for low in range(0, len(at), STARTS_AT_ONCE):
+                starts = at[low : low + STARTS_AT_ONCE]
+                stop = np.minimum(starts + group.longest, len(hashed))
+                walks = [walk(hashed, starts, stop, group.steps, 1000 * w) for w in range(WALKS)]
                 for w, sample, keys, members in group.tables:
                     asked = self.keys(walks[w], sample)
                     left, right = np.searchsorted(keys, asked, "left"), np.searchsorted(keys, asked, "right")
                     for p in np.flatnonzero(right > left):
                         for m in members[left[p] : right[p]]:
-                            candidates.setdefault(int(m), []).append(int(p))
+                            candidates.setdefault(int(m), []).append(int(starts[p]))
             for m, starts in candidates.items():
                 item_id, item = self.items[m]
                 n, k = len(item), allowed(len(item))
@@ -189,11 +200,11 @@ class ItemIndex:
                         if s > upto + n:
                             break
                         upto = s
-                    a, b = max(0, starts[0] - k), min(len(part), upto + n + k)
+                    a, b = max(0, starts[0] - k), min(len(hashed), upto + n + k)
                     starts = [s for s in starts if s > upto]
-                    edits, end = edit_distance_within(item, part[a:b])
+                    edits, end = edit_distance_within(item, hashed[a:b])
                     if edits <= k and (item_id not in found or edits < found[item_id][0]):
-                        found[item_id] = (edits, low + a + end)
+                        found[item_id] = (edits, a + end)
         return found
 
 

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import ann, bpe, sharding, token_counts
+from . import ann, bpe, decontamination, quality, secrets, sharding, token_counts
 
-_MODULES = (ann, bpe, sharding, token_counts)
+_MODULES = (ann, bpe, decontamination, quality, secrets, sharding, token_counts)
 
 QUERIES = {name: build for module in _MODULES for name, build in module.QUERIES.items()}
 ORACLES = {name: sql for module in _MODULES for name, sql in module.ORACLES.items()}
