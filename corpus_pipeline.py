@@ -1,14 +1,30 @@
-"""A corpus pipeline of five stages over documents; part of the corpus operators."""
+"""A corpus pipeline of five stages over documents; part of the corpus operators.
+
+Each stage takes (spark, docs, sf_dir) and returns the documents that it keeps, or for the last their encodings.
+What a stage returns is written and read again before the next one starts.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldloom.llm import common
+from fieldloom.llm import bpe, common, decontamination, near_dedup, quality, secrets
+
+
+def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The last stage: the ids of every document that is left, and their digests."""
+    return bpe.encode_documents(docs, digests=True)
+
 
-STAGES: list = []
+STAGES = [
+    ("quality", quality.quality_stage),
+    ("near_dedup", near_dedup.near_dedup_stage),
+    ("decontamination", decontamination.decontamination_stage),
+    ("secrets", secrets.secrets_stage),
+    ("encoding", encoding_stage),
+]
 
-#: The stages train models and hash, which SQL cannot express; tests hold them against brute force.
+#: The stages train models and walk at random, which SQL cannot express; tests hold them against brute force.
 ORACLE_SQL = None
 
 

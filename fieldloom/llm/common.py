@@ -10,9 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+from fieldloom.session import table  # noqa: F401
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -38,7 +36,15 @@ def written(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/fieldloom/{label}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    # Once it is written, the shuffle files behind it serve nothing more.
+    cleanup, before = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", None
+    try:
+        before = spark.conf.get(cleanup, "false")
+        spark.conf.set(cleanup, "true")
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        if before is not None:
+            spark.conf.set(cleanup, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -94,3 +100,12 @@ class WordHasher:
 def ascii_lower_words(text: str | None) -> list[bytes]:
     """Words [^\\x20\\x09-\\x0D]+ of a whole text with A-Z lower-cased."""
     return text.encode("utf-8", "replace").lower().split() if text else []
+
+
+#: Rows of a few numbers each that are sent to every executor at most; beyond that, a join shuffles.
+BROADCAST_ROWS = 1_000_000
+
+
+def small_side(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """Mark df, whose rows are a few numbers wide, for broadcast if its counted size is within BROADCAST_ROWS."""
+    return F.broadcast(df) if (df.count() if rows is None else rows) <= BROADCAST_ROWS else df
