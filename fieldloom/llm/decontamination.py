@@ -18,7 +18,6 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,12 +33,13 @@ WALKS = 3
 STARTS_AT_ONCE = 1 << 16
 #: Items that are sent to the executors at a time; longer lists take further passes over the documents.
 ITEMS_PER_PASS, CHARS_PER_PASS = 20_000, 16 << 20
-WORDS = regex.compile(rb"[0-9a-z\x80-\xff]+")
+#: Every byte that is no part of a word becomes a blank.
+BLANKED = bytes(b if 48 <= b < 58 or 97 <= b < 123 or b >= 128 else 32 for b in range(256))
 
 
 def words(text: str | None) -> list[bytes]:
     """Lower-cased runs of letters and digits of a whole text."""
-    return WORDS.findall(text.lower().encode("utf-8", "replace")) if text else []
+    return text.lower().encode("utf-8", "replace").translate(BLANKED).split() if text else []
 
 
 def allowed(n: int) -> int:
@@ -202,6 +202,9 @@ class ItemIndex:
                         upto = s
                     a, b = max(0, starts[0] - k), min(len(hashed), upto + n + k)
                     starts = [s for s in starts if s > upto]
+                    # Every word that is not edited stands in the text, so fewer common words rule the item out.
+                    if np.isin(item, hashed[a:b]).sum() < n - k:
+                        continue
                     edits, end = edit_distance_within(item, hashed[a:b])
                     if edits <= k and (item_id not in found or edits < found[item_id][0]):
                         found[item_id] = (edits, a + end)
