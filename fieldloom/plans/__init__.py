@@ -1 +1,3 @@
+"""Registered queries and whole jobs; importing a module of queries registers them."""
 
+from . import files, geometry, rasters, routes, spatial, tables  # noqa: F401

@@ -30,6 +30,11 @@ _DISTANCE = "least({}, {}, {}, {})".format(
     _point_distance("cx", "cy", "ax", "ay", "bx", "by_"),
     _point_distance("dx", "dy", "ax", "ay", "bx", "by_"),
 )
+_SIDE = "(({2} - {0}) * ({5} - {1}) - ({3} - {1}) * ({4} - {0}))"
+_CROSS = "({} * {} < 0 AND {} * {} < 0)".format(
+    _SIDE.format("cx", "cy", "dx", "dy", "ax", "ay"), _SIDE.format("cx", "cy", "dx", "dy", "bx", "by_"), _SIDE.format("ax", "ay", "bx", "by_", "cx", "cy"), _SIDE.format("ax", "ay", "bx", "by_", "dx", "dy")
+)
+_DISTANCE = f"(CASE WHEN {_CROSS} THEN 0 ELSE {_DISTANCE} END)"
 _PAIRS = f"{_MACROS}, pairs AS (SELECT a, b, {_DISTANCE} AS d FROM pd WHERE {_DISTANCE} <= 5)"
 
 
@@ -37,9 +42,9 @@ def segments(spark, sf_dir):
     return fx.frame(spark, sf_dir, fx.WSEG)
 
 
-@query("q25_distance_join", fx.with_fixtures(f"WITH {_PAIRS} SELECT a, b, round(d, 6) AS d FROM pairs"))
+@query("q25_distance_join", fx.with_fixtures(f"WITH {_PAIRS} SELECT a, b, round(d, 4) AS d FROM pairs"))
 def distance_join(spark, sf_dir):
-    return spatial.segment_pairs(segments(spark, sf_dir), 5.0).withColumn("d", F.round("d", 6))
+    return spatial.segment_pairs(segments(spark, sf_dir), 5.0).withColumn("d", F.round("d", 4))
 
 
 def _line(p, q, px, py, qx, qy, rx, ry, sx, sy):
