@@ -242,13 +242,13 @@ def hash_sample(spark, sf_dir):
 @query(
     "q21_dominant_angle",
     fx.with_fixtures(
-        f"SELECT r, c, round(0.5 * atan2(sum({_LENGTH} * sin(2 * atan2(by_ - ay, bx - ax))), sum({_LENGTH} * cos(2 * atan2(by_ - ay, bx - ax)))), 6) AS angle FROM wseg WHERE {_LENGTH} > 1 GROUP BY r, c"
+        f"SELECT r, c, round(0.5 * atan2(sum({_LENGTH} * sin(2 * atan2(by_ - ay, bx - ax))), sum({_LENGTH} * cos(2 * atan2(by_ - ay, bx - ax)))), 6) + 0 AS angle FROM wseg WHERE {_LENGTH} > 1 GROUP BY r, c"
     ),
 )
 def dominant_angle(spark, sf_dir):
     dx, dy = F.col("bx") - F.col("ax"), F.col("by_") - F.col("ay")
     wseg = fx.frame(spark, sf_dir, fx.WSEG).select("r", "c", F.sqrt(dx * dx + dy * dy).alias("len"), F.atan2(dy, dx).alias("a")).filter("len > 1")
-    return wseg.groupBy("r", "c").agg(F.round(m.dominant_angle(F.col("len"), F.col("a")), 6).alias("angle"))
+    return wseg.groupBy("r", "c").agg((F.round(m.dominant_angle(F.col("len"), F.col("a")), 6) + 0.0).alias("angle"))
 
 
 @query(
