@@ -172,4 +172,7 @@ def open_parts(df: DataFrame, keys: list[str], strip: str, cover: DataFrame, rin
             out += [[*[row[k] for k in keys], row["id"], n, a] for n, a in enumerate(areas)]
         return pd.DataFrame(out, columns=[*keys, "id", "part", "area"])
 
+    # Fresh names on both sides, as they may come of one table.
+    df = df.select(*[F.col(c).alias(c) for c in (*keys, "id", strip)])
+    cover = cover.select(*[F.col(c).alias(c) for c in (*keys, ring)])
     return df.groupBy(*keys).cogroup(cover.groupBy(*keys)).applyInPandas(cut, f"{kinds}, id {id_kind}, part int, area double")

@@ -15,7 +15,7 @@ def gap_split(df: DataFrame, keys: list[str], value: str, gap: float, least: int
     least members are dropped; the numbers stay as counted before that."""
     ordered = Window.partitionBy(*keys).orderBy(value)
     step = F.col(value) - F.lag(value).over(ordered)
-    numbered = df.withColumn("_new", F.when(step > gap, 1).otherwise(0)).withColumn(name, F.sum("_new").over(ordered.rowsBetween(Window.unboundedPreceding, 0))).drop("_new")
+    numbered = df.withColumn("_new", F.when(step > gap, 1).otherwise(0)).withColumn(name, F.sum("_new").over(ordered.rangeBetween(Window.unboundedPreceding, Window.currentRow))).drop("_new")
     if least <= 1:
         return numbered
     return numbered.withColumn("_n", F.count("*").over(Window.partitionBy(*keys, name))).filter(F.col("_n") >= least).drop("_n")

@@ -56,7 +56,7 @@ def derive_interrow(objects: DataFrame, least: float = 200.0) -> DataFrame:
     keyed = rows.join(main, ["tile", "vineyard_id"]).withColumns(
         {"_s": g.across(mean["x"], mean["y"], F.col("_m")), "points": F.when(t(F.element_at("points", 1)) <= t(F.element_at("points", -1)), F.col("points")).otherwise(F.reverse("points"))}
     )
-    pairs = consecutive_pairs(keyed, ["tile", "vineyard_id"], ["_s"], ["points"])
+    pairs = consecutive_pairs(keyed.drop("place"), ["tile", "vineyard_id"], ["_s"], ["points"])
     strips = pairs.select("tile", "vineyard_id", F.col("place").cast("int").alias("id"), g.strip_ring(F.col("points"), F.col("next_points")).alias("strip"))
     crowns = objects.filter("label = 'vineyard'").select("tile", "vineyard_id", F.col("points").alias("ring"))
     return polygons.open_parts(strips, ["tile", "vineyard_id"], "strip", crowns, least=least)

@@ -349,9 +349,29 @@ def test_running_measurements(spark, tmp_path):
     from fieldloom.streaming import upsert
 
     rows = spark.createDataFrame([("t", 0, "V01", 2.0), ("t", 0, "V01", 2.0), ("t", 1, "V01", 3.0)], "tile string, place int, vineyard_id string, length double")
-    rows.withColumn("seen_at", F.timestamp_seconds(F.lit(0))).write.parquet(str(tmp_path / "in"))
+    rows.withColumn("seen_at", F.timestamp_seconds(F.lit(1_700_000_000))).write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema(spark.read.parquet(str(tmp_path / "in")).schema).parquet(str(tmp_path / "in"))
     query = upsert.keep_table(upsert.running_lengths(stream), str(tmp_path / "table"), str(tmp_path / "checkpoint"))
     query.awaitTermination(60)
     last = spark.read.parquet(str(tmp_path / "table")).orderBy(F.desc("version")).first()
     assert last.length == 5.0 and last.fragments == 2
+
+
+def test_rows_from_stripes(spark):
+    from fieldloom.operators import rows
+
+    size, angle, gap = 128, math.radians(20), 16
+    spots = [(0, x, y) for x in range(size) for y in range(size) if abs((((y - 64) * math.cos(angle) - (x - 64) * math.sin(angle)) % gap) - gap / 2) <= 1.5]
+    found = rows.detect_rows(spark.createDataFrame(spots, "tile int, x int, y int"), size, gap).orderBy("s").collect()
+    assert len(found) >= 6 and all(abs(math.degrees(r.angle) - 20) <= 1 for r in found)
+    steps = [b.s - a.s for a, b in zip(found, found[1:])]
+    assert all(abs(s - gap) <= 2 for s in steps) and all(r.t1 > r.t0 for r in found)
+
+
+def test_global_rows_around_zero(spark):
+    from fieldloom.operators import rows
+
+    segs = [(i, 0.0, float(3 * i), 100.0, 3 * i + (0.1 if i % 2 else -0.1)) for i in range(6)]
+    df = spark.createDataFrame(segs, "id long, ax double, ay double, bx double, by_ double")
+    assert [r.row_id for r in rows.global_rows(df).orderBy("id").collect()] == [f"V01-R{k:02d}" for k in range(1, 7)]
+    assert rows.global_rows(df.limit(0)).count() == 0
