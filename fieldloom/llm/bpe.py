@@ -26,7 +26,7 @@ NO_MERGE = 1 << 60
 #: Parts from which on the heap takes over.
 LONG = 96
 #: Distinct words that a worker keeps, at most twice, and the longest word kept.
-CACHED_WORDS, CACHED_CHARS = 150_000, 64
+CACHED_WORDS, CACHED_CHARS = 100_000, 64
 #: White space as Unicode defines it; Python's \s also takes \x1c-\x1f.
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 
@@ -125,7 +125,7 @@ class WordTokenizer:
 
     def __init__(self, path: str) -> None:
         self.bpe = RankArrayBPE(path)
-        self.cache = common.TwoGenerationCache(CACHED_WORDS)
+        self.cache = common.owned("bpe", common.TwoGenerationCache(CACHED_WORDS))
 
     def _word(self, word: str) -> tuple[int, str, str]:
         ids = self.bpe.encode_bytes(word.encode("utf-8", "replace"))
@@ -185,6 +185,7 @@ def encode_documents(df: DataFrame, path: str | None = None, digests: bool = Fal
     path = path or vocabulary_path("word_bpe_49k.json")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.claim("bpe")
         tokenizer = word_tokenizer(path)
         sha = lambda s: hashlib.sha256(s.encode("utf-8", "replace")).hexdigest()
         for whole in batches:

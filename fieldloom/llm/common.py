@@ -1,51 +1,12 @@
-"""What the corpus operators share: reading tables, shared storage and bounded caches."""
+"""What the corpus operators share: hashing of words and bounded caches, one operator's at a time in a worker."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldloom.session import table  # noqa: F401
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share.
-
-    The cluster names it in spark.checkpoint.dir. Only where that is unset (a local session, as in
-    tests) a temporary folder of this machine stands in.
-    """
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not named:
-        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        named = tempfile.mkdtemp(prefix="fieldloom-")
-        spark.sparkContext.setCheckpointDir(named)
-    return named.rstrip("/")
-
-
-def written(df: DataFrame, label: str) -> DataFrame:
-    """Write df once to the shared folder and read it back.
-
-    That cuts the lineage: no later stage depends on shuffle files or caches of an executor, and what was
-    non-deterministic is fixed.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/fieldloom/{label}-{uuid.uuid4().hex}"
-    # Once it is written, the shuffle files behind it serve nothing more.
-    cleanup, before = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", None
-    try:
-        before = spark.conf.get(cleanup, "false")
-        spark.conf.set(cleanup, "true")
-        df.write.option("compression", "zstd").parquet(path)
-    finally:
-        if before is not None:
-            spark.conf.set(cleanup, before)
-    return spark.read.schema(df.schema).parquet(path)
+from fieldloom.session import small_side, table, written  # noqa: F401
 
 
 def text_key(text: str = "text"):
@@ -59,6 +20,28 @@ def slices(batch, rows: int = 256):
         yield batch.slice(at, rows)
 
 
+_caches: dict[str, list] = {}
+_owner: str | None = None
+
+
+def claim(owner: str) -> None:
+    """Empty the caches of other operators than this one, which a task of its begins with: workers live on from stage
+    to stage, and their memory is bounded by the largest operator's, not by the sum."""
+    global _owner
+    if _owner != owner:
+        _owner = owner
+        for name, caches in _caches.items():
+            if name != owner:
+                for cache in caches:
+                    cache.clear()
+
+
+def owned(owner: str, cache):
+    """Register a cache with its operator."""
+    _caches.setdefault(owner, []).append(cache)
+    return cache
+
+
 class TwoGenerationCache:
     """A dictionary of bounded size: what was used since the last turn survives the next one."""
 
@@ -67,6 +50,9 @@ class TwoGenerationCache:
     def __init__(self, limit: int) -> None:
         self.limit, self.young, self.old = limit, {}, {}
 
+    def clear(self) -> None:
+        self.young, self.old = {}, {}
+
     def find(self, key, make):
         hit = self.young.get(key)
         if hit is None:
@@ -82,9 +68,12 @@ class TwoGenerationCache:
 class WordHasher:
     """64-bit hashes of words (bytes), remembered up to a bound."""
 
-    def __init__(self, limit: int = 600_000, seed: int = 0) -> None:
+    def __init__(self, limit: int = 200_000, seed: int = 0) -> None:
         self.limit, self.seed, self.known = limit, seed, {}
 
+    def clear(self) -> None:
+        self.known = {}
+
     def hashes(self, words: list[bytes]) -> np.ndarray:
         known = self.known
         new = set(words).difference(known)
@@ -100,12 +89,3 @@ class WordHasher:
 def ascii_lower_words(text: str | None) -> list[bytes]:
     """Words [^\\x20\\x09-\\x0D]+ of a whole text with A-Z lower-cased."""
     return text.encode("utf-8", "replace").lower().split() if text else []
-
-
-#: Rows of a few numbers each that are sent to every executor at most; beyond that, a join shuffles.
-BROADCAST_ROWS = 1_000_000
-
-
-def small_side(df: DataFrame, rows: int | None = None) -> DataFrame:
-    """Mark df, whose rows are a few numbers wide, for broadcast if its counted size is within BROADCAST_ROWS."""
-    return F.broadcast(df) if (df.count() if rows is None else rows) <= BROADCAST_ROWS else df

@@ -211,7 +211,7 @@ class ItemIndex:
         return found
 
 
-_hasher = common.WordHasher()
+_hasher = common.owned("decontamination", common.WordHasher())
 
 
 def hits_of(index: ItemIndex, text: str | None) -> dict[int, tuple[int, int]]:
@@ -257,6 +257,7 @@ def find_items(df: DataFrame, items: DataFrame) -> DataFrame:
         length = {i: len(h) for i, h in index.items}
 
         def find(batches):
+            common.claim("decontamination")
             for batch in batches:
                 rows = [
                     (doc.as_py(), item, edits, length[item], end)
@@ -280,6 +281,7 @@ def clean(text, index: ItemIndex):
 
     @F.arrow_udf(T.BooleanType())
     def is_clean(texts: pa.Array) -> pa.Array:
+        common.claim("decontamination")
         return pa.array([not hits_of(index, t.as_py()) for t in texts], pa.bool_())
 
     return is_clean(text)

@@ -4,12 +4,13 @@ Every distinct shingle set gets a MinHash signature for each of TREES trees. A t
 signature: documents that share the first ROOT values lie in one region, and within it the further values order
 them, so that the neighbours of a document are those with the longest common prefix. A region of at most
 NEIGHBOURS + 1 documents is compared whole at the root's depth; in a denser one the neighbours' common prefixes are
-longer, so the depth adapts to the region. Neighbours whose signatures agree well enough are candidates.
+longer, so the depth adapts to the region, and from SPARSE documents on fewer of them are compared. Neighbours whose signatures agree well enough are candidates.
 
 Links are confirmed on full sets. Documents with equal sets are one class from the start. The classes on any
 candidate pair carry their sets through CHAINS sorted trees once, where each is held against the one before it;
-that joins large groups without pairs of all their members. What candidates then still lie across two
-components are all confirmed pair by pair, so every candidate is either confirmed, refused or within one component.
+that joins large groups without pairs of all their members. Candidates that then still lie across two components
+are all confirmed pair by pair, where they are many the best of each class first: every candidate is confirmed,
+refused or within one component.
 
 A class is known by a 64-bit hash of its set.
 """
@@ -19,18 +20,25 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fieldloom.operators.components import connected_components
+
 from . import common
-from .components import connected_components
 
 #: Trees, the values of a region's key and those that order a region; neighbours compared on one side.
-TREES, ROOT, FURTHER, NEIGHBOURS, CHAINS = 24, 4, 4, 8, 3
+TREES, ROOT, FURTHER, NEIGHBOURS, CHAINS = 24, 4, 4, 24, 3
+#: Beyond the first so many documents of a region each is compared with fewer neighbours, those of the longest prefix.
+SPARSE, DENSE_NEIGHBOURS = 48, 4
+#: Pairs that agree as well as this are candidates only TIGHT places apart: what lies between is as near to both.
+TIGHT_AGREEMENT, TIGHT = 0.9, 2
 #: Values of each tree in the sketch, and the agreement from which on a pair is a candidate: below the threshold
-#: of 0.8 by five standard deviations of the estimate.
-SKETCHED, LEAST_AGREEMENT = 2, 0.52
+#: of 0.8 by 4.4 standard deviations of the estimate (one pair in 200,000 at the threshold is taken for less).
+SKETCHED, LEAST_AGREEMENT = 4, 0.62
+#: Where candidates across components outnumber their classes by this factor, each class first confirms its best two.
+CROWDED, BEST = 16, 2
 #: Links: 100 * intersection >= PERCENT * union.
 PERCENT = 80
 #: Shingles that are hashed at once.
@@ -38,7 +46,7 @@ BLOCK = 1 << 14
 
 _seeds = np.random.default_rng(1).integers(1, 1 << 63, (TREES * (ROOT + FURTHER), 2), dtype=np.uint64)
 MULTIPLIERS, ADDENDS = _seeds[:, 0] | np.uint64(1), _seeds[:, 1]
-_hasher = common.WordHasher()
+_hasher = common.owned("near_dedup", common.WordHasher())
 
 
 def shingles(words: list[bytes], size: int) -> np.ndarray:
@@ -95,6 +103,7 @@ def sign(df: DataFrame, size: int) -> DataFrame:
     """Set size, class and signature of each (doc_id, text); cls and what follows are null for an empty set."""
 
     def signed(batches):
+        common.claim("near_dedup")
         for whole in batches:
             for batch in common.slices(whole, 512):
                 sets = [shingles(common.ascii_lower_words(t.as_py()), size) for t in batch.column("text")]
@@ -107,7 +116,7 @@ def sign(df: DataFrame, size: int) -> DataFrame:
                 deeps = np.zeros((len(full), TREES), np.int64)
                 for d in range(ROOT, ROOT + FURTHER):
                     deeps = deeps << 15 | (values[:, :, d] & np.uint32(0x7FFF)).astype(np.int64)
-                sketch = np.ascontiguousarray(values[:, :, :SKETCHED].reshape(len(full), -1) & np.uint32(0xFF)).astype(np.uint8)
+                sketch = np.ascontiguousarray(values[:, :, :SKETCHED].reshape(len(full), TREES * SKETCHED) & np.uint32(0xFF)).astype(np.uint8)
                 at, rows = 0, []
                 for s in sets:
                     if len(s):
@@ -126,7 +135,8 @@ def sign(df: DataFrame, size: int) -> DataFrame:
 
 
 def candidates(classes: DataFrame) -> DataFrame:
-    """Distinct pairs (a < b) of classes that are neighbours in some tree and agree well enough."""
+    """Distinct pairs (a < b, agree: equal values of the sketch) of classes that are neighbours in some tree and agree
+    well enough."""
     trees = classes.select("cls", "n", "sketch", F.posexplode(F.arrays_zip("keys", "deeps")).alias("tree", "at")).select(
         "tree", F.col("at.keys").alias("key"), F.col("at.deeps").alias("deep"), "cls", "n", "sketch"
     )
@@ -136,27 +146,35 @@ def candidates(classes: DataFrame) -> DataFrame:
     def neighbours(batches):
         held = None
         for batch in batches:
-            numbers = np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("tree", "key", "deep", "cls", "n")])
+            numbers = np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("tree", "key", "deep", "cls", "n")] + [np.zeros(batch.num_rows, np.int64)])
             sketch = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint8).reshape(-1, width)
             fresh = 0
             if held is not None:
                 fresh = held[0].shape[1]
                 numbers, sketch = np.hstack([held[0], numbers]), np.vstack([held[1], sketch])
-            tree, key, deep, cls, n = numbers
+            tree, key, deep, cls, n, place = numbers
+            # Each row's place in its region, counted on from the rows held back.
+            begins = np.concatenate([[fresh == 0], (key[1:] != key[:-1]) | (tree[1:] != tree[:-1])])
+            begin = np.maximum.accumulate(np.where(begins, np.arange(len(cls)), -1))
+            counted = np.arange(len(cls)) - np.maximum(begin, 0) + np.where(begin < 0, place[0], 0)
+            place[fresh:] = counted[fresh:]
             pairs = []
             for back in range(1, min(NEIGHBOURS, len(cls) - 1) + 1):
                 later = np.arange(max(back, fresh), len(cls))
+                if back > DENSE_NEIGHBOURS:
+                    later = later[place[later] < SPARSE]
                 later = later[(key[later] == key[later - back]) & (tree[later] == tree[later - back])]
                 small, large = np.minimum(n[later], n[later - back]), np.maximum(n[later], n[later - back])
                 later = later[100 * small >= PERCENT * large]
                 agree = (sketch[later] == sketch[later - back]).mean(axis=1)
-                later = later[agree >= LEAST_AGREEMENT]
-                pairs.append(np.stack([cls[later], cls[later - back]]))
+                good = (agree >= LEAST_AGREEMENT) & ((agree < TIGHT_AGREEMENT) | (back <= TIGHT))
+                later, agree = later[good], agree[good]
+                pairs.append(np.stack([np.minimum(cls[later], cls[later - back]), np.maximum(cls[later], cls[later - back]), np.rint(agree * width).astype(np.int64)]))
             held = numbers[:, -NEIGHBOURS:].copy(), sketch[-NEIGHBOURS:].copy()
-            found = np.unique(np.sort(np.hstack(pairs), axis=0), axis=1) if pairs else np.empty((2, 0), np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1])], names=["a", "b"])
+            found = np.unique(np.hstack(pairs), axis=1) if pairs else np.empty((3, 0), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], names=["a", "b", "agree"])
 
-    return ordered.mapInArrow(neighbours, "a long, b long").distinct()
+    return ordered.mapInArrow(neighbours, "a long, b long, agree long").distinct()
 
 
 def linked(a: np.ndarray, b: np.ndarray) -> bool:
@@ -170,22 +188,28 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
 
 
 def sets_of(df: DataFrame, involved: DataFrame, size: int) -> DataFrame:
-    """(cls, bytes of the set, keys, deeps) of the involved classes, from one document of each."""
+    """(cls, shingles: bytes of the set) of the involved classes, from one document of each. Repeated rows give a class once
+    a task."""
 
     def made(batches):
+        common.claim("near_dedup")
+        made_before: set[int] = set()
         for whole in batches:
             for batch in common.slices(whole, 512):
                 cls, sets = [], []
                 for t, c in zip(batch.column("text"), batch.column("cls").to_pylist()):
+                    if c in made_before:
+                        continue
                     s = shingles(common.ascii_lower_words(t.as_py()), size)
                     # A doc_id may stand for several texts; only one of them is this class.
-                    same = len(s) > 0 and class_of(s) == c
-                    cls.append(c if same else None)
-                    sets.append(s.tobytes() if same else None)
+                    if len(s) and class_of(s) == c:
+                        made_before.add(c)
+                        cls.append(c)
+                        sets.append(s.tobytes())
                 yield pa.RecordBatch.from_arrays([pa.array(cls, pa.int64()), pa.array(sets, pa.binary())], names=["cls", "shingles"])
 
     texts = df.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(common.small_side(involved.select("doc_id", "cls")), "doc_id")
-    return texts.mapInArrow(made, "cls long, shingles binary").filter("cls IS NOT NULL")
+    return texts.mapInArrow(made, "cls long, shingles binary")
 
 
 def chain_links(sets: DataFrame, involved: DataFrame) -> DataFrame:
@@ -194,20 +218,37 @@ def chain_links(sets: DataFrame, involved: DataFrame) -> DataFrame:
     ordered = sets.join(common.small_side(trees), "cls").repartition("tree", "key").sortWithinPartitions("tree", "key", "deep", "cls")
 
     def confirmed(batches):
-        before = None
+        before, head = None, None
         for batch in batches:
             a, b = [], []
             for tree, key, cls, raw in zip(*(batch.column(c).to_pylist() for c in ("tree", "key", "cls", "shingles"))):
                 now = (tree, key, cls, np.frombuffer(raw, np.uint64))
-                if before and before[:2] == now[:2] and before[2] != cls and linked(before[3], now[3]):
+                # A run of links is reported as a star around its first class: the same component, sooner found.
+                if not (before and before[:2] == now[:2] and linked(before[3], now[3])):
+                    head = cls
+                elif head != cls:
                     a.append(cls)
-                    b.append(before[2])
+                    b.append(head)
                 before = now
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     return ordered.mapInArrow(confirmed, "a long, b long")
 
 
+def across_components(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs whose classes lie in two components; a class without a label is one of its own."""
+    label_a, label_b = labels.toDF("a", "la"), labels.toDF("b", "lb")
+    joined = pairs.join(label_a, "a", "left").join(label_b, "b", "left")
+    return common.written(joined.filter("NOT (coalesce(la, a) <=> coalesce(lb, b))").select("a", "b", "agree"), "across")
+
+
+def best_pairs(pairs: DataFrame) -> DataFrame:
+    """The pairs that are among the BEST best agreeing ones of either of their classes."""
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("cls"), "a", "b", "agree")
+    rank = F.row_number().over(Window.partitionBy("cls").orderBy(F.desc("agree"), F.xxhash64("a", "b"), "a", "b"))
+    return ends.withColumn("rank", rank).filter(F.col("rank") <= BEST).select("a", "b", "agree").distinct()
+
+
 def pair_links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs of distinct classes whose full sets are similar enough."""
     ends = pairs.select(F.explode(F.array("a", "b")).alias("cls"), "a", "b")
@@ -217,10 +258,12 @@ def pair_links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         before = None
         for batch in batches:
             a, b = [], []
-            for left, right, raw in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "shingles"))):
-                now = (left, right, np.frombuffer(raw, np.uint64))
+            for left, right, cls, raw in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "cls", "shingles"))):
+                if before and before[:3] == (left, right, cls):
+                    continue  # the same class from a repeated row
+                now = (left, right, cls, np.frombuffer(raw, np.uint64))
                 if before and before[:2] == now[:2]:
-                    if linked(before[2], now[2]):
+                    if linked(before[3], now[3]):
                         a.append(left)
                         b.append(right)
                     before = None
@@ -237,7 +280,8 @@ def near_duplicates(df: DataFrame, size: int = 5) -> DataFrame:
     Returns doc_id, n_shingles, component_id (the smallest doc_id reachable), kept (doc_id = component_id) and cls,
     the class of equal sets, one row per row. Null, empty and blank texts have no shingles and are linked with
     nothing. Rows with a null doc_id are linked like others, but are never kept and never name a component.
-    Repeated rows fall into one component. An empty df gives an empty result. Other columns are not read.
+    Repeated rows fall into one component. A text that only rows without a doc_id have is linked with its own copies
+    alone. An empty df gives an empty result. Other columns are not read.
     """
     signed = common.written(sign(df, size), "signed")
     classes = common.written(
@@ -250,13 +294,15 @@ def near_duplicates(df: DataFrame, size: int = 5) -> DataFrame:
     on_pairs = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
     involved = common.written(classes.join(common.small_side(on_pairs), "cls").select("cls", "doc_id", "keys", "deeps"), "involved")
     sets = common.written(sets_of(df, involved, size), "sets")
-    chained = common.written(chain_links(sets, involved), "chained")
-    labels = connected_components(chained)
-    label_a, label_b = labels.toDF("a", "la"), labels.toDF("b", "lb")
-    # A class without a link is a component of its own; equal labels are within one component.
-    across = pairs.join(label_a, "a", "left").join(label_b, "b", "left").filter("NOT (coalesce(la, a) <=> coalesce(lb, b))").select("a", "b")
-    links = chained.unionAll(pair_links(common.written(across, "across"), sets))
-    final = connected_components(links).toDF("cls", "label")
+    links = common.written(chain_links(sets, involved), "chained")
+    across = across_components(pairs, connected_components(links))
+    if across.count() > CROWDED * involved.count():
+        # Many are left: the best of each class first, as they join most of what can be joined.
+        best = best_pairs(across)
+        links = common.written(links.unionAll(pair_links(best, sets)), "links")
+        rest = across.join(best.select("a", "b"), ["a", "b"], "left_anti")
+        across = across_components(rest, connected_components(links))
+    final = connected_components(links.unionAll(pair_links(across, sets))).toDF("cls", "label")
     members = signed.select("doc_id", "n", "cls").join(final, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
     least = members.filter("label IS NOT NULL").groupBy("label").agg(F.min("doc_id").alias("least"))
     component = F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("least"))

@@ -33,7 +33,7 @@ GRADES = 3
 
 WORDS = regex.compile(r"\p{L}+")
 SYMBOLS = regex.compile(r"[^\w\s.,;:'\"()?!|-]")
-_slots = common.TwoGenerationCache(200_000)
+_slots = common.owned("quality", common.TwoGenerationCache(60_000))
 
 
 def slot(feature: str) -> int:
@@ -87,16 +87,15 @@ def fit(examples: list[tuple[int, np.ndarray]], rounds: int = 160, rate: float =
         # Without ratings nothing speaks against a text.
         return OrdinalModel({}, tuple(-20.0 + k for k in range(GRADES - 1)))
     y = np.array([g for g, _ in examples])
-    flat = np.concatenate([f for _, f in examples]).astype(np.int64)
+    flat = np.concatenate([f for _, f in examples]).astype(np.int32)
     texts = np.bincount(flat, minlength=DIMENSIONS)
     used = np.flatnonzero(texts >= min(LEAST_TEXTS, len(examples)))
-    place = np.full(DIMENSIONS, -1)
+    place = np.full(DIMENSIONS, -1, np.int32)
     place[used] = np.arange(len(used))
-    owner = np.repeat(np.arange(len(y)), [len(f) for _, f in examples])
+    owner = np.repeat(np.arange(len(y), dtype=np.int32), [len(f) for _, f in examples])
     keep = place[flat] >= 0
     at, owner = place[flat][keep], owner[keep]
-    order = np.argsort(owner * len(used) + at, kind="stable")
-    at, owner = at[order], owner[order]
+    del flat, keep
 
     weights, squares = np.zeros(len(used)), np.full(len(used), 1e-8)
     # t0, and the logarithm of t1 - t0.
@@ -141,8 +140,9 @@ def train(documents: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> Ordin
     """Fit the model on a bounded sample of rated documents."""
 
     def extract(batches):
+        common.claim("quality")
         for batch in batches:
-            found = [np.fromiter(sorted(features(t)), np.int32).tobytes() for t in batch.column("text").to_pylist()]
+            found = [np.fromiter(sorted(features(t.as_py())), np.int32).tobytes() for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("grade").cast(pa.int32()), pa.array(found, pa.binary())], names=["doc_id", "grade", "slots"])
 
     rows = examples(documents, labels, bound).mapInArrow(extract, "doc_id long, grade int, slots binary").collect()
@@ -165,6 +165,7 @@ def score(text, model: OrdinalModel, least_tail: float = LEAST_TAIL):
 
     @F.arrow_udf(SCORED)
     def scored(texts: pa.Array) -> pa.Array:
+        common.claim("quality")
         rows = [model.grades(t.as_py()) for t in texts]
         return pa.array([{"expected_grade": e, "tail_probability": p, "kept": p >= least_tail} for e, p in rows], schema)
 

@@ -263,6 +263,7 @@ def scan(df: DataFrame, forest: Forest, path: str = "source", least: float = LEA
     """
 
     def find(batches):
+        common.claim("secrets")
         for batch in batches:
             rows = []
             for doc, where, text in zip(*(batch.column(c) for c in range(3))):
@@ -281,6 +282,7 @@ def mask(text, path, forest: Forest, least: float = LEAST_PROBABILITY):
 
     @F.arrow_udf(T.StringType())
     def masked(texts: pa.Array, paths: pa.Array) -> pa.Array:
+        common.claim("secrets")
         out = []
         for t, where in zip(texts, paths):
             t = t.as_py()

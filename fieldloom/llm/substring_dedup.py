@@ -72,6 +72,7 @@ def spans(docs: DataFrame) -> DataFrame:
     """(span, doc_id, mark, at) of every run in every text."""
 
     def cut(batches):
+        common.claim("substring_dedup")
         for whole in batches:
             for batch in common.slices(whole, 512):
                 span, owner, at = [], [], []

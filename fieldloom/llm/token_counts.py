@@ -148,6 +148,12 @@ class CountTransducer:
         self.fits: dict[tuple[int, int], bool] = {}
         self.cache = common.TwoGenerationCache(CACHED_WORDS)
         self._flush()
+        common.owned("token_counts", self)
+
+    def clear(self) -> None:
+        self.fits.clear()
+        self.cache.clear()
+        self._flush()
 
     def _flush(self) -> None:
         self.keys: list[tuple] = [(b"", ((0, -1, 0),))]
@@ -287,6 +293,7 @@ def count_tokens(df: DataFrame, limit: int = 512, path: str | None = None) -> Da
     path = path or vocabulary_path("byte_bpe_50k.json")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.claim("token_counts")
         machine = transducer(path)
         for whole in batches:
             for batch in common.slices(whole):
