@@ -21,8 +21,8 @@ def _star(edges: DataFrame, larger: bool) -> DataFrame:
     tied = around.join(least, "a")
     if larger:
         pairs = tied.filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    else:
-        pairs = tied.select(F.col("b").alias("a"), F.col("m").alias("b")).unionAll(least.select("a", F.col("m").alias("b")))
+        return pairs.filter("a <> b")
+    pairs = tied.select(F.col("b").alias("a"), F.col("m").alias("b")).unionAll(least.select("a", F.col("m").alias("b")))
     return pairs.filter("a <> b").distinct()
 
 
