@@ -48,7 +48,7 @@ CORPUS = "batch long, doc_ids array<long>, held array<boolean>, ends array<long>
 WORDS_OUT = "bucket int, batch long, counts binary, ids binary, stats array<long>"
 PAIRS_OUT = "bucket int, batch long, counts binary, plain binary, ids binary, lower array<double>, few binary, stats array<long>"
 
-_hasher = common.WordHasher()
+_hasher = common.owned("katz", common.WordHasher())
 
 
 def pack(values: np.ndarray) -> bytes:
@@ -80,12 +80,13 @@ def gather(df: DataFrame, is_held, tokens_per_batch: int = TOKENS_PER_BATCH) ->
             ends = np.cumsum(lengths)
             flat = np.concatenate(hashes) if hashes else np.empty(0, np.uint64)
             vocabulary = np.unique(np.concatenate([flat, np.array([END, START], np.uint64)]))
-            tokens = np.searchsorted(vocabulary, flat).astype(np.uint32)
+            tokens = np.searchsorted(vocabulary, flat)
             return pa.RecordBatch.from_arrays(
-                [pa.array([key]), pa.array([ids], pa.list_(pa.int64())), pa.array([held], pa.list_(pa.bool_())), pa.array([ends.tolist()], pa.list_(pa.int64())), pa.array([tokens.tobytes()]), pa.array([vocabulary.tobytes()])],
+                [pa.array([key]), pa.array([ids], pa.list_(pa.int64())), pa.array([held], pa.list_(pa.bool_())), pa.array([ends.tolist()], pa.list_(pa.int64())), pa.array([pack(tokens)]), pa.array([vocabulary.tobytes()])],
                 names=["batch", "doc_ids", "held", "ends", "tokens", "vocabulary"],
             )
 
+        common.claim("katz")
         ids, held, lengths, hashes, key = [], [], [], [], 0
         for whole in batches:
             for batch in common.slices(whole, 128):
@@ -123,7 +124,7 @@ class Batch:
     @classmethod
     def of(cls, row: dict) -> "Batch":
         ends = np.array(row["ends"], np.int64)
-        words = np.frombuffer(row["tokens"], np.uint32).astype(np.int64)
+        words = unpack(row["tokens"]).astype(np.int64)
         vocabulary = np.frombuffer(row["vocabulary"], np.uint64)
         end, start = np.searchsorted(vocabulary, [END, START])
         tokens = np.insert(words, ends, end)
@@ -446,7 +447,7 @@ def score_documents(df: DataFrame, is_held, tokens_per_batch: int = TOKENS_PER_B
     probability one. An empty df gives an empty result. Other columns are not read.
     """
     corpus = common.written(gather(df, is_held, tokens_per_batch), "corpus")
-    tokens = corpus.agg(F.sum(F.octet_length("tokens") / 4 + F.size("ends"))).first()[0] or 0
+    tokens = corpus.agg(F.sum(F.element_at("ends", -1) + F.size("ends"))).first()[0] or 0
     buckets = max(LEAST_BUCKETS, math.ceil(tokens / tokens_per_bucket))
     counted = common.written(count_words(corpus, buckets), "words")
     at = [F.sum(F.col("stats")[i]) for i in range(3 + MOST_DISCOUNTED + 1)]
