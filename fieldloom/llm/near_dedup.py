@@ -302,11 +302,14 @@ def near_duplicates(df: DataFrame, size: int = 5) -> DataFrame:
         links = common.written(links.unionAll(pair_links(best, sets)), "links")
         rest = across.join(best.select("a", "b"), ["a", "b"], "left_anti")
         across = across_components(rest, connected_components(links))
-    final = connected_components(links.unionAll(pair_links(across, sets))).toDF("cls", "label")
-    members = signed.select("doc_id", "n", "cls").join(final, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
-    least = members.filter("label IS NOT NULL").groupBy("label").agg(F.min("doc_id").alias("least"))
+    final = common.written(connected_components(links.unionAll(pair_links(across, sets))).toDF("cls", "label"), "components")
+    # The least doc_id of each class, then of each component: documents only ever meet their class.
+    members = final.join(classes.select("cls", "doc_id"), "cls")
+    least = members.groupBy("label").agg(F.min("doc_id").alias("least"))
+    joined = members.join(common.small_side(least), "label").select("cls", "least")
+    named = classes.select("cls", "doc_id").join(joined, "cls", "left").select("cls", F.coalesce("least", "doc_id").alias("least"))
     component = F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("least"))
-    return members.join(least, "label", "left").select(
+    return signed.select("doc_id", "n", "cls").join(named, "cls", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"), "cls"
     )
 
