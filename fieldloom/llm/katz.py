@@ -38,7 +38,7 @@ from . import common
 MOST_DISCOUNTED = 5
 #: The discount where counts of counts cannot give one.
 FALLBACK = 0.5
-TOKENS_PER_BATCH, TOKENS_PER_BUCKET, LEAST_BUCKETS = 2_000_000, 3_000_000, 8
+TOKENS_PER_BATCH, TOKENS_PER_BUCKET, LEAST_BUCKETS = 2_000_000, 1_500_000, 8
 #: A context with fewer tokens is never spread over buckets.
 LEAST_SPREAD = 1000
 #: Words that no text can hold: the end, which is counted, and the start, which is only a context.
@@ -322,14 +322,17 @@ def count_pairs(joined, words: WordLevel, full: int, buckets: int) -> DataFrame:
         bucket = rows[0]["bucket"]
         every = {n: [unpack(r[n]) for r in rows] for n in ("contexts", "context_counts", "needs", "lengths", "words", "word_counts", "trained")}
         contexts = np.concatenate([np.repeat(c, n.astype(np.int64)) for c, n in zip(every["contexts"], every["lengths"])])
-        followers = np.concatenate(every["words"])
+        sizes = [len(w) for w in every["words"]]
+        # A bucket's arrays are the largest that a worker holds; each goes once it has served.
+        followers = np.concatenate(every.pop("words"))
         if (int(contexts.max()) | int(followers.max())) < 1 << 32:
             order = np.argsort(contexts << np.uint64(32) | followers, kind="stable")
         else:
             order = np.lexsort((followers, contexts))
         c, f = contexts[order], followers[order]
         begin = np.flatnonzero(np.concatenate([[True], (c[1:] != c[:-1]) | (f[1:] != f[:-1])]))
-        counts = np.add.reduceat(np.concatenate(every["trained"]).astype(np.int64)[order], begin)
+        counts = np.add.reduceat(np.concatenate(every.pop("trained")).astype(np.int64)[order], begin)
+        del contexts, followers
         place = np.empty(len(order), np.int64)
         place[order] = np.repeat(np.arange(len(begin)), np.diff(np.append(begin, len(order))))
         # Each distinct context's followers that were seen.
@@ -337,13 +340,13 @@ def count_pairs(joined, words: WordLevel, full: int, buckets: int) -> DataFrame:
         first = runs(owner)
         known = owner[first]
         seen = counts > 0
-        lower = np.where(seen, words.probabilities(np.concatenate(every["word_counts"])[order][begin].astype(np.int64)), 0)
+        lower = np.where(seen, words.probabilities(np.concatenate(every.pop("word_counts"))[order[begin]].astype(np.int64)), 0)
         lower = np.add.reduceat(lower, first)
         few = np.stack([np.add.reduceat((counts == r).astype(np.int64), first) for r in range(1, MOST_DISCOUNTED + 1)])
         out, at = [], 0
         spread = np.zeros(len(known), bool)
         for i, r in enumerate(rows):
-            n = len(every["words"][i])
+            n = sizes[i]
             at_context = np.searchsorted(known, every["contexts"][i])
             wide = every["context_counts"][i] // np.uint64(max(1, full)) > 0
             spread[at_context[wide]] = True
