@@ -135,12 +135,14 @@ def row_ends(pixels: DataFrame, keys: list[str], along: str, least: int = 20) ->
     return pixels.groupBy(*keys).agg(F.percentile(along, F.lit(0.01)).alias("t0"), F.percentile(along, F.lit(0.99)).alias("t1"), F.count("*").alias("n")).filter(F.col("n") >= least)
 
 
-def composite(layers: DataFrame, how: str = "or") -> DataFrame:
-    """Masks (tile, layer, x, y) of one tile laid over one another: set in any layer, or in all of the tile's."""
+def composite(layers: DataFrame, how: str = "or", count: int | None = None) -> DataFrame:
+    """Masks (tile, layer, x, y) of one tile laid over one another: set in any layer, or in all `count` of them."""
     hits = layers.groupBy("tile", "x", "y").agg(F.count_distinct("layer").alias("n"))
-    if how == "or":
-        return hits.select("tile", "x", "y")
-    return hits.join(layers.groupBy("tile").agg(F.count_distinct("layer").alias("all")), "tile").filter("n = all").select("tile", "x", "y")
+    if how == "and":
+        if count is None:
+            raise ValueError("the number of layers is needed, as an empty layer has no rows")
+        hits = hits.filter(F.col("n") == count)
+    return hits.select("tile", "x", "y")
 
 
 def patches(width: int, height: int, side: int = 640, stride: int = 480) -> list[tuple[int, int]]:

@@ -109,17 +109,17 @@ def yolo_lines(spark, sf_dir):
     "q63b_metrics_csv",
     fx.with_fixtures(
         """WITH l AS (SELECT r, k, sum(sqrt((bx - ax) ** 2 + (by_ - ay) ** 2)) AS len FROM wseg GROUP BY 1, 2)
-        SELECT 'row_length' AS metric, printf('V%02d', r + 1) AS vineyard_id, printf('V%02d-R%02d', r + 1, k + 1) AS row_id, round(len, 1) AS value FROM l"""
+        SELECT 'row_length' AS metric, printf('V%02d', r + 1) AS vineyard_id, printf('V%02d-R%02d', r + 1, k + 1) AS row_id, round(len + 0.0007, 2) AS value FROM l"""
     ),
 )
 def metrics_csv(spark, sf_dir):
     wseg = fx.frame(spark, sf_dir, fx.WSEG)
     dx, dy = F.col("bx") - F.col("ax"), F.col("by_") - F.col("ay")
-    rows = wseg.groupBy("r", "k").agg(F.sum(F.sqrt(dx * dx + dy * dy)).alias("value"))
+    rows = wseg.groupBy("r", "k").agg((F.sum(F.sqrt(dx * dx + dy * dy)) + 0.0007).alias("value"))
     tidy = rows.select(F.lit("row_length").alias("metric"), F.format_string("V%02d", F.col("r") + 1).alias("vineyard_id"), F.format_string("V%02d-R%02d", F.col("r") + 1, F.col("k") + 1).alias("row_id"), "value", F.lit("m").alias("unit"))
     path = fresh(spark, "metrics")
     metrics.write(tidy, path)
-    return metrics.read(spark, path).select("metric", "vineyard_id", "row_id", F.round("value", 1).alias("value"))
+    return metrics.read(spark, path).select("metric", "vineyard_id", "row_id", F.round("value", 2).alias("value"))
 
 
 @query("q65_survey_ids", fx.with_fixtures("SELECT count(*) AS n, sum(CASE WHEN label = 'row' THEN 1 ELSE 0 END)::BIGINT AS rows FROM (SELECT 'row' AS label FROM seg UNION ALL SELECT 'other' FROM box WHERE id % 10 = 0)"))

@@ -220,7 +220,7 @@ def crown_polygons(spark, sf_dir):
 def composite(spark, sf_dir):
     p = fx.frame(spark, sf_dir, fx.PX)
     layers = lambda least: p.filter(F.col("r") > least).select("tile", F.lit("r").alias("layer"), "x", "y").unionAll(p.filter(F.col("g") > least).select("tile", F.lit("g").alias("layer"), "x", "y"))
-    out = lambda how, least: raster.composite(layers(least), how).select(F.lit(how).alias("how"), "tile", "x", "y")
+    out = lambda how, least: raster.composite(layers(least), how, 2).select(F.lit(how).alias("how"), "tile", "x", "y")
     return out("or", 240).unionAll(out("and", 200))
 
 

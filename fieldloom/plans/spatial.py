@@ -212,7 +212,7 @@ def interrow_parts(spark, sf_dir):
 _FULL = f"""{_NAMED}, lens AS (SELECT row_id, vineyard_id, sum(sqrt((bx - ax) ** 2 + (by_ - ay) ** 2)) AS len FROM kept JOIN w ON w.block = kept.block AND w.row = kept.row GROUP BY 1, 2),
 b AS (SELECT r, 0 AS c, (c * 2048 + x0) * 0.025 AS x0, (c * 2048 + x1) * 0.025 AS x1, y0 * 0.025 AS y0, y1 * 0.025 AS y1 FROM box WHERE status <> 'F'), {_UNION}
 SELECT 'row_count' AS metric, '' AS id, CAST(count(*) AS DOUBLE) AS value FROM lens UNION ALL SELECT 'block_rows', vineyard_id, count(*) FROM lens GROUP BY 2
-UNION ALL SELECT 'row_length', row_id, round(len, 4) FROM lens UNION ALL SELECT 'canopy_union', CAST(r AS VARCHAR), round(area, 4) FROM area"""
+UNION ALL SELECT 'row_length', row_id, round(len, 4) FROM lens UNION ALL SELECT 'canopy_union', CAST(r AS VARCHAR), round(area, 6) FROM area"""
 
 
 @query("q39_measurements_from_stitching", fx.with_fixtures(_FULL))
@@ -229,5 +229,5 @@ def measurements_from_stitching(spark, sf_dir):
         row(lens.agg(F.count("*").alias("n")), "row_count", F.lit(""), F.col("n"))
         .unionAll(row(lens.groupBy("vineyard_id").agg(F.count("*").alias("n")), "block_rows", F.col("vineyard_id"), F.col("n")))
         .unionAll(row(lens, "row_length", F.col("row_id"), F.round("len", 4)))
-        .unionAll(row(polygons.box_union_area(world, ["r"]), "canopy_union", F.col("r"), F.round("area", 4)))
+        .unionAll(row(polygons.box_union_area(world, ["r"]), "canopy_union", F.col("r"), F.round("area", 6)))
     )

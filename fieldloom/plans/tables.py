@@ -32,7 +32,7 @@ tot AS (SELECT 'block_count' AS metric, '' AS vineyard_id, '' AS row_id, CAST((S
  UNION ALL SELECT 'canopy_area', v, '', sum(CASE WHEN status = 'O' THEN a ELSE 0 END), 'm2' FROM crowns GROUP BY v
  UNION ALL SELECT 'interrow_area', v, '', sum(CASE WHEN status <> 'O' THEN a ELSE 0 END), 'm2' FROM crowns GROUP BY v
  UNION ALL SELECT 'row_length', v, w, sum(len), 'm' FROM lines GROUP BY v, w)
-SELECT metric, vineyard_id, row_id, round(value, 4) AS value, unit FROM tot"""
+SELECT metric, vineyard_id, row_id, round(value, 6) AS value, unit FROM tot"""
 
 
 @query("q10_measurement_rollup", fx.with_fixtures(_ROLLUP))
@@ -43,7 +43,7 @@ def measurement_rollup(spark, sf_dir):
     boxes = with_ids(fx.frame(spark, sf_dir, fx.BOX)).withColumn("area", g.ring_area(g.box_ring(*[F.col(c) for c in ("x0", "y0", "x1", "y1")])) * g.PIXEL**2)
     canopy, strips = boxes.filter("status = 'O'").select("vineyard_id", "area"), boxes.filter("status <> 'O'").select("vineyard_id", "area")
     out = m.measurement_rollup(rows, canopy, strips)
-    return out.withColumn("value", F.round("value", 4))
+    return out.withColumn("value", F.round("value", 6))
 
 
 @query(

@@ -37,4 +37,5 @@ def test_matches_duckdb(spark, duck, name):
 
 @pytest.mark.parametrize("name", sorted(set(catalogue.QUERIES) - set(catalogue.ORACLES)))
 def test_runs(spark, name):
-    assert catalogue.QUERIES[name](spark, DATA).count() > 0
+    # The smallest tables leave some of these without rows.
+    assert catalogue.QUERIES[name](spark, DATA.replace("sf0.001", "sf0.01")).count() > 0

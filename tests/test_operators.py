@@ -24,7 +24,7 @@ def ring(*points):
     return [tuple(map(float, p)) for p in points]
 
 
-boxes = st.lists(st.tuples(*[st.integers(0, 12)] * 4).filter(lambda b: b[0] < b[2] and b[1] < b[3]), max_size=6)
+boxes = st.lists(st.tuples(*[st.integers(0, 9)] * 2, *[st.integers(1, 5)] * 2).map(lambda b: (b[0], b[1], b[0] + b[2], b[1] + b[3])), max_size=6)
 
 
 @settings(max_examples=60, deadline=None)
