@@ -22,7 +22,8 @@ from . import common
 SENTENCES, WORDS_PER_PIECE, LEAST_WORDS = 3, 16, 8
 
 BREAK = re.compile(r"[.!?]+(?:[ \t\n\r\f\v]+|\Z)|\n[ \t\n\r\f\v]*")
-WORD = re.compile(r"[^ \t\n\r\f\v]+")
+#: The same words as str.split() gives, whatever white space parts them.
+WORD = re.compile(r"\S+")
 
 
 def sentences(text: str | None) -> list[tuple[int, int, str, int]]:

@@ -75,3 +75,11 @@ def test_odd_documents(odd):
     assert left[7].n_removed > 0 and left[5].n_removed == 0
     assert sorted([(r.doc_id, r.text) for r in got if not r.n_removed], key=key) == sorted([r for r in ODD if r[0] != 7], key=key)
     assert sd.dedup_substrings(odd.limit(0)).count() == 0
+
+
+def test_all_white_space_parts_words():
+    for space in (" ", "\u00a0", "\u3000", "\u2003"):
+        for text in (space.join(f"w{k}" for k in range(70)), " ".join(f"w{k}" for k in range(32)) + "".join(f"{space}x{k}" for k in range(4))):
+            units = sd.sentences(text)
+            assert [t[2].split() for t in units] == [text[a:b].split() for a, b, *_ in units]
+            assert sum((t[2].split() for t in units), []) == text.split() and len(units) > 1
