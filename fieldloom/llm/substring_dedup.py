@@ -1,14 +1,15 @@
 """Substring dedup by sliding sentence spans.
 
-A text is cut into sentences, and sentences over WORDS_PER_PIECE words into pieces. Every run of SENTENCES
-consecutive ones with at least LEAST_WORDS words is hashed, and all hashes meet in one global sort. Of each
-hash the occurrence with the smallest (doc_id, position) is the first; all sentences that any other occurrence
+A text is cut into sentences, and sentences over LEAST_WORDS words into pieces of at most WORDS_PER_PIECE, at places
+that depend on the words around them alone. Every run of SENTENCES consecutive ones, lengthened where it has under
+LEAST_WORDS words, is hashed, and all hashes meet in one global sort. Of each hash the occurrence with the smallest (doc_id, position) is the first; all sentences that any other occurrence
 covers are removed from their texts.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +25,58 @@ SENTENCES, WORDS_PER_PIECE, LEAST_WORDS = 3, 16, 8
 BREAK = re.compile(r"[.!?]+(?:[ \t\n\r\f\v]+|\Z)|\n[ \t\n\r\f\v]*")
 #: The same words as str.split() gives, whatever white space parts them.
 WORD = re.compile(r"\S+")
+#: A piece ends where a word pair's hash is the least among so many on both sides; so pieces have REACH + 1 words or more.
+REACH = 2
+
+_hasher = common.owned("substring_dedup", common.WordHasher())
+
+
+def least_places(pairs: np.ndarray) -> list[int]:
+    """Places whose value is below the REACH values before and not above the REACH values behind."""
+    n = len(pairs) - 2 * REACH
+    if n <= 0:
+        return []
+    here, least = pairs[REACH : REACH + n], np.ones(n, bool)
+    for k in range(1, REACH + 1):
+        least &= (here < pairs[REACH - k : REACH - k + n]) & (here <= pairs[REACH + k : REACH + k + n])
+    return (np.flatnonzero(least) + REACH).tolist()
+
+
+def inner(places: list[int], a: int, b: int) -> list[int]:
+    """Those of the sorted places that leave more than REACH words on either side of words a to b."""
+    return places[bisect_left(places, a + REACH + 1) : bisect_right(places, b - REACH - 1)]
+
+
+def piece_cuts(hashed: np.ndarray, bounds: list[tuple[int, int]]) -> list[list[int]]:
+    """For each sentence (first word, word behind its last) the words at which its pieces begin after the first.
+
+    Whether a word begins a piece depends on the few words around it, so a passage is cut alike wherever it stands."""
+    pairs = np.zeros(len(hashed), np.uint64)
+    pairs[1:] = (hashed[:-1] * np.uint64(0x9E3779B97F4A7C15)) ^ hashed[1:]
+    pairs *= np.uint64(0xBF58476D1CE4E5B9)
+    pairs ^= pairs >> np.uint64(31)
+    first, second, out = least_places(pairs), None, []
+    for a, b in bounds:
+        if b - a <= LEAST_WORDS:
+            out.append([])
+            continue
+        cuts = inner(first, a, b)
+        edges = [a, *cuts, b]
+        if max(y - x for x, y in zip(edges, edges[1:])) > WORDS_PER_PIECE:
+            if second is None:
+                again = pairs * np.uint64(0x94D049BB133111EB)
+                second = least_places(again ^ (again >> np.uint64(29)))
+            cuts = sorted(cuts + [c for x, y in zip(edges, edges[1:]) if y - x > WORDS_PER_PIECE for c in inner(second, x, y)])
+            edges = [a, *cuts, b]
+            for x, y in zip(edges, edges[1:]):
+                if y - x > WORDS_PER_PIECE:
+                    # One word or two in turn, over and over: evenly, from the least pair on.
+                    low = x + REACH + 1
+                    low += int(np.argmin(pairs[low : min(x + WORDS_PER_PIECE, y - REACH - 1) + 1]))
+                    cuts += range(low, y - REACH, WORDS_PER_PIECE)
+            cuts.sort()
+        out.append(cuts)
+    return out
 
 
 def sentences(text: str | None) -> list[tuple[int, int, str, int]]:
@@ -32,38 +85,56 @@ def sentences(text: str | None) -> list[tuple[int, int, str, int]]:
     Each reaches to the next one's start, so the slices of the kept ones join to the text that is left."""
     if not text:
         return []
-    out, start = [], 0
+    found, words, start = [], [], 0
     low = text.lower()
     if len(low) != len(text):
         # A character whose lower case is longer would shift the places.
         low = "".join(c if len(c.lower()) != 1 else c.lower() for c in text)
     for m in [*BREAK.finditer(text), None]:
         stop, end = (m.start(), m.end()) if m else (len(text), len(text))
-        words = low[start:stop].split()
-        if len(words) > WORDS_PER_PIECE:
-            places = [w.start() for w in WORD.finditer(text, start, stop)]
-            cuts = [start, *places[WORDS_PER_PIECE::WORDS_PER_PIECE], end]
-            for i, (a, b) in enumerate(zip(cuts, cuts[1:])):
-                piece = words[i * WORDS_PER_PIECE : (i + 1) * WORDS_PER_PIECE]
-                out.append((a, b, " ".join(piece), len(piece)))
-        elif words:
-            out.append((start, end, " ".join(words), len(words)))
-        elif out:
-            out[-1] = (out[-1][0], end, *out[-1][2:])
+        at = len(words)
+        words += low[start:stop].split()
+        if len(words) > at:
+            found.append((start, stop, end, at, len(words)))
+        elif found:
+            found[-1] = (*found[-1][:2], end, *found[-1][3:])
         start = end
+    if not found:
+        return []
+    out, bounds = [], [(a, b) for *_, a, b in found]
+    hashed = _hasher.hashes(" ".join(words).encode("utf-8", "replace").split(b" "))
+    for (start, stop, end, a, b), cuts in zip(found, piece_cuts(hashed, bounds)):
+        if not cuts:
+            out.append((start, end, " ".join(words[a:b]), b - a))
+            continue
+        places = [w.start() for w in WORD.finditer(text, start, stop)]
+        begins = [start, *(places[c - a] for c in cuts), end]
+        for x, y, i, j in zip(begins, begins[1:], [a, *cuts], [*cuts, b]):
+            out.append((x, y, " ".join(words[i:j]), j - i))
     return out
 
 
-def span_hashes(found: list[tuple[int, int, str, int]]) -> list[tuple[int, int]]:
-    """(position, hash) of every run of sentences that is long enough."""
-    single = [xxhash.xxh3_64_intdigest(s[2].encode("utf-8", "replace")) for s in found]
-    out = []
-    for i in range(len(found) - SENTENCES + 1):
-        if sum(s[3] for s in found[i : i + SENTENCES]) >= LEAST_WORDS:
-            out.append((i, xxhash.xxh3_64_intdigest(np.array(single[i : i + SENTENCES], np.uint64).tobytes())))
+def run_ends(found: list[tuple[int, int, str, int]]) -> list[int]:
+    """Of every run the unit behind its last: SENTENCES units, or more until they have LEAST_WORDS words. Begins that
+    leave too few have none."""
+    out, end, words = [], 0, 0
+    for i, unit in enumerate(found):
+        while end < len(found) and (end - i < SENTENCES or words < LEAST_WORDS):
+            words += found[end][3]
+            end += 1
+        if end - i < SENTENCES or words < LEAST_WORDS:
+            break
+        out.append(end)
+        words -= unit[3]
     return out
 
 
+def span_hashes(found: list[tuple[int, int, str, int]]) -> list[tuple[int, int]]:
+    """(position, hash) of every run of sentences."""
+    single = np.array([xxhash.xxh3_64_intdigest(s[2].encode("utf-8", "replace")) for s in found], np.uint64)
+    return [(i, xxhash.xxh3_64_intdigest(single[i:end].tobytes())) for i, end in enumerate(run_ends(found))]
+
+
 def documents_of(df: DataFrame) -> DataFrame:
     """(doc_id, mark, text): a document is known by its doc_id and its text's hash."""
     return df.select(F.col("doc_id").cast("long").alias("doc_id"), common.text_key().alias("mark"), "text")
@@ -102,8 +173,9 @@ def repeats(docs: DataFrame) -> DataFrame:
     return later.groupBy("doc_id", "mark").agg(F.sort_array(F.collect_set("at")).alias("at"), F.sort_array(F.collect_set("first.doc_id")).alias("sources"))
 
 
-def covered(at: list[int]) -> set[int]:
-    return {p + k for p in at for k in range(SENTENCES)}
+def covered(at: list[int], units: list[tuple[int, int, str, int]]) -> set[int]:
+    ends = run_ends(units) if at else []
+    return {k for p in at for k in range(p, ends[p])}
 
 
 CLEANED = T.StructType(
@@ -131,12 +203,14 @@ def dedup_substrings(df: DataFrame, changed_only: bool = False) -> DataFrame:
     joined = docs.join(found, docs["doc_id"].eqNullSafe(found["d"]) & (docs["mark"] == found["m"]), "inner" if changed_only else "left")
 
     def rebuilt(batches):
+        common.claim("substring_dedup")
         for whole in batches:
             for batch in common.slices(whole, 512):
                 total, removed, left = [], [], []
                 for t, at in zip(batch.column("text"), batch.column("at")):
                     t = t.as_py()
-                    units, out = sentences(t), covered(at.as_py() or [])
+                    units = sentences(t)
+                    out = covered(at.as_py() or [], units)
                     total.append(len(units))
                     removed.append(len(out))
                     left.append("".join([t[a:b] for i, (a, b, *_) in enumerate(units) if i not in out]) if out else t)

@@ -83,3 +83,37 @@ def test_all_white_space_parts_words():
             units = sd.sentences(text)
             assert [t[2].split() for t in units] == [text[a:b].split() for a, b, *_ in units]
             assert sum((t[2].split() for t in units), []) == text.split() and len(units) > 1
+
+
+def shared(a, b):
+    """Whether two texts share a run."""
+    return {h for _, h in sd.span_hashes(sd.sentences(a))} & {h for _, h in sd.span_hashes(sd.sentences(b))}
+
+
+def test_passages_inside_sentences_at_every_offset(documents):
+    rng = random.Random(8)
+    words = lambda n: " ".join(f"u{rng.randrange(10**6)}" for _ in range(n))
+    for trial in range(300):
+        passage = words(51)
+        if trial % 3:
+            # Breaks inside: sentences of one word to twenty.
+            broken, at = [], 0
+            for n in iter(lambda: rng.randint(1, 20 if trial % 3 == 1 else 3), None):
+                if at >= 51:
+                    break
+                broken.append(" ".join(passage.split()[at : at + n]))
+                at += n
+            passage = ". ".join(broken)
+        assert shared(f"{words(7)} {passage} {words(5)}.", f"{words(trial % 40)} {passage} {words(trial % 23)}".strip()), trial
+    passage = words(60)
+    rows = [(1, f"{words(30)} {passage} {words(30)}"), *[(2 + k, f"{words(k)} {passage} {words(9)}") for k in range(34)]]
+    got = {r.doc_id: r for r in sd.dedup_substrings(documents(rows)).collect()}
+    middle = " ".join(passage.split()[20:40])
+    assert got[1].n_removed == 0 and all(got[2 + k].sources[0] == 1 and middle not in got[2 + k].text for k in range(34))
+
+
+def test_short_sentences_in_a_row():
+    passage = " ".join(f"s{k}." for k in range(55))
+    assert shared(f"before it. {passage} behind", f"other {passage} words")
+    for a, b in (("a b " * 40, "b a " * 40), ("a " * 70, "c " + "a " * 70)):
+        assert shared(a, b)
