@@ -12,6 +12,9 @@ that joins large groups without pairs of all their members. Candidates that then
 are all confirmed pair by pair, where they are many the best of each class first: every candidate is confirmed,
 refused or within one component.
 
+The limits on neighbours only save work within components. In the end every region that still has two components is
+compared whole, in blocks, and its pairs across components that agree well enough are confirmed too.
+
 A class is known by a 64-bit hash of its set.
 """
 
@@ -43,6 +46,8 @@ CROWDED, BEST = 16, 2
 PERCENT = 80
 #: Shingles that are hashed at once.
 BLOCK = 1 << 14
+#: Documents of a region that one task compares with one another; larger regions are dealt out in pairs of such blocks.
+REGION_BLOCK = 4096
 
 _seeds = np.random.default_rng(1).integers(1, 1 << 63, (TREES * (ROOT + FURTHER), 2), dtype=np.uint64)
 MULTIPLIERS, ADDENDS = _seeds[:, 0] | np.uint64(1), _seeds[:, 1]
@@ -177,6 +182,71 @@ def candidates(classes: DataFrame) -> DataFrame:
     return ordered.mapInArrow(neighbours, "a long, b long, agree long").distinct()
 
 
+def region_pairs(classes: DataFrame, labels: DataFrame) -> DataFrame:
+    """Distinct pairs (a < b) of classes of two components that share a region in some tree and agree well enough: all
+    of them, however dense the region."""
+    named = classes.join(labels.toDF("cls", "label"), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
+    trees = named.select("cls", "label", "n", "sketch", F.posexplode("keys").alias("tree", "key"))
+    regions = trees.groupBy("tree", "key").agg(F.count("*").alias("size"), F.min("label").alias("low"), F.max("label").alias("high"))
+    blocks = F.ceil(F.col("size") / REGION_BLOCK).cast("int")
+    mixed = common.written(regions.filter("low <> high").select("tree", "key", blocks.alias("blocks")), "mixed")
+    own = F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int")
+    dealt = trees.join(common.small_side(mixed), ["tree", "key"]).withColumn("block", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    place = ["tree", "key", "low", "high"]
+    dealt = dealt.select("tree", "key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "cls", "label", "n", "sketch")
+    ordered = dealt.repartition(*place).sortWithinPartitions(*place)
+    width = TREES * SKETCHED
+
+    def compared(numbers, sketch):
+        block, cls, label, n = numbers
+        within = block.min() == block.max()
+        for i in range(len(cls) - 1):
+            other = label[i + 1 :] != label[i]
+            if not within:
+                other &= block[i + 1 :] != block[i]
+            later = np.flatnonzero(other) + i + 1
+            later = later[100 * np.minimum(n[later], n[i]) >= PERCENT * np.maximum(n[later], n[i])]
+            if len(later):
+                later = later[(sketch[later] == sketch[i]).sum(axis=1) >= LEAST_AGREEMENT * width]
+                yield np.minimum(cls[later], cls[i]), np.maximum(cls[later], cls[i])
+
+    def found(parts):
+        numbers, sketch = np.hstack([p[0] for p in parts]), np.vstack([p[1] for p in parts])
+        # A block met with itself has no pairs across blocks, and one without its counterpart has none at all.
+        if len(np.unique(numbers[2])) == 1 or (parts[0][2] and len(np.unique(numbers[0])) == 1):
+            return
+        a, b, held = [], [], 0
+        for x, y in compared(numbers, sketch):
+            a.append(x), b.append(y)
+            held += len(x)
+            if held >= 1 << 16:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
+                a, b, held = [], [], 0
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
+
+    def whole_regions(batches):
+        before, parts = None, []
+        for batch in batches:
+            keys = np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in place])
+            numbers = np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("block", "cls", "label", "n")])
+            sketch = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint8).reshape(-1, width)
+            begins = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
+            for x, y in zip(begins, begins[1:]):
+                if x == y:
+                    continue
+                key = tuple(keys[:, x].tolist())
+                if before != key and parts:
+                    yield from found(parts)
+                    parts = []
+                before = key
+                parts.append((numbers[:, x:y], sketch[x:y], key[2] != key[3]))
+        if parts:
+            yield from found(parts)
+
+    return ordered.mapInArrow(whole_regions, "a long, b long").distinct()
+
+
 def linked(a: np.ndarray, b: np.ndarray) -> bool:
     """Whether two sorted sets are similar enough, in whole numbers."""
     if 100 * min(len(a), len(b)) < PERCENT * max(len(a), len(b)):
@@ -302,7 +372,14 @@ def near_duplicates(df: DataFrame, size: int = 5) -> DataFrame:
         links = common.written(links.unionAll(pair_links(best, sets)), "links")
         rest = across.join(best.select("a", "b"), ["a", "b"], "left_anti")
         across = across_components(rest, connected_components(links))
-    final = common.written(connected_components(links.unionAll(pair_links(across, sets))).toDF("cls", "label"), "components")
+    links = common.written(links.unionAll(pair_links(across, sets)), "all-links")
+    final = common.written(connected_components(links).toDF("cls", "label"), "components")
+    missed = common.written(region_pairs(classes.filter("doc_id IS NOT NULL"), final).join(pairs.select("a", "b"), ["a", "b"], "left_anti"), "missed")
+    if not missed.isEmpty():
+        ends = missed.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+        rest = common.written(sets_of(df, classes.join(common.small_side(ends), "cls").select("cls", "doc_id"), size), "missed-sets")
+        links = links.unionAll(pair_links(missed, rest))
+        final = common.written(connected_components(links).toDF("cls", "label"), "all-components")
     # The least doc_id of each class, then of each component: documents only ever meet their class.
     members = final.join(classes.select("cls", "doc_id"), "cls")
     least = members.groupBy("label").agg(F.min("doc_id").alias("least"))

@@ -98,3 +98,35 @@ def test_repeated_rows_near_one_another(spark, documents):
     got = {(r.doc_id, r.n_shingles): r.component_id for r in near_dedup.near_duplicates(documents(rows), 2).collect()}
     want = {(d, n): c for d, n, c, _ in brute(rows, 2)}
     assert got == want
+
+
+def test_pairs_in_dense_regions(documents):
+    rng = random.Random(12)
+    base, fresh = [f"b{k}" for k in range(200)], iter(range(10**6))
+
+    def edited(words, edits):
+        words = list(words)
+        for k in rng.sample(range(len(words)), edits):
+            words[k] = f"x{next(fresh)}"
+        return words
+
+    # A family just below the threshold of one another, and a pair just above it for some of its members.
+    family = [edited(base, 15) for _ in range(700)]
+    texts = family + [edited(t, 21) for t in family[:60]]
+    rng.shuffle(texts)
+    rows = [(k, " ".join(t)) for k, t in enumerate(texts)]
+    want = brute(rows, 1)
+    assert sum(not kept for *_, kept in want) >= 50
+    got = near_dedup.near_duplicates(documents(rows), 1).select("doc_id", "n_shingles", "component_id", "kept").collect()
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
+def test_regions_in_blocks(documents, monkeypatch):
+    rng = random.Random(13)
+    base = [f"g{k}" for k in range(200)]
+    rows = [(k, noisy(rng, base, 12)) for k in range(80)]
+    classes = near_dedup.sign(documents(rows), 2)
+    nothing = classes.selectExpr("cls", "cls AS label").limit(0)
+    whole = set(map(tuple, near_dedup.region_pairs(classes, nothing).collect()))
+    monkeypatch.setattr(near_dedup, "REGION_BLOCK", 7)
+    assert whole and set(map(tuple, near_dedup.region_pairs(classes, nothing).collect())) == whole
