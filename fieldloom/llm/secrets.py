@@ -28,7 +28,13 @@ LEAST_PROBABILITY = 0.5
 MASK = "[SECRET]"
 
 TOKEN = re.compile(r"[A-Za-z0-9+/_\-]{16,}={0,2}")
-ASSIGNED = re.compile(r"[:=][ \t]*[\"']?([^\s\"'<>|]{8,})")
+ASSIGNED = re.compile(r"[:=][ \t]*[\"']?([^\s\"'<>|]{4,})")
+#: What ends a value inside a URL or a connection string, where the value itself may also reach further.
+PART = re.compile(r"[^&;,@]{4,}")
+#: Where a value may begin, also inside of another one.
+SIGN = re.compile(r"[:=]")
+#: Longest value, in characters, that is looked at inside of another value.
+INNER = 1024
 BLOCK = re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:.*?-----END [A-Z ]*PRIVATE KEY-----)?", re.S)
 NAME_BEFORE = re.compile(r"([A-Za-z][\w.\-]{1,40})[\"']?[ \t]*[:=][ \t]*[\"']?$")
 NEIGHBOUR = re.compile(r"[a-z]+")
@@ -52,19 +58,35 @@ KINDS = ("token", "assigned", "block")
 
 
 def candidates(text: str) -> list[tuple[int, int, str]]:
-    """(start, end, kind) of what may be secret in a whole text, not overlapping, in order."""
-    found = [(m.start(), m.end(), "block") for m in BLOCK.finditer(text)] if "-----BEGIN" in text else []
-    if "=" in text or ":" in text:
-        found += [(m.start(1), m.end(1), "assigned") for m in ASSIGNED.finditer(text) if NAME_BEFORE.search(text[max(0, m.start(1) - 60) : m.start(1)])]
+    """(start, end, kind) of all that may be secret in a whole text, in order, the longer first; they may overlap."""
+    found: dict[tuple[int, int], str] = {}
+    if "-----BEGIN" in text:
+        found |= {m.span(): "block" for m in BLOCK.finditer(text)}
+    reached = 0
+    for sign in SIGN.finditer(text):
+        # Inside of another value only so far, or a long run of signs would take time by its square.
+        stop = len(text) if sign.start() >= reached else min(len(text), sign.start() + INNER)
+        m = ASSIGNED.match(text, sign.start(), stop)
+        if m and stop < len(text) and m.end() == stop:
+            continue
+        if m and NAME_BEFORE.search(text[max(0, m.start(1) - 60) : m.start(1)]):
+            reached = max(reached, m.end())
+            found.setdefault(m.span(1), "assigned")
+            part = PART.match(text, *m.span(1))
+            if part:
+                found.setdefault(part.span(), "assigned")
     for m in TOKEN.finditer(text):
-        value = m.group()
-        if value.isupper() or any(map(str.isdigit, value)):
-            found.append((m.start(), m.end(), "token"))
-    out, reached = [], 0
-    for start, end, kind in sorted(found, key=lambda x: (x[0], -x[1])):
-        if start >= reached:
-            out.append((start, end, kind))
-            reached = end
+        found.setdefault(m.span(), "token")
+    return [(*span, found[span]) for span in sorted(found, key=lambda x: (x[0], -x[1]))]
+
+
+def accepted(found: list[tuple[int, int, str, float]], least: float) -> list[tuple[int, int, str, float]]:
+    """Of the judged candidates the secrets, without those that lie inside another one; in order of start and end."""
+    out, reached = [], -1
+    for c in found:
+        if c[3] >= least and c[1] > reached:
+            out.append(c)
+            reached = c[1]
     return out
 
 
@@ -115,6 +137,8 @@ def measures(text: str, path: str, start: int, end: int, kind: str) -> list[floa
         float(kind == "block"),
         value.count("-") / n,
         value.count("/") / n,
+        float(text[end : end + 1] == "@"),
+        float("@" in value or "&" in value or "://" in value or value.startswith("//")),
     ]
 
 
@@ -161,13 +185,67 @@ def labelled_findings(n: int = 4000, seed: int = 11) -> list[tuple[str, str, int
     out = []
     for i in range(n):
         label = i % 2
-        text = f"{words(rng.randint(0, 8))} {rng.choice(secret if label else harmless)()} {words(rng.randint(0, 6))}".strip()
+        before = words(rng.randint(0, 8))
+        text = f"{before} {rng.choice(secret if label else harmless)()} {words(rng.randint(0, 6))}".strip()
         path = rng.choice(["", "src1", "web/page", "src/main", "config/app"]) if label or rng.random() < 0.7 else rng.choice(["tests/unit", "docs/examples", "samples"])
-        if candidates(text):
+        found = candidates(text)
+        if found and found[0][0] >= len(before):
             out.append((text, path, label))
     return out
 
 
+def inner_findings(n: int = 3000, seed: int = 12) -> list[tuple[str, str, int, tuple[int, int, str]]]:
+    """(text, path, label, candidate) of findings drawn by rule in URLs and connection strings, of short values and of
+    tokens without a digit: the value is one and what surrounds it is not."""
+    rng = random.Random(seed)
+    pick = lambda chars, k: "".join(rng.choices(chars, k=k))
+    mixed, hexes = string.ascii_letters + string.digits, "0123456789abcdef"
+    syllables = "an er th in on re ed nd ha at en es of or nt ea ti to it st io le is ou ar as de rt ve al ing ion ment ung ich keit eau oux".split()
+    word = lambda: "".join(rng.choices(syllables, k=rng.randint(2, 4)))
+    key = lambda: rng.choice([lambda: pick(hexes, rng.choice([20, 32, 40])), lambda: pick(mixed, rng.randint(12, 40)), lambda: "ghp_" + pick(mixed, 36), lambda: "sk_live_" + pick(mixed, 24)])()
+    short = lambda: pick(mixed, rng.randint(3, 6)) + pick(string.digits, 1)
+    name = lambda: rng.choice(["token", "access_token", "api_key", "apikey", "key", "secret", "password", "pwd", "auth"])
+    host = lambda: f"{word()}.{rng.choice(['com', 'org', 'net', 'io'])}"
+    plain = lambda: rng.choice([word(), "user", "page" + pick(string.digits, 2), pick(string.digits, rng.randint(4, 8))])
+    tail = lambda: rng.choice(["", f"&page={plain()}", f"&next={word()}"])
+    lead = lambda: rng.choice(["", "url=", "see ", "link: "])
+    secret = [
+        lambda: (f"{lead()}https://{host()}/{word()}?user={plain()}&{name()}=", key(), tail()),
+        lambda: (f"{lead()}https://{host()}/{word()}?{name()}=", key(), tail()),
+        lambda: (f"{rng.choice(['', 'url=', 'dsn='])}{rng.choice(['postgres', 'mysql', 'amqp', 'mongodb', 'redis', 'https'])}://{word()}:", pick(mixed, rng.randint(8, 20)), f"@{host()}/{word()}"),
+        lambda: (f"Server={host()};Database={word()};User={word()};{rng.choice(['Password', 'Pwd'])}=", pick(mixed, rng.randint(8, 20)), rng.choice(["", ";", ";Timeout=30"])),
+        lambda: (f"{rng.choice(['password', 'passwd', 'pwd', 'secret'])}{rng.choice(['=', ': '])}", short(), ""),
+        lambda: ("", pick(string.ascii_letters, rng.randint(20, 40)), ""),
+    ]
+    harmless = [
+        lambda: (f"{lead()}https://{host()}/{word()}?user={plain()}&{rng.choice(['page', 'id', 'lang', 'sort'])}=", plain(), tail()),
+        lambda: (f"{lead()}http://{host()}:", pick(string.digits, 4), f"/{word()}"),
+        lambda: (f"{rng.choice(['note', 'see', 'time', 'word', 'title', 'by'])}: ", word(), ""),
+        lambda: (f"{rng.choice(['size', 'width', 'year', 'page', 'id'])}=", pick(string.digits, rng.randint(4, 7)), ""),
+        lambda: (f"{rng.choice(['password', 'token', 'secret'])}: ", rng.choice(["none", "null", "true", "your", "this", "changeme", "that", "must"]), ""),
+        lambda: ("", "".join(word() for _ in range(5)), ""),
+        lambda: ("", "".join(word().capitalize() for _ in range(5)), ""),
+        lambda: ("", "-".join(word() for _ in range(5)), ""),
+        lambda: ("", "".join(word() for _ in range(5)).upper(), ""),
+    ]
+    out = []
+    for i in range(n):
+        label = i % 2
+        before, value, behind = rng.choice(secret if label else harmless)()
+        lead_in = " ".join(word() for _ in range(rng.randint(0, 5)))
+        text = f"{lead_in} {before}{value}{behind} {word()}".strip()
+        start = (len(lead_in) + 1 if lead_in else 0) + len(before)
+        end = start + len(value)
+        for c in candidates(text):
+            if c[:2] == (start, end):
+                out.append((text, "", label, c))
+            elif c[0] < start or c[0] >= end:
+                # A host, a path, a parameter or all of a URL around its secret is none by itself.
+                if len(before) > 1 and c[0] >= len(lead_in):
+                    out.append((text, "", 0, c))
+    return out
+
+
 @dataclass
 class Forest:
     """Trees as arrays: feature (-1: a leaf), threshold, children and the leaf's share of secrets."""
@@ -221,13 +299,13 @@ def grow(x: np.ndarray, y: np.ndarray, rng: np.random.Generator, depth: int, lea
     return np.array(feature), np.array(threshold), np.array(child), np.array(value)
 
 
-def train(findings: list[tuple[str, str, int]] | None = None, trees: int = 40, depth: int = 12, least: int = 2, seed: int = 5) -> Forest:
-    """A forest from labelled findings (text, path, 1 for a secret)."""
-    findings = labelled_findings() if findings is None else findings
+def train(findings: list[tuple] | None = None, trees: int = 40, depth: int = 12, least: int = 2, seed: int = 5) -> Forest:
+    """A forest from labelled findings (text, path, 1 for a secret, and the candidate if it is not the text's first)."""
+    findings = labelled_findings() + inner_findings() if findings is None else findings
     if not findings:
         raise ValueError("no labelled findings to train from")
-    x = np.array([measures(text, path, *candidates(text)[0]) for text, path, _ in findings])
-    y = np.array([label for *_, label in findings], np.float64)
+    x = np.array([measures(text, path, *(which[0] if which else candidates(text)[0])) for text, path, _, *which in findings])
+    y = np.array([f[2] for f in findings], np.float64)
     rng = np.random.default_rng(seed)
     return Forest([grow(x, y, rng, depth, least) for _ in range(trees)])
 
@@ -258,7 +336,7 @@ def scan(df: DataFrame, forest: Forest, path: str = "source", least: float = LEA
     """Every candidate of every whole text with the forest's verdict.
 
     Returns doc_id, start and end (characters), kind, probability, is_secret and the value's SHA-256, not the
-    value. Null and empty texts have no candidates; a null path counts as empty and a null doc_id stays null;
+    value. Candidates may overlap; one inside an accepted one is not reported as a secret once more. Null and empty texts have no candidates; a null path counts as empty and a null doc_id stays null;
     repeated rows give their findings each. Other columns are not read.
     """
 
@@ -268,8 +346,10 @@ def scan(df: DataFrame, forest: Forest, path: str = "source", least: float = LEA
             rows = []
             for doc, where, text in zip(*(batch.column(c) for c in range(3))):
                 text = text.as_py() or ""
-                for start, end, kind, p in judged(forest, text, where.as_py() or ""):
-                    rows.append((doc.as_py(), start, end, kind, p, p >= least, hashlib.sha256(text[start:end].encode("utf-8", "replace")).hexdigest()))
+                found = judged(forest, text, where.as_py() or "")
+                secret = {c[:2] for c in accepted(found, least)}
+                for start, end, kind, p in found:
+                    rows.append((doc.as_py(), start, end, kind, p, (start, end) in secret, hashlib.sha256(text[start:end].encode("utf-8", "replace")).hexdigest()))
             columns = list(zip(*rows)) or [()] * len(FOUND)
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.float64(), pa.bool_(), pa.string())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=FOUND.names)
@@ -286,9 +366,14 @@ def mask(text, path, forest: Forest, least: float = LEAST_PROBABILITY):
         out = []
         for t, where in zip(texts, paths):
             t = t.as_py()
-            for start, end, _, p in reversed(judged(forest, t or "", where.as_py() or "")):
-                if p >= least:
-                    t = t[:start] + MASK + t[end:]
+            spans: list[list[int]] = []
+            for start, end, *_ in accepted(judged(forest, t or "", where.as_py() or ""), least):
+                if spans and start < spans[-1][1]:
+                    spans[-1][1] = end
+                else:
+                    spans.append([start, end])
+            for start, end in reversed(spans):
+                t = t[:start] + MASK + t[end:]
             out.append(t)
         return pa.array(out, pa.string())
 
