@@ -62,6 +62,6 @@ def written(df: DataFrame, label: str) -> DataFrame:
 BROADCAST_ROWS = 1_000_000
 
 
-def small_side(df: DataFrame) -> DataFrame:
-    """Mark df, whose rows are a few numbers wide, for broadcast if its counted size is within BROADCAST_ROWS."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+def small_side(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """Mark df, whose rows are a few numbers wide, for broadcast if it is counted and has no more rows than that."""
+    return F.broadcast(df) if df.count() <= most else df
