@@ -2,8 +2,8 @@ import os
 import random
 
 import duckdb
+import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from fieldloom.llm import common, near_dedup
 
@@ -85,9 +85,9 @@ def test_matches_duckdb(spark):
 
 def test_candidates_are_linear_in_a_group(documents):
     rows = [(k, " ".join([f"g{i}" for i in range(300)] + [f"x{k}"])) for k in range(400)]
-    signed = near_dedup.sign(documents(rows), 2).withColumn("first", F.lit(0))
-    pairs = near_dedup.candidates(signed.drop("first")).count()
-    assert pairs <= 400 * near_dedup.TREES * near_dedup.TIGHT < 400 * 399 / 2
+    signed = near_dedup.sign(documents(rows), 2)
+    edges = near_dedup.candidate_stars(signed, near_dedup.regions(signed)).count()
+    assert 399 <= edges <= 400 * near_dedup.TREES
 
 
 def test_repeated_rows_near_one_another(spark, documents):
@@ -121,12 +121,54 @@ def test_pairs_in_dense_regions(documents):
     assert sorted(map(tuple, got)) == sorted(want)
 
 
-def test_regions_in_blocks(documents, monkeypatch):
-    rng = random.Random(13)
-    base = [f"g{k}" for k in range(200)]
-    rows = [(k, noisy(rng, base, 12)) for k in range(80)]
-    classes = near_dedup.sign(documents(rows), 2)
-    nothing = classes.selectExpr("cls", "cls AS label").limit(0)
-    whole = set(map(tuple, near_dedup.region_pairs(classes, nothing).collect()))
-    monkeypatch.setattr(near_dedup, "REGION_BLOCK", 7)
-    assert whole and set(map(tuple, near_dedup.region_pairs(classes, nothing).collect())) == whole
+def planted(count, pairs, seed):
+    """Texts at about 0.775 to one another, and so many pairs of them at 0.817."""
+    rng, fresh = random.Random(seed), iter(range(10**9))
+    shared = [f"s{k}" for k in range(201)]
+    texts = []
+    for k in range(count):
+        own = [f"o{next(fresh)}" for _ in range(29)]
+        if k < 2 * pairs and k % 2:
+            own[:6] = texts[-1][201:207]
+        texts.append(shared + own)
+    order = list(range(count))
+    rng.shuffle(order)
+    rows = [(doc, " ".join(texts[k])) for doc, k in enumerate(order)]
+    place = {k: doc for doc, k in enumerate(order)}
+    return rows, {tuple(sorted((place[2 * i], place[2 * i + 1]))) for i in range(pairs)}
+
+
+@pytest.mark.parametrize("count", [3000, 30000])
+def test_every_planted_pair_in_a_dense_family(documents, count):
+    rows, want = planted(count, 300, count)
+    got = near_dedup.near_duplicates(documents(rows), 2).filter("NOT kept").select("component_id", "doc_id").collect()
+    assert set(map(tuple, got)) == want
+
+
+@pytest.mark.parametrize("block_bytes, region", [(20_000, 10**6), (60_000, 10**6), (20_000, 50), (10**9, 50)])
+def test_large_families_in_blocks(documents, monkeypatch, block_bytes, region):
+    monkeypatch.setattr(near_dedup, "BLOCK_BYTES", block_bytes)
+    monkeypatch.setattr(near_dedup, "REGION", region)
+    monkeypatch.setattr(near_dedup, "HOT_ROWS", 3)
+    rng = random.Random(14)
+    rows, _ = planted(120, 20, 1)
+    base = [f"b{k}" for k in range(200)]
+    rows += [(1000 + k, noisy(rng, base, rng.choice([2, 3, 9]))) for k in range(200)]
+    rows += [(2000 + k, " ".join(base)) for k in range(12)] + [(3000, None), (3001, "")]
+    got = near_dedup.near_duplicates(documents(rows), 2).select("doc_id", "n_shingles", "component_id", "kept").collect()
+    assert sorted(map(tuple, got)) == sorted(brute(rows, 2))
+
+
+def test_exact_heads_against_all_pairs():
+    rng = random.Random(15)
+    for seed in range(30):
+        base = rng.sample(range(1000), 40)
+        sets = [np.unique(np.array(rng.sample(base, 34) + rng.sample(range(1000), rng.randint(0, 8)), np.uint64)) for _ in range(40)]
+        labels = np.arange(40) if seed % 2 else np.array([k % 30 for k in range(40)])
+        label = {k: k for k in range(40)}
+        for i in range(40):
+            for j in range(i):
+                if labels[i] == labels[j] or near_dedup.linked(sets[i], sets[j]):
+                    low, high = sorted((label[i], label[j]))
+                    label = {k: low if v == high else v for k, v in label.items()}
+        assert near_dedup.exact_heads(sets, labels).tolist() == [label[k] for k in range(40)]
