@@ -2,8 +2,8 @@
 
 A text is cut into sentences, and sentences over LEAST_WORDS words into pieces of at most WORDS_PER_PIECE, at places
 that depend on the words around them alone. Every run of SENTENCES consecutive ones, lengthened where it has under
-LEAST_WORDS words, is hashed, and all hashes meet in one global sort. Of each hash the occurrence with the smallest (doc_id, position) is the first; all sentences that any other occurrence
-covers are removed from their texts.
+RUN_WORDS words, is hashed, and equal hashes are joined globally. Of each hash the occurrence with the smallest
+(doc_id, position) is the first; all sentences that any other occurrence covers are removed from their texts.
 """
 
 from __future__ import annotations
@@ -14,17 +14,22 @@ from bisect import bisect_left, bisect_right
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import common
 
 SENTENCES, WORDS_PER_PIECE, LEAST_WORDS = 3, 16, 8
+#: Words of a run at least; shorter ones are lengthened. A passage of over 50 words holds such a run behind the partial pieces
+#: at its ends, while phrases that texts share by chance are shorter.
+RUN_WORDS = 24
 
 BREAK = re.compile(r"[.!?]+(?:[ \t\n\r\f\v]+|\Z)|\n[ \t\n\r\f\v]*")
 #: The same words as str.split() gives, whatever white space parts them.
 WORD = re.compile(r"\S+")
+#: Rows from which on a span counts as hot.
+HOT_ROWS = 100_000
 #: A piece ends where a word pair's hash is the least among so many on both sides; so pieces have REACH + 1 words or more.
 REACH = 2
 
@@ -115,14 +120,14 @@ def sentences(text: str | None) -> list[tuple[int, int, str, int]]:
 
 
 def run_ends(found: list[tuple[int, int, str, int]]) -> list[int]:
-    """Of every run the unit behind its last: SENTENCES units, or more until they have LEAST_WORDS words. Begins that
+    """Of every run the unit behind its last: SENTENCES units, or more until they have RUN_WORDS words. Begins that
     leave too few have none."""
     out, end, words = [], 0, 0
     for i, unit in enumerate(found):
-        while end < len(found) and (end - i < SENTENCES or words < LEAST_WORDS):
+        while end < len(found) and (end - i < SENTENCES or words < RUN_WORDS):
             words += found[end][3]
             end += 1
-        if end - i < SENTENCES or words < LEAST_WORDS:
+        if end - i < SENTENCES or words < RUN_WORDS:
             break
         out.append(end)
         words -= unit[3]
@@ -162,14 +167,26 @@ def spans(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(cut, "span long, doc_id long, mark long, at int")
 
 
+def met(rows: DataFrame, sides: DataFrame) -> DataFrame:
+    """Join rows by span with sides (span, n, ...), where n is the number of the span's rows.
+
+    Spans of very many rows, of which there can only be few, are sent to all; the others may shuffle."""
+    hot, cold = sides.filter(F.col("n") > HOT_ROWS), sides.filter(F.col("n") <= HOT_ROWS)
+    return rows.join(common.small_side(hot), "span").unionAll(rows.join(common.small_side(cold), "span"))
+
+
 def repeats(docs: DataFrame) -> DataFrame:
     """(doc_id, mark, at: array of positions, sources: array of doc_ids) of every document with a non-first span.
 
-    Both arrays are bounded by the document's own sentences."""
+    Spans meet as counts and minima, which are summed before they are shuffled, so that a span in every document
+    gathers nowhere. Both arrays are bounded by the document's own sentences."""
+    every = common.written(spans(docs), "spans")
+    counts = common.written(every.groupBy("span").agg(F.count("*").alias("n")).filter("n > 1"), "counts")
+    again = common.written(met(every, counts), "repeated")
     place = F.struct("doc_id", "mark", "at")
-    first = F.first(place).over(Window.partitionBy("span").orderBy("doc_id", "mark", "at"))
+    firsts = common.written(again.groupBy("span").agg(F.min(place).alias("first"), F.count("*").alias("n")), "firsts")
     # A document repeated row by row is one document: its own first place is not a repeat.
-    later = spans(docs).withColumn("first", first).filter(~F.col("first").eqNullSafe(place))
+    later = met(again.drop("n"), firsts).filter(~F.col("first").eqNullSafe(place))
     return later.groupBy("doc_id", "mark").agg(F.sort_array(F.collect_set("at")).alias("at"), F.sort_array(F.collect_set("first.doc_id")).alias("sources"))
 
 
@@ -200,7 +217,14 @@ def dedup_substrings(df: DataFrame, changed_only: bool = False) -> DataFrame:
     """
     docs = documents_of(df)
     found = common.written(repeats(docs), "repeats").withColumnsRenamed({"doc_id": "d", "mark": "m"})
-    joined = docs.join(found, docs["doc_id"].eqNullSafe(found["d"]) & (docs["mark"] == found["m"]), "inner" if changed_only else "left")
+    # Only the texts that lose something move.
+    ids = common.small_side(found.select("d", "m"))
+    same = docs["doc_id"].eqNullSafe(F.col("d")) & (docs["mark"] == F.col("m"))
+    columns = ["doc_id", "text", "at", "sources"]
+    joined = docs.join(ids, same, "left_semi").join(found, same).select(columns)
+    if not changed_only:
+        rest = docs.join(ids, same, "left_anti")
+        joined = joined.unionByName(rest.select("doc_id", "text", F.lit(None).cast("array<int>").alias("at"), F.lit(None).cast("array<long>").alias("sources")))
 
     def rebuilt(batches):
         common.claim("substring_dedup")
@@ -218,7 +242,7 @@ def dedup_substrings(df: DataFrame, changed_only: bool = False) -> DataFrame:
                     [batch.column("doc_id"), pa.array(total, pa.int64()), pa.array(removed, pa.int64()), batch.column("sources"), pa.array(left, pa.string())], names=CLEANED.names
                 )
 
-    return joined.select("doc_id", "text", "at", "sources").mapInArrow(rebuilt, CLEANED)
+    return joined.mapInArrow(rebuilt, CLEANED)
 
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

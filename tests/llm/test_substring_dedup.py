@@ -11,13 +11,13 @@ def brute(rows):
     order = sorted(set(rows), key=lambda r: (r[0] is not None, r[0] or 0, sd_mark(r[1])))
     for doc in order:
         units = sd.sentences(doc[1])
-        for i in range(len(units) - sd.SENTENCES + 1):
-            run = units[i : i + sd.SENTENCES]
-            if sum(u[3] for u in run) < sd.LEAST_WORDS:
+        for i in range(len(units)):
+            ends = [e for e in range(i + 3, len(units) + 1) if sum(len(u[2].split()) for u in units[i:e]) >= 24]
+            if not ends:
                 continue
-            key = tuple(u[2] for u in run)
+            key = tuple(u[2] for u in units[i : ends[0]])
             if key in seen:
-                gone.setdefault(doc, set()).update(range(i, i + sd.SENTENCES))
+                gone.setdefault(doc, set()).update(range(i, ends[0]))
             else:
                 seen[key] = doc
     return {doc: "".join(doc[1][a:b] for i, (a, b, *_) in enumerate(sd.sentences(doc[1])) if i not in gone[doc]) for doc in gone}
@@ -117,3 +117,14 @@ def test_short_sentences_in_a_row():
     assert shared(f"before it. {passage} behind", f"other {passage} words")
     for a, b in (("a b " * 40, "b a " * 40), ("a " * 70, "c " + "a " * 70)):
         assert shared(a, b)
+
+
+def test_short_phrases_and_one_passage_in_every_text(documents, monkeypatch):
+    monkeypatch.setattr(sd, "HOT_ROWS", 50)
+    rng = random.Random(9)
+    words = lambda n: " ".join(f"p{rng.randrange(10**6)}" for _ in range(n))
+    phrase, passage = "one two three. four five six. seven eight nine. ten eleven. ", words(70) + ". "
+    rows = [(k, f"{words(30)}. {phrase}{words(20)}. {passage if k % 2 else ''}{words(12)}.") for k in range(200)]
+    got = {r.doc_id: r for r in sd.dedup_substrings(documents(rows)).collect()}
+    assert all(r.n_removed == 0 and r.text == dict(rows)[i] for i, r in got.items() if i % 2 == 0 or i == 1)
+    assert all(r.sources == [1] and phrase in r.text and passage[20:300] not in r.text for i, r in got.items() if i % 2 and i > 1)
