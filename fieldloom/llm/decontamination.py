@@ -7,6 +7,8 @@ outputs of a walk for each table, and item-sized windows that share a table's ke
 The number of tables follows from the recall aimed at. Every candidate is then verified by the exact edit
 distance between the item and the text around it.
 
+Every item is embedded twice, from its head and from its middle, so that edits that crowd in one half leave the other.
+
 Windows start only where an item can be near. An item of n words with k edits keeps n - 2 - 3 k of its runs of
 three words (the q-gram lemma), so a window with fewer runs that are in some item of its size is passed over.
 """
@@ -29,7 +31,8 @@ EDITS_PER_WORD = 5
 SEED_WORDS = 3
 #: Sampled outputs of a table, the recall aimed at, and the share of outputs that near windows surely share.
 SAMPLED, RECALL, AGREEMENT = 2, 0.999, 0.35
-WALKS = 3
+#: Walks from each place of an item; the tables are dealt out over them.
+WALKS = 6
 STARTS_AT_ONCE = 1 << 16
 #: Items that are sent to the executors at a time; longer lists take further passes over the documents.
 ITEMS_PER_PASS, CHARS_PER_PASS = 20_000, 16 << 20
@@ -102,7 +105,8 @@ class ItemClass:
     """Items of about the same length: their tables, and the steps that a window of that size is walked.
 
     seeds are the items' runs of q words, of which every near window holds `least` within `span` words; sieve has
-    a bit for each 22-bit prefix of a seed, to pass over nearly all of a text at once."""
+    a bit for each 22-bit prefix of a seed, to pass over nearly all of a text at once. A table is (walk, sampled steps,
+    keys in order, their items, 1 if it walks from the middle of items)."""
 
     steps: int
     longest: int
@@ -111,7 +115,7 @@ class ItemClass:
     least: int
     span: int
     sieve: np.ndarray
-    tables: list[tuple[int, tuple[int, ...], np.ndarray, np.ndarray]] = field(default_factory=list)
+    tables: list[tuple[int, tuple[int, ...], np.ndarray, np.ndarray, int]] = field(default_factory=list)
 
 
 class ItemIndex:
@@ -138,12 +142,14 @@ class ItemIndex:
             group = ItemClass(max(SAMPLED, least + least // 2), longest, q, known, kept, longest + allowed(longest), sieve)
             flat = np.concatenate([self.items[m][1] for m in members])
             begin = np.cumsum([0, *[len(self.items[m][1]) for m in members]])
-            walks = [walk(flat, begin[:-1], begin[1:], group.steps, 1000 * w) for w in range(WALKS)]
-            for t in range(n_tables):
-                sample = tuple(sorted(rng.choice(group.steps, min(SAMPLED, group.steps), replace=False).tolist()))
-                keys = self.keys(walks[t % WALKS], sample)
-                order = np.argsort(keys, kind="stable")
-                group.tables.append((t % WALKS, sample, keys[order], np.array(members)[order]))
+            # A walk from the middle has half of the words, and no item of the class ends within `least` of its steps but by chance.
+            for half, steps in ((0, group.steps), (1, max(SAMPLED, least - least // 4))):
+                walks = [walk(flat, begin[:-1] + half * (np.diff(begin) // 2), begin[1:], steps, 1000 * w) for w in range(WALKS)]
+                for t in range(n_tables):
+                    sample = tuple(sorted(rng.choice(steps, min(SAMPLED, steps), replace=False).tolist()))
+                    keys = self.keys(walks[t % WALKS], sample)
+                    order = np.argsort(keys, kind="stable")
+                    group.tables.append((t % WALKS, sample, keys[order], np.array(members)[order], half))
             self.classes.append(group)
 
     @staticmethod
@@ -155,7 +161,7 @@ class ItemIndex:
 
     @staticmethod
     def starts(group: ItemClass, grams: np.ndarray) -> np.ndarray:
-        """Where windows of a class can start, given the text's runs of q words."""
+        """Where windows of a class can start or have their middle, given the text's runs of q words."""
         at = np.flatnonzero(group.sieve[grams >> np.uint64(42)])
         if not len(at):
             return at
@@ -169,11 +175,11 @@ class ItemIndex:
         low, high = np.maximum(0, last[dense] - group.span), first[dense] + 1
         change = np.zeros(len(grams) + 2, np.int64)
         np.add.at(change, low, 1)
-        np.add.at(change, high, -1)
+        np.add.at(change, np.minimum(high + group.span // 2 + 1, len(change) - 1), -1)
         return np.flatnonzero(np.cumsum(change) > 0)
 
     def find(self, hashed: np.ndarray) -> dict[int, tuple[int, int]]:
-        """For each item near some window of a text: (edits, word behind the window)."""
+        """For the place of each item near some window of a text: (edits, word behind the window)."""
         found: dict[int, tuple[int, int]] = {}
         grams = {q: seeds(hashed, q) for q in {g.q for g in self.classes}}
         for group in self.classes:
@@ -183,14 +189,15 @@ class ItemIndex:
                 starts = at[low : low + STARTS_AT_ONCE]
                 stop = np.minimum(starts + group.longest, len(hashed))
                 walks = [walk(hashed, starts, stop, group.steps, 1000 * w) for w in range(WALKS)]
-                for w, sample, keys, members in group.tables:
+                for w, sample, keys, members, half in group.tables:
                     asked = self.keys(walks[w], sample)
                     left, right = np.searchsorted(keys, asked, "left"), np.searchsorted(keys, asked, "right")
                     for p in np.flatnonzero(right > left):
                         for m in members[left[p] : right[p]]:
-                            candidates.setdefault(int(m), []).append(int(starts[p]))
+                            before = half * (len(self.items[m][1]) // 2)
+                            candidates.setdefault(int(m), []).append(max(0, int(starts[p]) - before))
             for m, starts in candidates.items():
-                item_id, item = self.items[m]
+                item = self.items[m][1]
                 n, k = len(item), allowed(len(item))
                 # Windows that overlap are verified at once.
                 starts = sorted(set(starts))
@@ -200,14 +207,15 @@ class ItemIndex:
                         if s > upto + n:
                             break
                         upto = s
-                    a, b = max(0, starts[0] - k), min(len(hashed), upto + n + k)
+                    # Up to k words may be gained or lost before the middle, and as many behind it.
+                    a, b = max(0, starts[0] - 2 * k), min(len(hashed), upto + n + 2 * k)
                     starts = [s for s in starts if s > upto]
                     # Every word that is not edited stands in the text, so fewer common words rule the item out.
                     if np.isin(item, hashed[a:b]).sum() < n - k:
                         continue
                     edits, end = edit_distance_within(item, hashed[a:b])
-                    if edits <= k and (item_id not in found or edits < found[item_id][0]):
-                        found[item_id] = (edits, a + end)
+                    if edits <= k and (m not in found or edits < found[m][0]):
+                        found[m] = (edits, a + end)
         return found
 
 
@@ -218,22 +226,23 @@ def hits_of(index: ItemIndex, text: str | None) -> dict[int, tuple[int, int]]:
     return index.find(_hasher.hashes(words(text))) if text else {}
 
 
-def passes(items: DataFrame) -> list[ItemIndex]:
-    """Indexes over blocks of items of bounded size, in the order of item_id."""
-    out, block, chars = [], [], 0
+def passes(items: DataFrame):
+    """Blocks of (item_id, text) of bounded size, one at a time, in the order of item_id, each with whether it is the last."""
+    block, chars = [], 0
     rows = items.dropna(subset=["item_id"]).select("item_id", "text").distinct().orderBy("item_id", "text")
     for row in rows.toLocalIterator():
         if block and (len(block) >= ITEMS_PER_PASS or chars + len(row.text or "") > CHARS_PER_PASS):
-            out.append(ItemIndex(block))
+            yield block, False
             block, chars = [], 0
         block.append((row.item_id, row.text))
         chars += len(row.text or "")
-    return [*out, ItemIndex(block)]
+    yield block, True
 
 
 FOUND = T.StructType(
     [
         T.StructField("doc_id", T.LongType()),
+        T.StructField("mark", T.LongType()),
         T.StructField("item_id", T.LongType()),
         T.StructField("edits", T.IntegerType()),
         T.StructField("item_words", T.IntegerType()),
@@ -247,33 +256,36 @@ def find_items(df: DataFrame, items: DataFrame) -> DataFrame:
 
     Returns (doc_id, item_id, edits, item_words, end_word) for each document and item with a run of the text
     within item_words div 5 word edits of the item (none for up to five words), with the least edits and the word
-    behind that run. Null and empty texts and items without words match nothing; a null doc_id stays null;
-    repeated rows give their hits each; items with a null id are left out, and equal items count once. The index
-    of a block of items is sent to the executors; a benchmark over ITEMS_PER_PASS items or CHARS_PER_PASS
-    characters takes more passes over df. Other columns are not read.
+    behind that run. Null and empty texts and items without words match nothing; a null doc_id stays null. Rows that
+    repeat a doc_id and text give a hit once. Items with a null id are left out; equal items count once, and of
+    several texts under one item_id the one with the least edits counts, then that with the fewest words. The index of
+    a block of items is sent to the executors; a benchmark over ITEMS_PER_PASS items or CHARS_PER_PASS characters
+    takes more passes over df, one after the other, with the same result. Other columns are not read.
     """
 
     def over(index: ItemIndex):
-        length = {i: len(h) for i, h in index.items}
-
         def find(batches):
             common.claim("decontamination")
             for batch in batches:
                 rows = [
-                    (doc.as_py(), item, edits, length[item], end)
-                    for doc, text in zip(batch.column("doc_id"), batch.column("text"))
-                    for item, (edits, end) in sorted(hits_of(index, text.as_py()).items())
+                    (doc.as_py(), mark.as_py(), index.items[m][0], edits, len(index.items[m][1]), end)
+                    for doc, mark, text in zip(*(batch.column(c) for c in range(3)))
+                    for m, (edits, end) in sorted(hits_of(index, text.as_py()).items())
                 ]
-                columns = list(zip(*rows)) or [()] * 5
-                kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64())
+                columns = list(zip(*rows)) or [()] * len(FOUND)
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64())
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=FOUND.names)
 
-        return df.select("doc_id", "text").mapInArrow(find, FOUND)
+        return df.select(F.col("doc_id").cast("long").alias("doc_id"), common.text_key().alias("mark"), "text").mapInArrow(find, FOUND)
 
     found = None
-    for index in passes(items):
-        found = over(index) if found is None else found.unionByName(over(index))
-    return found
+    for block, last in passes(items):
+        hits = over(ItemIndex(block))
+        if not last:
+            hits = common.written(hits, "hits")
+        found = hits if found is None else found.unionByName(hits)
+    best = F.min(F.struct("edits", "item_words", "end_word")).alias("best")
+    return found.groupBy("doc_id", "mark", "item_id").agg(best).select("doc_id", "item_id", "best.*")
 
 
 def clean(text, index: ItemIndex):
@@ -293,9 +305,15 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pipeline's third stage: documents that hold a benchmark item go; columns stay as they are."""
-    for index in passes(common.table(spark, sf_dir, "benchmark")):
-        docs = docs.filter(clean(docs["text"], index))
+    """The pipeline's third stage: documents that hold a benchmark item go; columns stay as they are.
+
+    Null and empty texts stay, and so do rows with a null doc_id or repeated rows unless their text holds an item. With an
+    empty benchmark all rows stay, and of an empty docs none.
+    """
+    for block, last in passes(common.table(spark, sf_dir, "benchmark")):
+        docs = docs.filter(clean(docs["text"], ItemIndex(block)))
+        if not last:
+            docs = common.written(docs, "decontaminated")
     return docs
 
 
