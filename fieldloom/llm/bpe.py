@@ -18,6 +18,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import common
@@ -71,6 +72,8 @@ class RankArrayBPE:
         self.last = [vocab[s + self.suffix] for s in symbols]
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.tokens |= {i: t for t, i in self.added.items()}
+        #: What every special string begins with, so that most texts need not be searched for them.
+        self.added_start = os.path.commonprefix(list(self.added))
         self.added_pattern = regex.compile("(" + "|".join(map(regex.escape, sorted(self.added, key=len, reverse=True))) + ")")
 
     def encode_bytes(self, word: bytes) -> list[int]:
@@ -126,18 +129,18 @@ class WordTokenizer:
     def __init__(self, path: str) -> None:
         self.bpe = RankArrayBPE(path)
         self.cache = common.owned("bpe", common.TwoGenerationCache(CACHED_WORDS))
+        self.token_of = {str(i): t for i, t in self.bpe.tokens.items()}
 
-    def _word(self, word: str) -> tuple[int, str, str]:
-        ids = self.bpe.encode_bytes(word.encode("utf-8", "replace"))
-        return len(ids), " ".join(map(str, ids)), " ".join([self.bpe.tokens[i] for i in ids])
+    def _word(self, word: str) -> str:
+        return " ".join(map(str, self.bpe.encode_bytes(word.encode("utf-8", "replace"))))
 
-    def pieces(self, text: str) -> list[tuple[int, str, str]]:
-        """(number of ids, ids, tokens) of each word and of each special string."""
+    def pieces(self, text: str) -> list[str]:
+        """The ids of each word and of each special string, decimal and joined by a space."""
         out = []
         # Special strings are found in the text as it stands, before anything is normalised.
-        for at, part in enumerate(self.bpe.added_pattern.split(text) if "<|" in text else (text,)):
+        for at, part in enumerate(self.bpe.added_pattern.split(text) if self.bpe.added and self.bpe.added_start in text else (text,)):
             if at % 2:
-                out.append((1, str(self.bpe.added[part]), part))
+                out.append(str(self.bpe.added[part]))
                 continue
             if not part.isascii():
                 # Each character is lowered by itself, so a final capital sigma is no exception.
@@ -148,11 +151,11 @@ class WordTokenizer:
         return out
 
     def encode(self, text: str) -> list[int]:
-        return [int(i) for n, ids, _ in self.pieces(text) if n for i in ids.split(" ")]
+        return [int(i) for piece in self.pieces(text) for i in piece.split()]
 
-    def decode(self, ids: list[int]) -> str:
-        """The tokens of ids joined by spaces, as a tokenizer without a decoder gives them."""
-        return " ".join([self.bpe.tokens[i] for i in ids])
+    def decode(self, ids: list[int] | list[str]) -> str:
+        """The tokens of ids, numbers or decimal, joined by spaces, as a tokenizer without a decoder gives them."""
+        return " ".join([self.token_of[i] for i in map(str, ids)])
 
 
 _loaded: dict[str, WordTokenizer] = {}
@@ -192,9 +195,10 @@ def encode_documents(df: DataFrame, path: str | None = None, digests: bool = Fal
             for batch in common.slices(whole):
                 counts, ids, decoded = [], [], []
                 for text in batch.column("text"):
-                    pieces = tokenizer.pieces(text.as_py() or "")
-                    counts.append(sum([p[0] for p in pieces]))
-                    i, d = " ".join([p[1] for p in pieces]), " ".join([p[2] for p in pieces])
+                    i = " ".join(tokenizer.pieces(text.as_py() or ""))
+                    coded = i.split(" ") if i else []
+                    counts.append(len(coded))
+                    d = tokenizer.decode(coded)
                     ids.append(sha(i) if digests else i)
                     decoded.append(sha(d) if digests else d)
                 yield pa.RecordBatch.from_arrays(
@@ -202,7 +206,7 @@ def encode_documents(df: DataFrame, path: str | None = None, digests: bool = Fal
                     names=["doc_id", "n_tokens", "ids", "decoded"],
                 )
 
-    encoded = df.select("doc_id", "text").mapInArrow(encode, ENCODED)
+    encoded = df.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(encode, ENCODED)
     return encoded.withColumnsRenamed({"ids": "ids_sha256", "decoded": "decoded_sha256"}) if digests else encoded
 
 
