@@ -129,25 +129,25 @@ def graded(labels: DataFrame) -> DataFrame:
     return labels.dropna(subset=["doc_id", "quality", "toxic"]).groupBy("doc_id").agg(F.min(grade).alias("grade"))
 
 
-def examples(documents: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> DataFrame:
-    """(doc_id, grade, text) of at most bound rated documents, chosen by the hash of doc_id."""
-    chosen = graded(labels).orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
-    # The bound proves the size of the broadcast side.
-    return documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "grade", "text").limit(bound)
-
-
 def train(documents: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> OrdinalModel:
-    """Fit the model on a bounded sample of rated documents."""
+    """Fit the model on at most bound rated documents, chosen by the hash of doc_id.
+
+    Ratings with a null are left out. A null text counts as empty, and of several texts of one doc_id the one with the
+    least features, in byte order, is taken. Without any rated document the model keeps every text."""
+    chosen = graded(labels).orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
 
     def extract(batches):
         common.claim("quality")
-        for batch in batches:
-            found = [np.fromiter(sorted(features(t.as_py())), np.int32).tobytes() for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("grade").cast(pa.int32()), pa.array(found, pa.binary())], names=["doc_id", "grade", "slots"])
-
-    rows = examples(documents, labels, bound).mapInArrow(extract, "doc_id long, grade int, slots binary").collect()
+        for whole in batches:
+            for batch in common.slices(whole):
+                found = [np.fromiter(sorted(features(t.as_py())), np.int32).tobytes() for t in batch.column("text")]
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("grade").cast(pa.int32()), pa.array(found, pa.binary())], names=["doc_id", "grade", "slots"])
+
+    # The bound proves the size of the broadcast side. Features are made where the texts are read, and only they move.
+    rated = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "grade", "text")
+    rows = rated.mapInArrow(extract, "doc_id long, grade int, slots binary").groupBy("doc_id", "grade").agg(F.min("slots").alias("slots")).collect()
     # In a fixed order, sums come out the same in every run.
-    return fit([(r.grade, np.frombuffer(r.slots, np.int32)) for r in sorted(rows, key=lambda r: (r.doc_id, bytes(r.slots)))])
+    return fit([(r.grade, np.frombuffer(r.slots, np.int32)) for r in sorted(rows, key=lambda r: r.doc_id)])
 
 
 SCORED = T.StructType(
@@ -160,7 +160,7 @@ SCORED = T.StructType(
 
 
 def score(text, model: OrdinalModel, least_tail: float = LEAST_TAIL):
-    """A column of (expected_grade, tail_probability, kept) for a column of texts."""
+    """A column of (expected_grade, tail_probability, kept) for a column of whole texts; a null counts as empty."""
     schema = pa.struct([("expected_grade", pa.float64()), ("tail_probability", pa.float64()), ("kept", pa.bool_())])
 
     @F.arrow_udf(SCORED)
@@ -184,7 +184,10 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pipeline's first stage: documents that the classifier rejects go; columns stay as they are."""
+    """The pipeline's first stage: documents that the classifier rejects go; columns stay as they are.
+
+    Rows are judged by their text alone, so null ids and repeated rows are like others; a null text counts as empty.
+    Without labels all stay, and an empty docs stays empty."""
     model = train(docs, common.table(spark, sf_dir, "labels"))
     return docs.filter(score(docs["text"], model)["kept"])
 
