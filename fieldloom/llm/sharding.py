@@ -81,9 +81,12 @@ def external_shuffle(
 
 
 def write_shards(df: DataFrame, path: str, n_shards: int, **options) -> None:
-    """Shuffle df and write it as Parquet, one folder for each shard, rows in the order of their slots."""
+    """Shuffle df and write it as Parquet, one folder for each shard.
+
+    The second pass writes what it has: a task's buckets go to the shards that they reach, without another shuffle.
+    Rows carry their slot, and each file holds its rows in the order of slots."""
     placed = external_shuffle(df, n_shards, **options)
-    placed.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+    placed.sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
 
 
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -45,6 +45,10 @@ def test_written_shards(spark, odd, tmp_path):
     sharding.write_shards(odd, str(tmp_path / "shards"), 3)
     back = spark.read.parquet(str(tmp_path / "shards"))
     assert back.count() == len(ODD) and back.select("shard").distinct().count() == 3
+    laws(back.collect(), len(ODD), 3)
+    for one in (tmp_path / "shards").rglob("*.parquet"):
+        slots = [r.slot for r in spark.read.parquet(str(one)).collect()]
+        assert slots == sorted(slots)
 
 
 def test_query_columns(spark):
