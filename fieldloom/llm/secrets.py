@@ -92,7 +92,7 @@ def accepted(found: list[tuple[int, int, str, float]], least: float) -> list[tup
 
 def covered(value: str) -> float:
     """Share of a value's characters that dictionary words of three letters or more cover, longest first."""
-    low, hit, at = value.lower()[:4096], 0, 0
+    low, hit, at = value.lower(), 0, 0
     while at < len(low):
         n = next((n for n in range(min(9, len(low) - at), 2, -1) if low[at : at + n] in DICTIONARY), 0)
         hit, at = hit + n, at + (n or 1)
@@ -354,7 +354,7 @@ def scan(df: DataFrame, forest: Forest, path: str = "source", least: float = LEA
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.float64(), pa.bool_(), pa.string())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=FOUND.names)
 
-    return df.select("doc_id", F.col(path).cast("string"), "text").mapInArrow(find, FOUND)
+    return df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(path).cast("string"), "text").mapInArrow(find, FOUND)
 
 
 def mask(text, path, forest: Forest, least: float = LEAST_PROBABILITY):

@@ -221,7 +221,7 @@ class CountTransducer:
         """Tokens of each text; special strings count as the one token they are to the library."""
         segments, owners, special = [], [], [0] * len(texts)
         for i, text in enumerate(texts):
-            parts = self.bpe.added_pattern.split(text) if text and "<|" in text else [text or ""]
+            parts = self.bpe.added_pattern.split(text) if text and self.bpe.added and self.bpe.added_start in text else [text or ""]
             special[i] = len(parts) // 2
             segments += parts[::2]
             owners += [i] * (len(parts) // 2 + 1)
@@ -302,7 +302,7 @@ def count_tokens(df: DataFrame, limit: int = 512, path: str | None = None) -> Da
                 n_bytes = pc.fill_null(pc.binary_length(text), 0).cast(pa.int64())
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), n_bytes, n_tokens, pc.greater(n_tokens, limit)], names=COUNTED.names)
 
-    return df.select("doc_id", "text").mapInArrow(count, COUNTED)
+    return df.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(count, COUNTED)
 
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
