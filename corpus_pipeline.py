@@ -12,7 +12,9 @@ from fieldloom.llm import bpe, common, decontamination, near_dedup, quality, sec
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The last stage: the ids of every document that is left, and their digests."""
+    """The last stage: the number of ids of every document that is left, and the digests of its ids and of their decoding.
+
+    A null or empty text has no ids; null ids and repeated rows give a row each; an empty docs gives an empty result."""
     return bpe.encode_documents(docs, digests=True)
 
 
