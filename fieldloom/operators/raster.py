@@ -65,9 +65,10 @@ def stencil(pixels: DataFrame, value: str, kernel: dict[tuple[int, int], float],
     return out.groupBy("tile", (F.col("x") + F.col("s.dx")).alias("x"), (F.col("y") + F.col("s.dy")).alias("y")).agg(F.sum(F.col(value) * F.col("s.w")).alias(name))
 
 
-#: The 3 x 3 Sobel kernels.
-SOBEL_X = {(-1, -1): -1, (1, -1): 1, (-1, 0): -2, (1, 0): 2, (-1, 1): -1, (1, 1): 1}
-SOBEL_Y = {(-1, -1): -1, (0, -1): -2, (1, -1): -1, (-1, 1): 1, (0, 1): 2, (1, 1): 1}
+#: The 5 x 5 Sobel kernels' two factors.
+_SLOPE, _ACROSS = (-1, -2, 0, 2, 1), (1, 4, 6, 4, 1)
+SOBEL_X = {(x - 2, y - 2): _SLOPE[x] * _ACROSS[y] for y in range(5) for x in range(5) if _SLOPE[x]}
+SOBEL_Y = {(x, y): w for (y, x), w in SOBEL_X.items()}
 
 
 def structure_angle(gradients: DataFrame) -> DataFrame:
@@ -79,15 +80,19 @@ def structure_angle(gradients: DataFrame) -> DataFrame:
 
 def angle_scores(mask: DataFrame, bin_px: float = 6.0, step: float = 0.5) -> DataFrame:
     """(tile, angle, variance): for each angle in steps of half a degree the variance of how many pixels fall into bins
-    across it, empty bins included. The angles are a fixed short list, so every pixel is counted 360 times at most."""
+    across it, empty bins included. A tile's pixels move once, and all angles are tried where they are."""
     n = round(180 / step)
-    at = mask.select("tile", "x", "y", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("k")).withColumn("angle", F.col("k") * step)
-    offset = F.col("y") * F.cos(F.radians("angle")) - F.col("x") * F.sin(F.radians("angle"))
-    binned = at.withColumn("s", F.round(offset, 6))
-    least = binned.groupBy("tile", "angle").agg(F.min("s").alias("low"))
-    counts = binned.join(least, ["tile", "angle"]).groupBy("tile", "angle", F.floor((F.col("s") - F.col("low")) / bin_px).alias("bin")).agg(F.count("*").alias("c"))
-    sums = counts.groupBy("tile", "angle").agg((F.max("bin") + 1).alias("bins"), F.sum("c").alias("s1"), F.sum(F.col("c") * F.col("c")).alias("s2"))
-    return sums.select("tile", "angle", (F.col("s2") / F.col("bins") - F.pow(F.col("s1") / F.col("bins"), 2)).alias("variance"))
+
+    def kernel(group: pd.DataFrame) -> pd.DataFrame:
+        x, y, out = group["x"].to_numpy(np.float64), group["y"].to_numpy(np.float64), []
+        for angle in (k * step for k in range(n)):
+            s = np.round(y * math.cos(math.radians(angle)) - x * math.sin(math.radians(angle)), 6)
+            counts = np.bincount(np.floor((s - s.min()) / bin_px).astype(np.int64)).astype(np.float64)
+            out.append((group["tile"].iloc[0], angle, (counts * counts).sum() / len(counts) - (counts.sum() / len(counts)) ** 2))
+        return pd.DataFrame(out, columns=["tile", "angle", "variance"])
+
+    kind = mask.schema["tile"].dataType.simpleString()
+    return per_tile(mask.select("tile", "x", "y"), kernel, f"tile {kind}, angle double, variance double")
 
 
 def best_angle(scores: DataFrame) -> DataFrame:
@@ -155,18 +160,45 @@ def patches(width: int, height: int, side: int = 640, stride: int = 480) -> list
 
 
 def gaussian_blur(a: np.ndarray, sigma: float) -> np.ndarray:
-    """Separable convolution, mirrored at the edges."""
+    """Separable convolution, mirrored at the edges' middle."""
     radius = int(4 * sigma + 0.5)
     k = np.exp(-0.5 * (np.arange(-radius, radius + 1) / sigma) ** 2)
     k /= k.sum()
     for axis in (0, 1):
         pad = [(0, 0), (0, 0)]
         pad[axis] = (radius, radius)
-        wide = np.pad(a.astype(np.float64), pad, mode="symmetric")
+        wide = np.pad(a.astype(np.float64), pad, mode="reflect" if a.shape[axis] > 1 else "edge")
         a = sum(w * np.take(wide, range(i, i + a.shape[axis]), axis=axis) for i, w in enumerate(k))
     return a
 
 
+def dominant_angle(mask: np.ndarray, sigma: float = 9.0) -> float:
+    """Direction of the lines in a mask: it is blurred, so that gaps along a line do not count, and the structure tensor of its
+    5 x 5 gradients gives the way across them."""
+    soft = np.pad(gaussian_blur(mask.astype(np.float64), sigma), 2, mode="reflect")
+    h, w = mask.shape
+    gx, gy = (sum(v * soft[2 + y : 2 + y + h, 2 + x : 2 + x + w] for (x, y), v in k.items()) for k in (SOBEL_X, SOBEL_Y))
+    return math.atan2(2 * (gx * gy).sum(), (gx * gx).sum() - (gy * gy).sum()) / 2 + math.pi / 2
+
+
+def dominant_angles(pixels: DataFrame, width: int, height: int, sigma: float = 9.0) -> DataFrame:
+    """(tile, angle) of the set pixels (tile, x, y) of every tile."""
+
+    def kernel(group: pd.DataFrame) -> pd.DataFrame:
+        (on,) = dense(group.assign(one=1), width, height, ("one",))
+        return pd.DataFrame({"tile": [group["tile"].iloc[0]], "angle": [dominant_angle(on, sigma)]})
+
+    kind = pixels.schema["tile"].dataType.simpleString()
+    return per_tile(pixels.select("tile", "x", "y"), kernel, f"tile {kind}, angle double")
+
+
+def ellipse(size: int) -> list[tuple[int, int]]:
+    """Offsets of an elliptic element of so many pixels across, from its middle (the later one of an even size)."""
+    r = size // 2
+    reach = lambda dy: round(r * math.sqrt((r * r - dy * dy) / (r * r))) if r else 0
+    return [(dx, dy) for dy in range(-r, size - r) for dx in range(-r, size - r) if abs(dx) <= reach(dy)]
+
+
 def _shifted_any(mask: np.ndarray, offsets: list[tuple[int, int]], fill: bool) -> np.ndarray:
     reach = max(max(abs(x), abs(y)) for x, y in offsets)
     wide = np.pad(mask, reach, constant_values=fill)
@@ -365,6 +397,18 @@ def merge_collinear(lines: list[list[tuple[float, float]]], gap: float = 90.0, t
         del out[j]
 
 
+def merged_lines(rows: DataFrame, gap: float = 90.0, turn: float = 12.0, epsilon: float = 8.0) -> DataFrame:
+    """(tile, row, points): each tile's lines (tile, row, points) after merge_collinear, renumbered; a tile has few lines."""
+    kind = rows.schema["tile"].dataType.simpleString()
+
+    def kernel(group: pd.DataFrame) -> pd.DataFrame:
+        lines = [[(p["x"], p["y"]) for p in points] for points in group.sort_values("row")["points"] if points is not None and len(points) >= 2]
+        merged = merge_collinear(lines, gap, turn, epsilon)
+        return pd.DataFrame({"tile": group["tile"].iloc[0], "row": range(len(merged)), "points": [[{"x": x, "y": y} for x, y in line] for line in merged]})
+
+    return per_tile(rows.select("tile", "row", "points"), kernel, f"tile {kind}, row int, points array<struct<x: double, y: double>>")
+
+
 def keep_apart(points: list[tuple[float, float]], least: float) -> list[int]:
     """Indices of the points that are at least that far from every one kept before them."""
     kept: list[int] = []
@@ -375,9 +419,9 @@ def keep_apart(points: list[tuple[float, float]], least: float) -> list[int]:
 
 
 def crowns(green: np.ndarray, mask: np.ndarray, least: int = 240, most: int = 12800, share: float = 0.08, epsilon: float = 0.004, radius: int | None = None) -> list[dict]:
-    """Crown outlines of one tile: close and open the mask, drop oversized blobs, split touching crowns by a watershed
+    """Crown outlines of one tile: close and open the mask with elements of 4 and 2 pixels across, drop blobs of over `most`, split touching crowns by a watershed
     from the distance map's peaks, trace and simplify."""
-    clean = remove_sizes(opening(closing(mask, disc(4)), disc(2)), most=math.inf)
+    clean = remove_sizes(opening(closing(mask, ellipse(4)), ellipse(2)), most=most)
     if not clean.any():
         return []
     d = distance_transform(clean)
@@ -394,6 +438,81 @@ def crowns(green: np.ndarray, mask: np.ndarray, least: int = 240, most: int = 12
     return out
 
 
+def distinct_crowns(found: DataFrame, least: float = 15.0) -> DataFrame:
+    """Crowns (tile, crown, ring) without those whose vertex mean is nearer than `least` to one kept before, in the order
+    of `crown`; a tile has few crowns."""
+    kind = found.schema["tile"].dataType.simpleString()
+
+    def kernel(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("crown").reset_index(drop=True)
+        middle = [tuple(np.mean([(p["x"], p["y"]) for p in ring], axis=0)) for ring in group["ring"]]
+        return group.iloc[keep_apart(middle, least)]
+
+    rings = found.filter("size(ring) > 0").select("tile", "crown", "ring")
+    return per_tile(rings, kernel, f"tile {kind}, crown int, ring array<struct<x: double, y: double>>")
+
+
+def blob_prompts(mask: np.ndarray, least: float = 120.0, most: int = 300) -> list[tuple[float, float]]:
+    """Centroids of a mask's 8-connected blobs of at least `least` pixels, in reading order; of more than `most` blobs
+    the largest ones, largest first."""
+    labels, n = label(mask)
+    sizes = np.bincount(labels.ravel(), minlength=n + 1)
+    kept = [k for k in range(1, n + 1) if sizes[k] >= least]
+    if len(kept) > most:
+        kept = sorted(kept, key=lambda k: (-sizes[k], -k))[:most]
+    return [(float(xs.mean()), float(ys.mean())) for k in kept for ys, xs in [np.nonzero(labels == k)]]
+
+
+def prompted_crowns(green: np.ndarray, answers: list[np.ndarray], least: float = 240.0, most: float = 12800.0, epsilon: float = 0.004, apart: float = 15.0) -> list[list[tuple[float, float]]]:
+    """Crown outlines from a prompted model's masks (probabilities): over one half, on green only, of the largest part
+    the outline, within the area's bounds, and not where an earlier one has its middle."""
+    rings = []
+    for answer in answers:
+        on = (answer > 0.5) & green
+        labels, n = label(on)
+        outlines = [contour(labels == k) for k in range(1, n + 1)]
+        area = lambda r: abs(sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(r, [*r[1:], r[0]]))) / 2
+        ring = max(outlines, key=area, default=None)
+        if ring and least <= area(ring) <= most and len(simple := simplify_ring(ring, epsilon)) >= 3:
+            rings.append(simple)
+    return [rings[i] for i in keep_apart([tuple(np.mean(r, axis=0)) for r in rings], apart)]
+
+
+def prompt_crowns(pixels: DataFrame, load, width: int, height: int, **limits) -> DataFrame:
+    """(tile, crown, ring) of every tile by a prompted model, called once a worker: load() gives a function of an image
+    (height x width x 3) and point prompts that returns a mask of probabilities for each. pixels carry `on`, the green mask."""
+    kind = pixels.schema["tile"].dataType.simpleString()
+    model = []
+
+    def kernel(group: pd.DataFrame) -> pd.DataFrame:
+        if not model:
+            model.append(load())
+        r, g, b, on = dense(group, width, height, ("r", "g", "b", "on"))
+        prompts = blob_prompts(on > 0)
+        rings = prompted_crowns(on > 0, model[0](np.stack([r, g, b], axis=2), prompts), **limits) if prompts else []
+        return pd.DataFrame({"tile": group["tile"].iloc[0], "crown": range(len(rings)), "ring": [[{"x": x, "y": y} for x, y in ring] for ring in rings]})
+
+    return per_tile(pixels, kernel, f"tile {kind}, crown int, ring array<struct<x: double, y: double>>")
+
+
+def infer_patches(pixels: DataFrame, load, width: int, height: int, side: int = 640, stride: int = 480) -> DataFrame:
+    """(tile, x, y) that a model sets on any of a tile's overlapping patches: load() gives a function of a patch
+    (height x width x 3) that returns its mask, and is called once a worker."""
+    kind = pixels.schema["tile"].dataType.simpleString()
+    model = []
+
+    def kernel(group: pd.DataFrame) -> pd.DataFrame:
+        if not model:
+            model.append(load())
+        image, out = np.stack(dense(group, width, height, ("r", "g", "b")), axis=2), np.zeros((height, width), bool)
+        for x, y in patches(width, height, side, stride):
+            out[y : y + side, x : x + side] |= np.asarray(model[0](image[y : y + side, x : x + side])) > 0
+        ys, xs = out.nonzero()
+        return pd.DataFrame({"tile": group["tile"].iloc[0], "x": xs, "y": ys})
+
+    return per_tile(pixels.select("tile", "x", "y", "r", "g", "b"), kernel, f"tile {kind}, x int, y int")
+
+
 def dense(group: pd.DataFrame, width: int, height: int, bands: tuple[str, ...]) -> list[np.ndarray]:
     out = []
     for b in bands:

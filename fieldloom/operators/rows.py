@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldloom.functions import geometry as g
 from fieldloom.operators import raster
-from fieldloom.operators.sequences import gap_split, gaussian_smooth, local_maxima, separated
+from fieldloom.operators.sequences import gap_split, gaussian_weights, separated
 
 LINE = "array<struct<x: double, y: double>>"
 
@@ -79,26 +80,32 @@ def global_rows(segments: DataFrame, gap: float = 1.3, block: str = "V01") -> Da
     return split.select("id", F.format_string(f"{block}-R%02d", (F.col("cluster") + 1).cast("int")).alias("row_id"))
 
 
-def detect_rows(pixels: DataFrame, size: int, spacing: float, sigma: float = 2.0, least: int = 20) -> DataFrame:
-    """(tile, row, angle, s, t0, t1): rows as ridges of set pixels (tile, x, y) of square tiles.
+def detect_rows(pixels: DataFrame, spacing: float, sigma: float = 2.0, least: int = 20, least_pixels: int = 500) -> DataFrame:
+    """(tile, row, angle, s, t0, t1): rows as ridges of set pixels (tile, x, y) of each tile with enough of them.
 
-    The angle is the one across which pixels bunch most; the smoothed count across it has a peak per row, peaks nearer
-    than 0.6 of the spacing give way to the higher; a row ends at the first and last percentile of its pixels."""
-    angles = raster.best_angle(raster.angle_scores(pixels)).select("tile", F.radians("angle").alias("angle"))
-    # A line's offset is its distance from the tile's centre, moved to be positive.
-    reach = int(math.ceil(size * 0.75))
-    x, y, a = F.col("x") - size / 2, F.col("y") - size / 2, F.col("angle")
-    placed = pixels.join(angles, "tile").withColumns({"s": g.across(x, y, a) + reach, "t": g.along(x, y, a)})
-    counts = placed.groupBy("tile", F.floor("s").cast("int").alias("bin")).agg(F.count("*").cast("double").alias("v"))
-    smooth = gaussian_smooth(counts, ["tile"], "bin", "v", 2 * reach, sigma)
-    peaks = local_maxima(smooth, ["tile"], "bin", "smooth")
+    The angle is the one across which pixels bunch most. Pixels are counted across it in bins of two; the smoothed
+    profile has a peak per row above 0.13 of its greatest value, and of peaks nearer than 0.55 of the spacing the higher
+    stays. A row ends at the first and last percentile of its pixels, those within 0.35 of the spacing."""
+    enough = pixels.groupBy("tile").agg(F.count("*").alias("_n")).filter(F.col("_n") >= least_pixels).select("tile")
+    pixels = pixels.join(enough, "tile", "left_semi")
+    # Of the two ways along the rows the one to the east.
+    angles = raster.best_angle(raster.angle_scores(pixels)).select("tile", F.radians(F.when(F.col("angle") >= 90, F.col("angle") - 180).otherwise(F.col("angle"))).alias("angle"))
+    x, y, a = F.col("x"), F.col("y"), F.col("angle")
+    placed = pixels.join(angles, "tile").withColumns({"s": g.across(x, y, a), "t": g.along(x, y, a)})
+    placed = placed.join(placed.groupBy("tile").agg(F.min("s").alias("low")), "tile")
+    counts = placed.groupBy("tile", "low", F.floor((F.col("s") - F.col("low")) / 2).cast("int").alias("bin")).agg(F.count("*").cast("double").alias("v"))
     kind = pixels.schema["tile"].dataType.simpleString()
+    weights = [w for _, w in gaussian_weights(sigma)]
 
     def part(group: pd.DataFrame) -> pd.DataFrame:
-        kept = separated(list(zip(group["bin"], group["smooth"])), 0.6 * spacing)
-        return pd.DataFrame({"tile": group["tile"].iloc[0], "row": range(len(kept)), "peak": [float(b) for b, _ in kept]})
-
-    rows = peaks.groupBy("tile").applyInPandas(part, f"tile {kind}, row int, peak double")
-    near = placed.join(rows, "tile").filter(F.abs(F.col("s") - 0.5 - F.col("peak")) <= 0.35 * spacing)
+        profile = np.zeros(int(group["bin"].max()) + 1)
+        profile[group["bin"]] = group["v"]
+        smooth = np.convolve(np.pad(profile, len(weights) // 2, mode="symmetric"), weights, mode="valid")
+        peaks = [(i, smooth[i]) for i in range(1, len(smooth) - 1) if smooth[i - 1] <= smooth[i] > smooth[i + 1] and smooth[i] > 0.13 * smooth.max()]
+        kept = separated(peaks, int(spacing * 0.55 / 2))
+        return pd.DataFrame({"tile": group["tile"].iloc[0], "row": range(len(kept)), "peak": [group["low"].iloc[0] + 2.0 * b + 1 for b, _ in kept]})
+
+    rows = counts.groupBy("tile").applyInPandas(part, f"tile {kind}, row int, peak double")
+    near = placed.join(rows, "tile").filter(F.abs(F.col("s") - F.col("peak")) < 0.35 * spacing)
     ends = raster.row_ends(near, ["tile", "row", "peak", "angle"], "t", least)
-    return ends.select("tile", "row", "angle", (F.col("peak") + 0.5 - reach).alias("s"), "t0", "t1")
+    return ends.select("tile", "row", "angle", F.col("peak").alias("s"), "t0", "t1")

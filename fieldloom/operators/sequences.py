@@ -90,10 +90,13 @@ def gaussian_weights(sigma: float, truncate: float = 4.0) -> list[tuple[int, flo
 def gaussian_smooth(df: DataFrame, keys: list[str], at: str, value: str, size: int, sigma: float, name: str = "smooth") -> DataFrame:
     """Smooth a dense profile at 0..size-1, mirrored at its ends (the end sample repeats).
 
-    Every sample is spread over the places it counts for, so that one aggregation does it."""
-    weights = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(w).alias("w")) for k, w in gaussian_weights(sigma)])
-    spread = df.select(*keys, F.explode(F.sequence(F.lit(0), F.lit(size - 1))).alias("_to"), at, value)
-    mirrored = lambda i: F.when(F.pmod(i, F.lit(2 * size)) < size, F.pmod(i, F.lit(2 * size))).otherwise(2 * size - 1 - F.pmod(i, F.lit(2 * size)))
-    # Sample `at` counts for place _to with each offset whose mirror image it is.
-    weight = F.aggregate(F.filter(weights, lambda x: mirrored(F.col("_to") + x["k"]) == F.col(at)), F.lit(0.0), lambda acc, x: acc + x["w"])
-    return spread.withColumn("_w", weight).filter("_w > 0").groupBy(*keys, F.col("_to").alias(at)).agg(F.sum(F.col(value) * F.col("_w")).alias(name))
+    Every sample is dealt to the few places that it counts for, so that one aggregation does it."""
+    weights = gaussian_weights(sigma)
+    radius = weights[-1][0]
+    near = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.lit(w).alias("w")) for k, w in weights]))
+    # Where a sample stands in the profile and in its mirror images, as far as the kernel reaches.
+    turns = [2 * size * m for m in range(-(radius // (2 * size)) - 1, radius // (2 * size) + 2)]
+    images = F.filter(F.array(*[p for t in turns for p in (F.col(at) + t, -1 - F.col(at) + t)]), lambda p: p.between(-radius, size - 1 + radius))
+    spread = df.select(*keys, value, F.explode(images).alias("_p")).select(*keys, value, "_p", near.alias("_n"))
+    to = (F.col("_p") - F.col("_n.k")).cast("int")
+    return spread.select(*keys, to.alias(at), (F.col(value) * F.col("_n.w")).alias("_v")).filter(F.col(at).between(0, size - 1)).groupBy(*keys, at).agg(F.sum("_v").alias(name))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fieldloom import session
 from fieldloom.functions import geometry as g
 
 ENDS = ("ax", "ay", "bx", "by_")
@@ -65,11 +66,21 @@ def row_line_pairs(pairs: DataFrame, segments: DataFrame, block: str = "block",
     return joined.filter(same_row_line(a, b, **limits) | same_row_line(b, a, **limits)).select("a", "b")
 
 
+def _located(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows all of whose coordinates are numbers."""
+    ok = F.lit(True)
+    for c in columns:
+        ok = ok & F.coalesce(~F.isnan(c) & (F.abs(c) != float("inf")), F.lit(False))
+    return df.filter(ok)
+
+
 def nearest(points: DataFrame, nodes: DataFrame, cell: float, x_scale: float = 1.0) -> DataFrame:
     """The nearest node (node, x, y) of each point (id, x, y) and its distance, ties to the smaller node.
 
     Each round joins the points that are still open with the nodes of the cells around theirs, in a ring twice as
-    wide as before; a node found within that ring's reach is final. x_scale shortens degrees of longitude."""
+    wide as before; a node found within that ring's reach is final. x_scale shortens degrees of longitude. Points and
+    nodes without coordinates are left out; without nodes the result is empty."""
+    points, nodes = _located(points.select("id", *[F.col(c).cast("double").alias(c) for c in "xy"]), "x", "y"), _located(nodes, "x", "y")
     spot = lambda v: F.floor(v / cell).cast("long")
     where = nodes.select("node", F.col("x").alias("nx"), F.col("y").alias("ny")).withColumns({"_cx": spot(F.col("nx") * x_scale), "_cy": spot(F.col("ny"))})
     bounds = where.agg(F.min("_cx"), F.max("_cx"), F.min("_cy"), F.max("_cy")).first()
@@ -77,7 +88,7 @@ def nearest(points: DataFrame, nodes: DataFrame, cell: float, x_scale: float = 1
         return points.select("id", F.lit(None).cast("long").alias("node"), F.lit(None).cast("double").alias("d")).limit(0)
     span = points.agg(F.min(spot(F.col("x") * x_scale)), F.max(spot(F.col("x") * x_scale)), F.min(spot(F.col("y"))), F.max(spot(F.col("y")))).first()
     if span[0] is None:
-        return points.select("id", F.lit(None).cast("long").alias("node"), F.lit(None).cast("double").alias("d"))
+        return points.select("id", F.lit(None).cast("long").alias("node"), F.lit(None).cast("double").alias("d")).limit(0)
     widest = max(abs(a - b) for a, b in ((bounds[1], span[0]), (bounds[0], span[1]), (bounds[3], span[2]), (bounds[2], span[3]))) + 1
     todo, out, ring, level = points.select("id", "x", "y"), None, 1, 0
     while True:
@@ -98,7 +109,8 @@ def nearest(points: DataFrame, nodes: DataFrame, cell: float, x_scale: float = 1
         out = found if out is None else out.unionAll(found)
         if last:
             return out
-        todo = todo.join(done.select("id"), "id", "left_anti")
+        # Written, so that no round replays those before it.
+        todo = session.written(todo.join(done.select("id"), "id", "left_anti"), "open-points")
         if todo.isEmpty():
             return out
         ring, level = ring * 2, level + 1
@@ -107,9 +119,11 @@ def nearest(points: DataFrame, nodes: DataFrame, cell: float, x_scale: float = 1
 def assign_blocks(points: DataFrame, segments: DataFrame, reach: float = 5.0) -> DataFrame:
     """The block of each point (id, x, y): the first block (by ord) with a row (block, ord, ends) within reach, else
     the nearest, ties to the first. Points near some row are decided on the grid; only the others meet a list of
-    blocks' rows again, cell by cell in growing rings."""
+    blocks' rows again, cell by cell in growing rings. Points and rows without coordinates are left out, and without
+    rows all points."""
     cell = 4 * reach
-    rows = segments.select("block", "ord", *ENDS)
+    points = _located(points.select("id", *[F.col(c).cast("double").alias(c) for c in "xy"]), "x", "y")
+    rows = session.written(_located(segments.select("block", "ord", *ENDS), *ENDS), "rows")
     near_rows = _cells(
         rows, F.least("ax", "bx") - reach, F.least("ay", "by_") - reach, F.greatest("ax", "bx") + reach, F.greatest("ay", "by_") + reach, cell
     )
@@ -123,9 +137,17 @@ def assign_blocks(points: DataFrame, segments: DataFrame, reach: float = 5.0) ->
         .agg(F.min(F.struct("ord", "block")).alias("m"))
         .select("id", F.col("m.block").alias("block"), F.lit(True).alias("inside"))
     )
-    left = points.select("id", "x", "y").join(inside.select("id"), "id", "left_anti")
-    out, level = inside, 1
-    while not left.isEmpty() and level < 40:
+    out = inside = session.written(inside, "inside")
+    if rows.isEmpty():
+        return out
+    left, level = session.written(points.join(inside.select("id"), "id", "left_anti"), "open-points"), 1
+    # The rings end where they hold everything.
+    corners = rows.select(*[f(*p).alias(n) for n, f, p in (("x0", F.least, ("ax", "bx")), ("x1", F.greatest, ("ax", "bx")), ("y0", F.least, ("ay", "by_")), ("y1", F.greatest, ("ay", "by_")))])
+    corners = corners.unionAll(left.select("x", "x", "y", "y"))
+    extent = corners.agg(F.greatest(F.max("x1") - F.min("x0"), F.max("y1") - F.min("y0"))).first()[0]
+    while not left.isEmpty():
+        if reach * 2.0 ** (level - 2) > extent:
+            raise RuntimeError("points were left without a block")
         wide = reach * 2.0**level
         dealt = _cells(rows, F.least("ax", "bx") - wide, F.least("ay", "by_") - wide, F.greatest("ax", "bx") + wide, F.greatest("ay", "by_") + wide, 4 * wide)
         at = left.withColumns({"_cx": F.floor(F.col("x") / (4 * wide)).cast("long"), "_cy": F.floor(F.col("y") / (4 * wide)).cast("long")})
@@ -137,10 +159,9 @@ def assign_blocks(points: DataFrame, segments: DataFrame, reach: float = 5.0) ->
             .agg(F.min(F.struct("d", "ord", "block")).alias("m"))
             .select("id", F.col("m.block").alias("block"), F.lit(False).alias("inside"))
         )
+        found = session.written(found, "found")
         out = out.unionAll(found)
-        left = left.join(found.select("id"), "id", "left_anti")
-        if level == 1 and rows.isEmpty():
-            break
+        left = session.written(left.join(found.select("id"), "id", "left_anti"), "open-points")
         level += 1
     return out
 

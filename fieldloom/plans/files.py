@@ -20,7 +20,7 @@ from .catalogue import query
 def objects(spark, sf_dir):
     """Rows, crowns, strips and litter of the fixtures as annotation objects."""
     name = F.format_string("tile_r%03d_c%03d.tif", "r", "c")
-    seg, box = fx.frame(spark, sf_dir, fx.SEG), fx.frame(spark, sf_dir, fx.BOX).filter("id % 10 = 0")
+    seg, box = fx.frame(spark, sf_dir, fx.SEG), fx.frame(spark, sf_dir, fx.BOX)
     line = F.array(g.point(F.col("x0"), F.col("y0")), g.point(F.col("x1"), F.col("y1")))
     ring = F.slice(g.box_ring(*[F.col(c) for c in ("x0", "y0", "x1", "y1")]), 1, 4)
     common = [name.alias("tile"), F.lit(2048).alias("width"), F.lit(2048).alias("height")]
@@ -44,7 +44,7 @@ _LABEL = "CASE status WHEN 'O' THEN 'vineyard' WHEN 'F' THEN 'interrow_area' ELS
     "q60_cvat_round_trip",
     fx.with_fixtures(
         f"""SELECT printf('tile_r%03d_c%03d.tif', r, c) AS tile, label, count(*) AS n, round(sum(x0), 2) AS x0 FROM
-        (SELECT r, c, 'row' AS label, x0 FROM seg UNION ALL SELECT r, c, {_LABEL}, x0 FROM box WHERE id % 10 = 0) GROUP BY r, c, label"""
+        (SELECT r, c, 'row' AS label, x0 FROM seg UNION ALL SELECT r, c, {_LABEL}, x0 FROM box) GROUP BY r, c, label"""
     ),
 )
 def cvat_round_trip(spark, sf_dir):
@@ -57,7 +57,7 @@ def cvat_round_trip(spark, sf_dir):
 @query(
     "q60b_annotation_stats",
     fx.with_fixtures(
-        f"""WITH o AS (SELECT {_LABEL} AS label, printf('V%02d', r + 1) AS v, CASE WHEN status = 'F' THEN CASE WHEN k % 2 = 0 THEN 'mixed' ELSE 'bare_soil' END END AS cover FROM box WHERE id % 10 = 0)
+        f"""WITH o AS (SELECT {_LABEL} AS label, printf('V%02d', r + 1) AS v, CASE WHEN status = 'F' THEN CASE WHEN k % 2 = 0 THEN 'mixed' ELSE 'bare_soil' END END AS cover FROM box)
         SELECT label, 'objects' AS what, '' AS value, count(*) AS n FROM o GROUP BY 1 UNION ALL SELECT label, 'blocks', '', count(DISTINCT v) FROM o GROUP BY 1
         UNION ALL SELECT label, 'interrow_cover', cover, count(*) FROM o WHERE cover IS NOT NULL GROUP BY 1, 3
         UNION ALL SELECT 'row', 'objects', '', count(*) FROM seg UNION ALL SELECT 'row', 'blocks', '', 0"""
@@ -70,7 +70,7 @@ def annotation_stats(spark, sf_dir):
 @query(
     "q61_geojson_round_trip",
     fx.with_fixtures(
-        """SELECT 'rows' AS layer, 'LineString' AS geom_type, count(*) AS n, count(*) * 2 AS vertices FROM seg UNION ALL SELECT CASE status WHEN 'O' THEN 'canopy' WHEN 'F' THEN 'interrow' ELSE 'waste' END, 'Polygon', count(*), count(*) * 5 FROM box WHERE id % 10 = 0 GROUP BY status"""
+        """SELECT 'rows' AS layer, 'LineString' AS geom_type, count(*) AS n, count(*) * 2 AS vertices FROM seg UNION ALL SELECT CASE status WHEN 'O' THEN 'canopy' WHEN 'F' THEN 'interrow' ELSE 'waste' END, 'Polygon', count(*), count(*) * 5 FROM box GROUP BY status"""
     ),
 )
 def geojson_round_trip(spark, sf_dir):
@@ -122,7 +122,7 @@ def metrics_csv(spark, sf_dir):
     return metrics.read(spark, path).select("metric", "vineyard_id", "row_id", F.round("value", 2).alias("value"))
 
 
-@query("q65_survey_ids", fx.with_fixtures("SELECT count(*) AS n, sum(CASE WHEN label = 'row' THEN 1 ELSE 0 END)::BIGINT AS rows FROM (SELECT 'row' AS label FROM seg UNION ALL SELECT 'other' FROM box WHERE id % 10 = 0)"))
+@query("q65_survey_ids", fx.with_fixtures("SELECT count(*) AS n, sum(CASE WHEN label = 'row' THEN 1 ELSE 0 END)::BIGINT AS rows FROM (SELECT 'row' AS label FROM seg UNION ALL SELECT 'other' FROM box)"))
 def survey_ids(spark, sf_dir):
     """Ids of every object, crowns by the block near them: none is lost."""
     named = jobs.assign_ids(objects(spark, sf_dir))

@@ -105,7 +105,7 @@ def structure_tensor(spark, sf_dir):
     return raster.structure_angle(both).withColumn("angle", F.round("angle", 6))
 
 
-_HOLE = "h AS (SELECT tile, x, y FROM px WHERE g <= 60 AND tile < 4), s AS (SELECT tile, a AS x, b AS y FROM (SELECT DISTINCT tile FROM h), range(64) t(a), range(64) u(b))"
+_HOLE = "h AS (SELECT tile, x, y FROM px WHERE g <= 60), s AS (SELECT tile, a AS x, b AS y FROM (SELECT DISTINCT tile FROM h), range(64) t(a), range(64) u(b))"
 
 
 @query(
@@ -122,7 +122,7 @@ def distance_transform(spark, sf_dir):
         ys, xs = (d > 0).nonzero()
         return pd.DataFrame({"tile": group["tile"].iloc[0], "x": xs, "y": ys, "d": d[ys, xs].round(6)})
 
-    holes = frame(spark, sf_dir).filter("g <= 60 AND tile < 4").select("tile", "x", "y")
+    holes = frame(spark, sf_dir).filter("g <= 60").select("tile", "x", "y")
     return raster.per_tile(holes, kernel, "tile int, x int, y int, d double")
 
 

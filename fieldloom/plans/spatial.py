@@ -81,20 +81,20 @@ def nearest_node(spark, sf_dir):
     return spatial.nearest(points, fx.frame(spark, sf_dir, _NODES), 16.0).withColumn("d", F.round("d", 6))
 
 
-_POINTS = """SELECT o_orderkey AS id, 51.2E0 * 12285 + CAST((o_orderkey * 37) % 250 AS DOUBLE) + 0.3E0 AS x, 51.2E0 * 101973 + CAST((o_orderkey * 91) % 250 AS DOUBLE) + 0.7E0 AS y FROM {orders} WHERE o_orderkey % 20 = 0"""
+_POINTS = """SELECT o_orderkey AS id, 51.2E0 * 12285 + CAST((o_orderkey * 37) % 250 AS DOUBLE) + 0.3E0 AS x, 51.2E0 * 101973 + CAST((o_orderkey * 91) % 250 AS DOUBLE) + 0.7E0 AS y FROM {orders}"""
 
 
 @query(
     "q28_block_assignment",
     fx.with_fixtures(
-        f"""WITH d AS (SELECT p.id, r AS block, min({_point_distance("p.x", "p.y", "ax", "ay", "bx", "by_")}) AS d FROM points p, wseg WHERE wseg.id % 4 = 0 GROUP BY 1, 2),
+        f"""WITH d AS (SELECT p.id, r AS block, min({_point_distance("p.x", "p.y", "ax", "ay", "bx", "by_")}) AS d FROM points p, wseg GROUP BY 1, 2),
         s AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY d > 5, CASE WHEN d <= 5 THEN block ELSE d END, block) AS n FROM d)
         SELECT id, block, d <= 5 AS inside FROM s WHERE n = 1""",
         points=_POINTS,
     ),
 )
 def block_assignment(spark, sf_dir):
-    rows = segments(spark, sf_dir).filter("id % 4 = 0").select(F.col("r").alias("block"), F.col("r").alias("ord"), *spatial.ENDS)
+    rows = segments(spark, sf_dir).select(F.col("r").alias("block"), F.col("r").alias("ord"), *spatial.ENDS)
     return spatial.assign_blocks(fx.frame(spark, sf_dir, _POINTS), rows, 5.0)
 
 

@@ -73,5 +73,5 @@ def cross_axis_order(spark, sf_dir):
 @query("q68_detected_rows")
 def detected_rows(spark, sf_dir):
     """Rows found in the vegetation; which of two close peaks gives way depends on those before, so tests use stripes."""
-    found = rows.detect_rows(fx.frame(spark, sf_dir, fx.PX).filter("g > 200").select("tile", "x", "y"), 64, 6.0)
+    found = rows.detect_rows(fx.frame(spark, sf_dir, fx.PX).filter("g > 150").select("tile", "x", "y"), 6.0)
     return found.select("tile", "row", F.round("angle", 4).alias("angle"), F.round("s", 2).alias("s"), F.round("t0", 3).alias("t0"), F.round("t1", 3).alias("t1"))

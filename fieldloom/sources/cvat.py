@@ -19,6 +19,7 @@ LABELS = {
     "row": ("polyline", {"vineyard_id": "", "row_id": "", "row_structure": "regular"}),
     "waste": ("box", {"vineyard_id": ""}),
 }
+HEADER_ORDER = ("vineyard", "waste", "row", "interrow_area")
 ATTRIBUTES = ("vineyard_id", "row_id", "row_structure", "interrow_cover")
 
 
@@ -53,9 +54,9 @@ def image_blocks(objects: DataFrame) -> DataFrame:
         ]
     )
     p0, p1 = F.get("points", F.lit(0)), F.get("points", F.lit(1))
-    box = F.concat(F.lit('<box label="waste" xtl="'), number(p0["x"]), F.lit('" ytl="'), number(p0["y"]), F.lit('" xbr="'), number(p1["x"]), F.lit('" ybr="'), number(p1["y"]), F.lit('">'), attributes, F.lit("</box>"))
+    box = F.concat(F.lit('<box label="waste" occluded="0" source="auto" xtl="'), number(p0["x"]), F.lit('" ytl="'), number(p0["y"]), F.lit('" xbr="'), number(p1["x"]), F.lit('" ybr="'), number(p1["y"]), F.lit('" z_order="0">'), attributes, F.lit("</box>"))
     shape = F.when(F.col("label") == "row", "polyline").otherwise("polygon")
-    other = F.concat(F.lit("<"), shape, F.lit(' label="'), F.col("label"), F.lit('" points="'), format_points(F.col("points")), F.lit('">'), attributes, F.lit("</"), shape, F.lit(">"))
+    other = F.concat(F.lit("<"), shape, F.lit(' label="'), F.col("label"), F.lit('" occluded="0" source="auto" points="'), format_points(F.col("points")), F.lit('" z_order="0">'), attributes, F.lit("</"), shape, F.lit(">"))
     order = F.array_position(F.array(*[F.lit(k) for k in LABELS]), F.col("label"))
     drawn = objects.select("tile", "width", "height", F.struct(order.alias("o"), "place", F.when(F.col("label") == "waste", box).otherwise(other).alias("xml")).alias("e"))
     tiles = drawn.groupBy("tile").agg(F.max("width").alias("w"), F.max("height").alias("h"), F.array_sort(F.collect_list("e")).alias("es"))
@@ -69,11 +70,13 @@ def image_blocks(objects: DataFrame) -> DataFrame:
 
 def header() -> str:
     values = {"row_structure": "regular\ndisrupted\nunassessable", "interrow_cover": "bare_soil\nvegetation\nmixed\nunassessable"}
+    # A box is declared as a rectangle, and nothing may change along a track.
+    attribute = "<attribute><name>{}</name><input_type>{}</input_type><mutable>false</mutable><default_value>{}</default_value><values>{}</values></attribute>"
     labels = "".join(
-        f"<label><name>{name}</name><type>{shape}</type><attributes>"
-        + "".join(f"<attribute><name>{a}</name><input_type>{'select' if a in values else 'text'}</input_type><values>{values.get(a, '')}</values></attribute>" for a in attributes)
+        f"<label><name>{name}</name><type>{'rectangle' if shape == 'box' else shape}</type><attributes>"
+        + "".join(attribute.format(a, "select" if a in values else "text", default, values.get(a, "")) for a, default in attributes.items())
         + "</attributes></label>"
-        for name, (shape, attributes) in LABELS.items()
+        for name, (shape, attributes) in sorted(LABELS.items(), key=lambda item: HEADER_ORDER.index(item[0]))
     )
     return f"<version>1.1</version><meta><task><name>survey</name><labels>{labels}</labels></task></meta>"
 

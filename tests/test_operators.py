@@ -362,7 +362,7 @@ def test_rows_from_stripes(spark):
 
     size, angle, gap = 128, math.radians(20), 16
     spots = [(0, x, y) for x in range(size) for y in range(size) if abs((((y - 64) * math.cos(angle) - (x - 64) * math.sin(angle)) % gap) - gap / 2) <= 1.5]
-    found = rows.detect_rows(spark.createDataFrame(spots, "tile int, x int, y int"), size, gap).orderBy("s").collect()
+    found = rows.detect_rows(spark.createDataFrame(spots, "tile int, x int, y int"), gap).orderBy("s").collect()
     assert len(found) >= 6 and all(abs(math.degrees(r.angle) - 20) <= 1 for r in found)
     steps = [b.s - a.s for a, b in zip(found, found[1:])]
     assert all(abs(s - gap) <= 2 for s in steps) and all(r.t1 > r.t0 for r in found)
