@@ -8,7 +8,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldloom import session
@@ -31,6 +31,13 @@ def lattice(bounds: Column, step: float) -> Column:
     )
 
 
+def lattice_points(spark: SparkSession, box, step: float) -> DataFrame:
+    """(node, col, row, x, y) every `step` from the lower left corner of a box (x0, y0, x1, y1), made where they are used."""
+    across, up = int((box["x1"] - box["x0"]) // step) + 1, int((box["y1"] - box["y0"]) // step) + 1
+    at = spark.range(across * up).select(F.expr(f"id div {up}").alias("col"), F.expr(f"id % {up}").alias("row"))
+    return at.select(F.xxhash64("col", "row").alias("node"), "col", "row", (F.lit(box["x0"]) + F.col("col") * step).alias("x"), (F.lit(box["y0"]) + F.col("row") * step).alias("y"))
+
+
 def grid_edges(nodes: DataFrame, step: float) -> DataFrame:
     """Edges (src, dst, w) between the eight neighbours of a lattice (node, x, y in steps), each once: four equi-joins
     in one, by dealing each node to the places beside it."""
@@ -54,12 +61,84 @@ def walkable_nodes(nodes: DataFrame, polygons: DataFrame, cuts: DataFrame | None
     return kept if cuts is None else kept.join(inside(nodes, cuts), "node", "left_anti")
 
 
-def guarded_cut(start: tuple[float, float], nodes: DataFrame, cut: DataFrame, reach: float = 1.0) -> DataFrame:
-    """Nodes after a cut, unless nothing would be left within reach of the start; then they stay uncut."""
-    left = walkable_nodes(nodes, cut.select("rings").withColumn("rings", F.col("rings")), None)
-    outside = nodes.join(left.select("node"), "node", "left_anti")
+def guarded_cut(start: tuple[float, float], nodes: DataFrame, cut: DataFrame, reach: float = 1.0) -> tuple[DataFrame, bool]:
+    """Nodes after a cut and whether it holds: where nothing would be left within reach of the start, they stay uncut."""
+    inside = walkable_nodes(nodes, cut.select("rings"))
+    outside = nodes.join(inside.select("node"), "node", "left_anti")
     near = outside.filter(F.sqrt(F.pow(F.col("x") - start[0], 2) + F.pow(F.col("y") - start[1], 2)) <= reach)
-    return nodes if near.isEmpty() else outside
+    return (nodes, False) if near.isEmpty() else (outside, True)
+
+
+def covers(segments: np.ndarray, polygons: list[list[np.ndarray]], cuts: list[list[np.ndarray]]) -> np.ndarray:
+    """Whether each segment (ax, ay, bx, by) lies whole in the union of polygons and out of every cut; touching a border is
+    no harm. A segment is split where it meets a border, and each piece is judged by its middle."""
+    begin, way = segments[:, :2], segments[:, 2:] - segments[:, :2]
+    owners, places = [np.repeat(np.arange(len(segments)), 2)], [np.tile([0.0, 1.0], len(segments))]
+    for ring in (r for rings in polygons + cuts for r in rings):
+        p, e = ring, np.roll(ring, -1, axis=0) - ring
+        den = way[:, None, 0] * e[None, :, 1] - way[:, None, 1] * e[None, :, 0]
+        off = p[None] - begin[:, None]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            t = (off[:, :, 0] * e[None, :, 1] - off[:, :, 1] * e[None, :, 0]) / den
+            u = (off[:, :, 0] * way[:, None, 1] - off[:, :, 1] * way[:, None, 0]) / den
+        i, j = np.nonzero((den != 0) & (u >= 0) & (u <= 1) & (t > 0) & (t < 1))
+        owners.append(i)
+        places.append(t[i, j])
+    owner, place = np.concatenate(owners), np.concatenate(places)
+    order = np.lexsort((place, owner))
+    owner, place = owner[order], place[order]
+    pieces = np.flatnonzero((owner[1:] == owner[:-1]) & (place[1:] - place[:-1] > 1e-9))
+    owner, middle = owner[pieces], (place[pieces] + place[pieces + 1]) / 2
+    spots = begin[owner] + middle[:, None] * way[owner]
+
+    def within(rings: list[np.ndarray]) -> np.ndarray:
+        odd = np.zeros(len(spots), bool)
+        for ring in rings:
+            for (ax, ay), (bx, by_) in zip(ring, np.roll(ring, -1, axis=0)):
+                if ay != by_:
+                    odd ^= ((ay > spots[:, 1]) != (by_ > spots[:, 1])) & (spots[:, 0] < (bx - ax) * (spots[:, 1] - ay) / (by_ - ay) + ax)
+        return odd
+
+    good = np.zeros(len(spots), bool)
+    for rings in polygons:
+        good |= within(rings)
+    for rings in cuts:
+        good &= ~within(rings)
+    out = np.ones(len(segments), bool)
+    out[owner[~good]] = False
+    # A segment without length is judged by its end.
+    return out
+
+
+def covered_segments(segments: DataFrame, keys: list[str], polygons: DataFrame, cuts: DataFrame | None = None, cell: float = 16.0) -> DataFrame:
+    """(keys, covered): whether each segment (keys, ax, ay, bx, by_) lies whole in the union of polygons (rings) and out of
+    every cut. Segments meet polygons by the cells of their middles and boxes."""
+    kinds = ", ".join(f"`{k}` {segments.schema[k].dataType.simpleString()}" for k in keys)
+    longest = segments.agg(F.max(F.greatest(F.abs(F.col("ax") - F.col("bx")), F.abs(F.col("ay") - F.col("by_"))))).first()[0] or 0.0
+    half, cell = longest / 2, max(cell, longest)
+    spot = lambda a, b: F.floor((F.col(a) + F.col(b)) / 2 / cell).cast("long")
+    left = segments.select(*keys, *ENDS, spot("ax", "bx").alias("_cx"), spot("ay", "by_").alias("_cy"))
+    areas = polygons.select("rings", F.lit(False).alias("cut"))
+    areas = areas if cuts is None else areas.unionAll(cuts.select("rings", F.lit(True)))
+    box = g.bbox(F.element_at(F.col("rings"), 1))
+    boxed = areas.withColumn("_b", box)
+    right = _cells(boxed, F.col("_b.x0") - half, F.col("_b.y0") - half, F.col("_b.x1") + half, F.col("_b.y1") + half, cell).select("rings", "cut", "_cx", "_cy")
+
+    def kernel(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        out = a[keys].copy()
+        shapes = [(cut, [np.array([(p["x"], p["y"]) for p in ring]) for ring in rings]) for cut, rings in zip(b["cut"], b["rings"])]
+        out["covered"] = covers(a[list(ENDS)].to_numpy(np.float64), [r for cut, r in shapes if not cut], [r for cut, r in shapes if cut]) if len(a) else False
+        return out
+
+    return left.groupBy("_cx", "_cy").cogroup(right.groupBy("_cx", "_cy")).applyInPandas(kernel, f"{kinds}, covered boolean")
+
+
+def covered_edges(edges: DataFrame, nodes: DataFrame, polygons: DataFrame, cuts: DataFrame | None = None) -> DataFrame:
+    """The edges (src, dst, w) that never leave the walkable area."""
+    end = lambda p, x, y: nodes.select(F.col("node").alias(p), F.col("x").alias(x), F.col("y").alias(y))
+    placed = edges.join(end("src", "ax", "ay"), "src").join(end("dst", "bx", "by_"), "dst")
+    kept = covered_segments(placed, ["src", "dst"], polygons, cuts).filter("covered").select("src", "dst")
+    return edges.join(kept, ["src", "dst"], "left_semi")
 
 
 def clear_edges(edges: DataFrame, nodes: DataFrame, barriers: DataFrame, reach: float = 0.0) -> DataFrame:
@@ -199,16 +278,27 @@ def persona_targets(targets: DataFrame) -> DataFrame:
 ROUTE = "persona string, length double, naive double, visited int, unreachable int, closed boolean, points string"
 
 
-def plan_routes(nodes: DataFrame, edges: DataFrame, start: tuple[float, float], targets: DataFrame, cell: float = 4.0) -> DataFrame:
+def apart(a: tuple[float, float], b: tuple[float, float], geographic: bool = False) -> float:
+    """Distance of two points in the plane, or in metres of two in degrees (longitude, latitude)."""
+    if not geographic:
+        return math.dist(a, b)
+    (lon1, lat1), (lon2, lat2) = (map(math.radians, p) for p in (a, b))
+    h = math.sin((lat2 - lat1) / 2) ** 2 + math.cos(lat1) * math.cos(lat2) * math.sin((lon2 - lon1) / 2) ** 2
+    return 2 * g.EARTH_RADIUS * math.asin(min(1.0, math.sqrt(h)))
+
+
+def plan_routes(nodes: DataFrame, edges: DataFrame, start: tuple[float, float], targets: DataFrame, cell: float = 4.0, geographic: bool = False) -> DataFrame:
     """A closed route per persona through its targets (persona, id, x, y), from start and back to it.
 
     Targets are snapped to the nearest node and visited once for each node; what cannot be reached is counted and left
-    out. `points` is the stitched line as JSON. The tours of the personas are small tables solved side by side."""
+    out. `points` is the stitched line as JSON. The tours of the personas are small tables solved side by side.
+    With `geographic`, places and the cell are in degrees of longitude and latitude, and lengths in metres."""
+    x_scale = math.cos(math.radians(start[1])) if geographic else 1.0
     spark = nodes.sparkSession
     origin = spark.createDataFrame([(-1, start[0], start[1])], "id long, x double, y double")
     spots = session.written(targets.select("persona", F.xxhash64("persona", F.col("id").cast("string")).alias("id"), "x", "y"), "spots")
-    home = nearest(origin, nodes, cell).first()
-    snapped = spots.select("persona", "id").join(nearest(spots.select("id", "x", "y"), nodes, cell).select("id", "node"), "id")
+    home = nearest(origin, nodes, cell, x_scale).first()
+    snapped = spots.select("persona", "id").join(nearest(spots.select("id", "x", "y"), nodes, cell, x_scale).select("id", "node"), "id")
     terminals = snapped.select("node").unionAll(spark.createDataFrame([(home.node,)], "node long")).distinct()
     legs = {(r.a, r.b): (r.d, list(r.path)) for r in shortest_paths(edges, terminals).toLocalIterator()}
     used = spark.createDataFrame([(n,) for n in sorted({n for _, p in legs.values() for n in p} | {home.node})], "node long")
@@ -225,7 +315,7 @@ def plan_routes(nodes: DataFrame, edges: DataFrame, start: tuple[float, float],
             line += legs[stops[a], stops[b]][1][1:] if a != b else []
         points = [start, *[place[n] for n in line], start]
         points = [p for i, p in enumerate(points) if not i or p != points[i - 1]]
-        length = sum(math.dist(a, b) for a, b in zip(points, points[1:]))
+        length = sum(apart(a, b, geographic) for a, b in zip(points, points[1:]))
         closed = bool(points) and tuple(points[0]) == tuple(points[-1])
         naive = 2 * float(d[0, 1:].sum())
         return pd.DataFrame([[group["persona"].iloc[0], length, naive, len(reached), len(asked) - len(reached), closed, json.dumps(points)]], columns=ROUTE_COLUMNS)

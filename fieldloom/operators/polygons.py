@@ -7,6 +7,8 @@ by walking the edges upwards.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -144,6 +146,60 @@ def difference(a: list[list[Ring]], b: list[list[Ring]]) -> list[list[tuple]]:
     return list(parts.values())
 
 
+def outline(part: list[tuple], digits: int = 9) -> list[tuple[float, float]]:
+    """The outer ring of a connected part of trapezoids, counter-clockwise with y upwards, not closed.
+
+    Every trapezoid's border is walked with the inside on the left; where two share a piece of a vertical line it is walked
+    both ways and goes."""
+    ends: dict[tuple, list[tuple]] = {}
+    uprights: dict[float, list[tuple[float, float, int]]] = {}
+
+    def walk(a: tuple, b: tuple) -> None:
+        if a != b:
+            ends.setdefault(a, []).append(b)
+
+    for piece in part:
+        x0, x1, low0, high0, low1, high1 = (round(v, digits) for v in piece)
+        walk((x0, low0), (x1, low1))
+        walk((x1, high1), (x0, high0))
+        uprights.setdefault(x1, []).append((low1, high1, 1))
+        uprights.setdefault(x0, []).append((low0, high0, -1))
+    for x, spans in uprights.items():
+        ys = sorted({y for low, high, _ in spans for y in (low, high)})
+        for low, high in zip(ys, ys[1:]):
+            way = sum(sign for a, b, sign in spans if a <= low and high <= b)
+            if way:
+                walk((x, low), (x, high)) if way > 0 else walk((x, high), (x, low))
+    best, area = [], 0.0
+    while ends:
+        at = start = next(iter(ends))
+        ring, heading = [], None
+        while True:
+            choices = ends[at]
+            if heading is None or len(choices) == 1:
+                to = choices[0]
+            else:
+                # Where borders touch, the sharpest turn to the left keeps rings simple.
+                turn = lambda p: math.remainder(math.atan2(p[1] - at[1], p[0] - at[0]) - heading, math.tau)  # noqa: E731, B023
+                to = max(choices, key=turn)
+            choices.remove(to)
+            if not choices:
+                del ends[at]
+            ring.append(at)
+            heading, at = math.atan2(to[1] - at[1], to[0] - at[0]), to
+            if at == start:
+                break
+        signed = sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(ring, [*ring[1:], ring[0]])) / 2
+        if signed > area:
+            best, area = ring, signed
+    out = []
+    for before, p, after in zip([best[-1], *best[:-1]] if best else [], best, [*best[1:], *best[:1]]):
+        bend = (p[0] - before[0]) * (after[1] - p[1]) - (p[1] - before[1]) * (after[0] - p[0])
+        if abs(bend) > 1e-7:
+            out.append(p)
+    return out
+
+
 def union_areas(df: DataFrame, keys: list[str], ring: str = "ring", name: str = "area") -> DataFrame:
     """Area of the union of each group's rings (point lists), general polygons."""
     kinds = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys)
@@ -156,7 +212,8 @@ def union_areas(df: DataFrame, keys: list[str], ring: str = "ring", name: str =
 
 
 def open_parts(df: DataFrame, keys: list[str], strip: str, cover: DataFrame, ring: str = "ring", least: float = 0.0) -> DataFrame:
-    """Parts of each strip that no ring of its group covers: (keys, id, part, area), those of at least `least`."""
+    """Parts of each strip that no ring of its group covers: (keys, id, part, area, ring: the outer one), those of at
+    least `least`, of strips of at least as much; the largest part of a strip is its part 0."""
     kinds = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys)
     id_kind = df.schema["id"].dataType.simpleString()
 
@@ -165,14 +222,18 @@ def open_parts(df: DataFrame, keys: list[str], strip: str, cover: DataFrame, rin
         boxes = [(to(r), min(p["x"] for p in r), max(p["x"] for p in r), min(p["y"] for p in r), max(p["y"] for p in r)) for r in right[ring] if r is not None and len(r) >= 3]
         out = []
         for _, row in left.iterrows():
+            if row[strip] is None or len(row[strip]) < 3:
+                continue
             s = to(row[strip])
+            if union_area([[s]]) < least:
+                continue
             x0, x1, y0, y1 = min(p[0] for p in s), max(p[0] for p in s), min(p[1] for p in s), max(p[1] for p in s)
             near = [[b[0]] for b in boxes if b[1] < x1 and b[2] > x0 and b[3] < y1 and b[4] > y0]
-            areas = sorted((a for part in difference([[s]], near) if (a := area_of(part)) >= least), reverse=True)
-            out += [[*[row[k] for k in keys], row["id"], n, a] for n, a in enumerate(areas)]
-        return pd.DataFrame(out, columns=[*keys, "id", "part", "area"])
+            found = sorted(((a, outline(part)) for part in difference([[s]], near) if (a := area_of(part)) >= least), reverse=True)
+            out += [[*[row[k] for k in keys], row["id"], n, a, [{"x": x, "y": y} for x, y in r]] for n, (a, r) in enumerate(found)]
+        return pd.DataFrame(out, columns=[*keys, "id", "part", "area", "ring"])
 
     # Fresh names on both sides, as they may come of one table.
     df = df.select(*[F.col(c).alias(c) for c in (*keys, "id", strip)])
     cover = cover.select(*[F.col(c).alias(c) for c in (*keys, ring)])
-    return df.groupBy(*keys).cogroup(cover.groupBy(*keys)).applyInPandas(cut, f"{kinds}, id {id_kind}, part int, area double")
+    return df.groupBy(*keys).cogroup(cover.groupBy(*keys)).applyInPandas(cut, f"{kinds}, id {id_kind}, part int, area double, ring array<struct<x: double, y: double>>")

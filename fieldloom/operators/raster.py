@@ -13,6 +13,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fieldloom.functions import pixels as px
+
 # ---- In SQL -------------------------------------------------------------------------------------------------------
 
 
@@ -527,13 +529,43 @@ def per_tile(pixels: DataFrame, kernel, schema: str) -> DataFrame:
     return pixels.groupBy("tile").applyInPandas(kernel, schema)
 
 
+def green_mask(pixels: DataFrame, width: int, height: int, share: float = 0.87, floor: float = 15.0) -> DataFrame:
+    """(tile, x, y, r, g, b, exg) of the pixels that are greener than their block's percentile and of a plant's colour."""
+    green = pixels.withColumn("exg", px.raw_excess_green(F.col("r"), F.col("g"), F.col("b")))
+    return block_mask(green, "exg", share, floor, width, height).filter(px.green_gate(F.col("r"), F.col("g"), F.col("b")))
+
+
+def ring_shares(rings: DataFrame, pixels: DataFrame, least_green: float = 20.0) -> DataFrame:
+    """(tile, id, n, share): how many pixels (tile, x, y, r, g, b) have their centre in a ring (tile, id, ring), and which
+    share of them is green. Rings of tiles without pixels are left out; a tile's rings and pixels are bounded."""
+    kind, id_kind = (rings.schema[c].dataType.simpleString() for c in ("tile", "id"))
+
+    def kernel(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(right):
+            height, width = int(right["y"].max()) + 1, int(right["x"].max()) + 1
+            r, g, b, there = dense(right.assign(there=1), width, height, ("r", "g", "b", "there"))
+            green = 2 * g - r - b > least_green
+            for tile, name, ring in zip(left["tile"], left["id"], left["ring"]):
+                xs, ys = [p["x"] for p in ring], [p["y"] for p in ring]
+                x0, y0 = max(0, math.floor(min(xs))), max(0, math.floor(min(ys)))
+                x1, y1 = min(width, math.ceil(max(xs)) + 1), min(height, math.ceil(max(ys)) + 1)
+                n = hits = 0
+                if x0 < x1 and y0 < y1:
+                    on = ring_pixels([(x - x0, y - y0) for x, y in zip(xs, ys)], x1 - x0, y1 - y0) & (there[y0:y1, x0:x1] > 0)
+                    n, hits = int(on.sum()), int((on & green[y0:y1, x0:x1]).sum())
+                out.append((tile, name, n, hits / n if n else None))
+        return pd.DataFrame(out, columns=["tile", "id", "n", "share"])
+
+    left, right = rings.filter("size(ring) >= 3").select("tile", "id", "ring"), pixels.select("tile", "x", "y", "r", "g", "b")
+    return left.groupBy("tile").cogroup(right.groupBy("tile")).applyInPandas(kernel, f"tile {kind}, id {id_kind}, n long, share double")
+
+
 def segment_crowns(pixels: DataFrame, width: int, height: int, share: float = 0.87, floor: float = 15.0, **limits) -> DataFrame:
     """Crown polygons (tile, crown, pixels, ring) of every tile from its bands: block-percentile mask, colour gate in
     SQL, then the crown kernel."""
-    from fieldloom.functions import pixels as px
-
     green = pixels.withColumn("exg", px.raw_excess_green(F.col("r"), F.col("g"), F.col("b")))
-    mask = block_mask(green, "exg", share, floor, width, height).filter(px.green_gate(F.col("r"), F.col("g"), F.col("b")))
+    mask = green_mask(pixels, width, height, share, floor)
     flagged = green.join(mask.select("tile", "x", "y", F.lit(1).alias("on")), ["tile", "x", "y"], "left").select("tile", "x", "y", "exg", F.coalesce("on", F.lit(0)).alias("on"))
 
     def kernel(group: pd.DataFrame) -> pd.DataFrame:
@@ -542,7 +574,8 @@ def segment_crowns(pixels: DataFrame, width: int, height: int, share: float = 0.
         rows = [(group["tile"].iloc[0], i, c["pixels"], [{"x": x, "y": y} for x, y in c["ring"]]) for i, c in enumerate(found)]
         return pd.DataFrame(rows, columns=["tile", "crown", "pixels", "ring"])
 
-    return per_tile(flagged, kernel, "tile int, crown int, pixels int, ring array<struct<x: double, y: double>>")
+    kind = pixels.schema["tile"].dataType.simpleString()
+    return per_tile(flagged, kernel, f"tile {kind}, crown int, pixels int, ring array<struct<x: double, y: double>>")
 
 
 def infer(tiles: DataFrame, load, schema: str) -> DataFrame:

@@ -41,6 +41,36 @@ def lattice_nodes(spark, sf_dir):
     return graph.walkable_nodes(nodes, area, cut).select("col", "row", "x", "y")
 
 
+_HOLE = (5.5, 4.0, 13.0, 8.0)
+
+
+def _reach(a, b, low, high):
+    """When an edge enters and leaves a range of one axis, in DuckDB."""
+    inside = f"({a} > {low} AND {a} < {high})"
+    enter = f"CASE WHEN {b} = {a} THEN CASE WHEN {inside} THEN -1e9 ELSE 1e9 END ELSE least(({low} - {a}) / ({b} - {a}), ({high} - {a}) / ({b} - {a})) END"
+    leave = f"CASE WHEN {b} = {a} THEN CASE WHEN {inside} THEN 1e9 ELSE -1e9 END ELSE greatest(({low} - {a}) / ({b} - {a}), ({high} - {a}) / ({b} - {a})) END"
+    return enter, leave
+
+
+_IN_X, _IN_Y = _reach("ax", "bx", _HOLE[0], _HOLE[2]), _reach("ay", "by_", _HOLE[1], _HOLE[3])
+
+
+@query(
+    "q40c_covered_edges",
+    f"""WITH n AS (SELECT x * 100 + y AS node, x AS c, y AS r, x * 2.5::DOUBLE AS x, y * 2.5::DOUBLE AS y FROM range(9) a(x), range(5) b(y)),
+    steps(dx, dy) AS (VALUES (1, 0), (0, 1), (1, 1), (-1, 1)),
+    e AS (SELECT a.node AS src, b.node AS dst, a.x AS ax, a.y AS ay, b.x AS bx, b.y AS by_ FROM n a, steps, n b WHERE b.c = a.c + dx AND b.r = a.r + dy)
+    SELECT src, dst FROM e WHERE NOT greatest({_IN_X[0]}, {_IN_Y[0]}, 0) < least({_IN_X[1]}, {_IN_Y[1]}, 1)""",
+)
+def covered_edges(spark, sf_dir):
+    """Edges of a lattice that keep out of a hole, its corners too; the area is two boxes that overlap."""
+    nodes = spark.range(45).select((F.floor(F.col("id") / 5) * 100 + F.col("id") % 5).alias("node"), F.floor(F.col("id") / 5).alias("x"), (F.col("id") % 5).alias("y"))
+    ring = lambda x0, y0, x1, y1: F.array(g.box_ring(*[F.lit(v) for v in (x0, y0, x1, y1)])).alias("rings")
+    area = spark.range(1).select(ring(-1.0, -1.0, 9.0, 30.0)).unionAll(spark.range(1).select(ring(8.0, -1.0, 30.0, 30.0)))
+    placed = nodes.select("node", (F.col("x") * 2.5).alias("x"), (F.col("y") * 2.5).alias("y"))
+    return graph.covered_edges(graph.grid_edges(nodes, 2.5), placed, area, spark.range(1).select(ring(*_HOLE))).select("src", "dst")
+
+
 @query(
     "q41_component_of_start",
     fx.with_fixtures(

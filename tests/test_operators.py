@@ -336,11 +336,24 @@ def test_survey_job_and_routes_from_files(spark, tmp_path):
     assert found["canopy_area", "V01", ""] == pytest.approx(1.0) and found["total_row_length", "", ""] == pytest.approx(4 * 1490 * 0.025)
     parts = jobs.derive_interrow(jobs.assign_ids(objects)).collect()
     assert len(parts) == 3 and sum(p.area for p in parts) == pytest.approx(3 * 1490 * 120 - 1600)
+    # The crown touches no border of its strip, so the outer ring is the strip's.
+    assert all(abs(plain_area([tuple(q) for q in p.ring]) - 1490 * 120) < 1e-6 for p in parts)
+    assert found["interrow_area", "V01", ""] == pytest.approx(3 * 1490 * 120 * 0.025**2, rel=1e-4)
+    assert cvat.read(spark, str(tmp_path / "out/annotations")).filter("label = 'interrow_area'").count() == 3
 
     area = {"type": "FeatureCollection", "features": [{"type": "Feature", "geometry": {"type": "Polygon", "coordinates": [[[0, 0], [30.5, 0], [30.5, 20.5], [0, 20.5], [0, 0]]]}, "properties": {}}]}
     (tmp_path / "p.geojson").write_text(json.dumps(area))
     routes = jobs.plan_survey_routes(spark, str(tmp_path / "p.geojson"), (1.0, 1.0), None, str(tmp_path / "routes")).collect()
-    assert len(routes) == 2 and all(r.closed and r.unreachable == 0 for r in routes)
+    assert len(routes) == 2 and all(r.closed and r.unreachable == 0 and r.passed and r.inside_share > 0.99 and r.end_gap == 0 for r in routes)
+    hole = {"type": "FeatureCollection", "features": [{"type": "Feature", "geometry": {"type": "Polygon", "coordinates": [[[9.5, -1], [20.5, -1], [20.5, 15.5], [9.5, 15.5], [9.5, -1]]]}, "properties": {}}]}
+    (tmp_path / "f.geojson").write_text(json.dumps(hole))
+    there = {"type": "FeatureCollection", "features": [{"type": "Feature", "geometry": {"type": "Point", "coordinates": [28.0, 2.0]}, "properties": {"id": "w", "kind": "waste"}}]}
+    (tmp_path / "t.geojson").write_text(json.dumps(there))
+    around = jobs.plan_survey_routes(spark, str(tmp_path / "p.geojson"), (1.0, 1.0), str(tmp_path / "t.geojson"), str(tmp_path / "around"), str(tmp_path / "f.geojson")).collect()
+    assert all(r.passed and r.length > 70 and r.unreachable == 0 for r in around)
+    # What is forbidden around the start counts for nothing.
+    free = jobs.plan_survey_routes(spark, str(tmp_path / "p.geojson"), (15.0, 2.0), str(tmp_path / "t.geojson"), str(tmp_path / "free"), str(tmp_path / "f.geojson")).collect()
+    assert all(r.length < 40 for r in free)
     line = geojson.read(spark, str(tmp_path / "routes/inspector")).first()
     assert line.geom_type == "LineString" and line.length_m > 0
 
@@ -375,3 +388,250 @@ def test_global_rows_around_zero(spark):
     df = spark.createDataFrame(segs, "id long, ax double, ay double, bx double, by_ double")
     assert [r.row_id for r in rows.global_rows(df).orderBy("id").collect()] == [f"V01-R{k:02d}" for k in range(1, 7)]
     assert rows.global_rows(df.limit(0)).count() == 0
+
+
+def plain_area(ring):
+    return abs(sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(ring, [*ring[1:], ring[0]]))) / 2
+
+
+def test_outlines_of_parts():
+    box = lambda x0, y0, x1, y1: [(x0, y0), (x1, y0), (x1, y1), (x0, y1)]
+    ring = polygons.outline(polygons.difference([[box(0, 0, 10, 10)]], [[box(-1, 4, 6, 6)]])[0])
+    assert sorted(ring) == sorted([(0, 0), (10, 0), (10, 10), (0, 10), (0, 6), (6, 6), (6, 4), (0, 4)]) and plain_area(ring) == 88
+    rng = np.random.default_rng(4)
+    for _ in range(40):
+        star = [(r * math.cos(a), r * math.sin(a)) for a, r in zip(np.linspace(0, 2 * math.pi, 9)[:-1], rng.uniform(2, 9, 8))]
+        cut = [(float(x), float(y)) for x, y in rng.uniform(-9, 9, (3, 2))]
+        for part in polygons.difference([[star]], [[cut]]):
+            if polygons.area_of(part) < 1e-6:
+                continue
+            ring = polygons.outline(part)
+            assert plain_area(ring) >= polygons.area_of(part) - 1e-6
+            # Holes are what the outline has beyond the part: the cut's inside.
+            holes = polygons.intersection_area([[ring]], [[cut]])
+            assert plain_area(ring) - holes == pytest.approx(polygons.area_of(part), abs=1e-5)
+
+
+def test_points_without_coordinates(spark):
+    from fieldloom.operators import spatial
+
+    nan = float("nan")
+    points = spark.createDataFrame([(1, 0.0, 0.0), (2, None, 1.0), (3, nan, 1.0), (4, 900.0, 1.0), (5, float("inf"), 0.0)], "id long, x double, y double")
+    rows = spark.createDataFrame([("a", "a", 0.0, 1.0, 9.0, 1.0), ("b", "b", None, 1.0, 9.0, 1.0)], "block string, ord string, ax double, ay double, bx double, by_ double")
+    assert sorted(map(tuple, spatial.assign_blocks(points, rows).collect())) == [(1, "a", True), (4, "a", False)]
+    assert spatial.assign_blocks(points, rows.limit(0)).count() == 0 and spatial.assign_blocks(points.limit(0), rows).count() == 0
+    nodes = spark.createDataFrame([(7, 1.0, 0.0), (8, nan, 0.0)], "node long, x double, y double")
+    assert sorted((r.id, r.node) for r in spatial.nearest(points, nodes, 4.0).collect()) == [(1, 7), (4, 7)]
+    # At 60 degrees a degree of longitude is half as long.
+    north = spark.createDataFrame([(1, 1.5, 60.0), (2, 0.0, 61.0)], "node long, x double, y double")
+    here = spark.createDataFrame([(0, 0.0, 60.0)], "id long, x double, y double")
+    assert spatial.nearest(here, north, 1.0).first().node == 2 and spatial.nearest(here, north, 1.0, 0.5).first().node == 1
+
+
+def test_covers():
+    square = lambda x0, y0, x1, y1: [np.array([(x0, y0), (x1, y0), (x1, y1), (x0, y1)], float)]
+    segments = np.array([(1, 1, 9, 1), (1, 1, 15, 1), (9, 5, 15, 5), (1, 5, 9, 5), (3, 3, 3.5, 7)], float)
+    assert graph.covers(segments, [square(0, 0, 10, 10), square(9.5, 4, 20, 6)], []).tolist() == [True, False, True, True, True]
+    assert graph.covers(segments, [square(0, 0, 10, 10), square(9.5, 4, 20, 6)], [square(4, 4, 6, 6)]).tolist() == [True, False, True, False, True]
+
+
+def test_routes_in_degrees(spark):
+    nodes = spark.createDataFrame([(k, 28.0 + 0.001 * k, 47.0) for k in range(5)], "node long, x double, y double")
+    w = graph.apart((28.0, 47.0), (28.001, 47.0), True)
+    assert w == pytest.approx(75.9, abs=0.2)
+    edges = spark.createDataFrame([(k, k + 1, w) for k in range(4)], "src long, dst long, w double")
+    targets = spark.createDataFrame([("farmer", "t", 28.004, 47.0)], "persona string, id string, x double, y double")
+    route = graph.plan_routes(nodes, edges, (28.0, 47.0), targets, 0.002, geographic=True).first()
+    assert route.length == pytest.approx(8 * w, rel=1e-6) and route.visited == 1
+
+
+def test_elements_and_oversized_blobs():
+    assert sorted(raster.ellipse(2)) == [(-1, 0), (0, -1), (0, 0)] and len(raster.ellipse(4)) == 13 and len(raster.ellipse(1)) == 1
+    mask = np.zeros((60, 60), bool)
+    mask[5:15, 5:15] = mask[20:55, 20:55] = True
+    found = raster.crowns(mask * 50.0, mask, least=20, most=400, radius=5)
+    assert len(found) >= 1 and all(max(x for x, _ in c["ring"]) < 20 for c in found)
+    assert any(max(x for x, _ in c["ring"]) > 20 for c in raster.crowns(mask * 50.0, mask, least=20, most=5000, radius=5))
+
+
+def test_angle_of_dashed_lines(spark):
+    angle = math.radians(20)
+    spots = [(3, x, y) for x in range(120) for y in range(120) if abs((y * math.cos(angle) - x * math.sin(angle)) % 40 - 20) < 2 and (x // 8) % 2]
+    got = raster.dominant_angles(spark.createDataFrame(spots, "tile int, x int, y int"), 120, 120).first()
+    assert abs(math.degrees(got.angle) % 180 - 20) < 3
+    assert raster.SOBEL_X[2, 0] == 6 and raster.SOBEL_Y[0, -2] == -6 and sum(raster.SOBEL_X.values()) == 0
+
+
+def test_lines_crowns_prompts_and_patches(spark):
+    lines = [(1, 0, [(0.0, 0.0), (100.0, 0.0)]), (1, 1, [(150.0, 1.0), (250.0, 1.0)]), (1, 2, [(0.0, 300.0), (90.0, 300.0)])]
+    merged = raster.merged_lines(spark.createDataFrame(lines, "tile int, row int, points array<struct<x:double,y:double>>")).collect()
+    assert sorted(len(r.points) for r in merged) == [2, 2] and max(p.x for r in merged for p in r.points) == 250
+    ring = lambda x: [(x, 0.0), (x + 4, 0.0), (x + 4, 4.0)]
+    crowns = spark.createDataFrame([(1, 0, ring(0.0)), (1, 1, ring(3.0)), (1, 2, ring(40.0)), (2, 0, ring(3.0))], "tile int, crown int, ring array<struct<x:double,y:double>>")
+    assert sorted((r.tile, r.crown) for r in raster.distinct_crowns(crowns).collect()) == [(1, 0), (1, 2), (2, 0)]
+
+    on = np.zeros((40, 60), bool)
+    on[2:14, 3:15] = on[20:36, 30:50] = on[0, 59] = True
+    assert raster.blob_prompts(on) == [(8.5, 7.5), (39.5, 27.5)] and raster.blob_prompts(on, most=1) == [(39.5, 27.5)]
+    answer = np.zeros((40, 60))
+    answer[0:20, 0:20] = 0.9
+    rings = raster.prompted_crowns(on, [answer, answer, np.ones((40, 60)), np.zeros((40, 60))], least=100, most=200)
+    assert len(rings) == 1 and plain_area(rings[0]) == 144
+
+    pixels = [(1, x, y, 10 * on[y, x] + 1, 5, 5, int(on[y, x])) for x in range(60) for y in range(40)]
+    df = spark.createDataFrame([tuple(map(int, p)) for p in pixels], "tile int, x int, y int, r int, g int, b int, on int")
+    load = lambda: lambda image, prompts: [on * 1.0 if x > 20 else np.zeros(on.shape) for x, _ in prompts]
+    got = raster.prompt_crowns(df, load, 60, 40, least=100).collect()
+    assert len(got) == 1 and plain_area([tuple(p) for p in got[0].ring]) == 320
+    patchwise = raster.infer_patches(df, lambda: lambda patch: patch[:, :, 0] > 5, 60, 40, side=25, stride=20)
+    assert set(map(tuple, patchwise.select("x", "y").collect())) == {(x, y) for y, x in zip(*on.nonzero())}
+
+
+def lzw(data):
+    """A plain encoder, which widens its codes when entry 511, 1023 or 2047 is there."""
+    table, width, out, bits = {bytes([i]): i for i in range(256)}, 9, [], "100000000"
+    n, before = 258, b""
+    for i in range(len(data)):
+        now = data[i : i + 1]
+        if before + now in table:
+            before += now
+            continue
+        bits += format(table[before], f"0{width}b")
+        table[before + now] = n
+        n += 1
+        before = now
+        width = max(9, n.bit_length())
+        if n == 4093:
+            bits += format(table[before], f"0{width}b") + format(256, f"0{width}b")
+            table, width, n, before = {bytes([i]): i for i in range(256)}, 9, 258, b""
+    if before:
+        bits += format(table[before], f"0{width}b")
+        n += 1
+        width = max(9, n.bit_length())
+    bits += format(257, f"0{width}b")
+    bits += "0" * (-len(bits) % 8)
+    return bytes(int(bits[i : i + 8], 2) for i in range(0, len(bits), 8))
+
+
+def tiff(a, packed=1, predictor=1, tile=None):
+    import struct
+    import zlib
+
+    h, w, bands = a.shape
+    wide = a.dtype.itemsize * 8
+    if tile:
+        full = np.zeros((-(-h // tile) * tile, -(-w // tile) * tile, bands), a.dtype)
+        full[:h, :w] = a
+        parts = [full[y : y + tile, x : x + tile] for y in range(0, h, tile) for x in range(0, w, tile)]
+    else:
+        parts = [a[y : y + 4] for y in range(0, h, 4)]
+    if predictor == 2:
+        parts = [np.concatenate([p[:, :1], p[:, 1:] - p[:, :-1]], axis=1) for p in parts]
+    pack = {1: bytes, 8: zlib.compress, 5: lzw}[packed]
+    bodies = [pack(np.ascontiguousarray(p).tobytes()) for p in parts]
+    offsets = [8 + sum(map(len, bodies[:i])) for i in range(len(bodies))]
+    entries = [(256, 4, [w]), (257, 4, [h]), (258, 3, [wide] * bands), (259, 3, [packed]), (277, 3, [bands]), (317, 3, [predictor])]
+    entries += [(322, 4, [tile]), (323, 4, [tile]), (324, 4, offsets), (325, 4, [len(b) for b in bodies])] if tile else [(273, 4, offsets), (278, 4, [4]), (279, 4, [len(b) for b in bodies])]
+    base = 8 + sum(map(len, bodies))
+    after, directory, extra = base + 2 + 12 * len(entries) + 4, b"", b""
+    for tag, kind, values in sorted(entries):
+        raw = struct.pack(f"<{len(values)}{'H' if kind == 3 else 'I'}", *values)
+        if len(raw) > 4:
+            raw, extra = struct.pack("<I", after + len(extra)), extra + raw
+        directory += struct.pack("<HHI", tag, kind, len(values)) + raw.ljust(4, b"\0")
+    return b"II*\0" + struct.pack("<I", base) + b"".join(bodies) + struct.pack("<H", len(entries)) + directory + b"\0" * 4 + extra
+
+
+@pytest.mark.parametrize("kind", ["uint8", "<u2"])
+@pytest.mark.parametrize("predictor", [1, 2])
+@pytest.mark.parametrize("tile", [None, 16])
+def test_tiff_layouts(kind, predictor, tile):
+    rng = np.random.default_rng(2)
+    a = (rng.integers(0, 4000, (21, 37, 3)) % (200 if kind == "uint8" else 4000)).astype(kind)
+    a[:, 5:30] = 7
+    for packed in (1, 8, 5):
+        assert (images.decode_tiff(tiff(a, packed, predictor, tile))[0] == a).all()
+    with pytest.raises(ValueError):
+        images.decode_tiff(tiff(a, 1, 1, tile).replace(b"\x3d\x01\x03\x00\x01\x00\x00\x00\x01", b"\x3d\x01\x03\x00\x01\x00\x00\x00\x03"))
+
+
+def test_long_lzw():
+    data = bytes(np.random.default_rng(3).integers(0, 256, 30_000, dtype=np.uint8)) + b"ab" * 9000
+    assert images.unpack_lzw(lzw(data)) == data
+
+
+def test_headers_extent_and_pyramid_files(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    a = np.full((4, 6, 3), 9, np.uint8)
+    (tmp_path / "in/tile_r001_c002.tif").write_bytes(images.encode_tiff(a, 0.5, (100.0, 200.0)))
+    (tmp_path / "in/loose.tif").write_bytes(images.encode_tiff(a))
+    heads = {r.path.rsplit("/", 1)[-1]: r for r in images.read_headers(spark, str(tmp_path / "in")).collect()}
+    one = heads["tile_r001_c002.tif"]
+    assert (one.width, one.height, one.a, one.c0, one.e, one.f) == (6, 4, 0.5, 100.0, -0.5, 200.0) and heads["loose.tif"].a is None
+    world = spark.createDataFrame([(one.a, one.c0, one.e, one.f, [(0.0, 0.0), (6.0, 4.0)])], "a double, c double, e double, f double, p array<struct<x:double,y:double>>")
+    corners = world.select(g.affine_to_world(F.col("p"), *[F.col(c) for c in "acef"], centre=False).alias("w")).first().w
+    assert [tuple(p) for p in corners] == [(100.0, 200.0), (103.0, 198.0)]
+    extent = tiles.data_extent(spark.createDataFrame([(0.0, 1.0, 2.0, 3.0), (-1.0, 2.0, 1.0, 9.0)], "x0 double, y0 double, x1 double, y1 double")).first()
+    assert tuple(extent) == (-1.0, 1.0, 2.0, 9.0)
+    known = spark.createDataFrame([("a",)], "tile string")
+    assert [r.tile for r in jobs.tile_report(spark.createDataFrame([("a",), ("b",)], "tile string"), known).collect()] == ["b"]
+
+    half = math.pi * 6378137.0
+    step = 2 * half / 2**3 / 16
+    # Two sources of four pixels each, twice as wide as a target; the later one paints over the first.
+    spots = [("a", -half + step * (1 + 2 * i), half - step * (1 + 2 * j), 50, 60, 70) for i in range(2) for j in range(2)]
+    spots += [("b", -half + step, half - step, 90, 91, 92)]
+    pixels = spark.createDataFrame(spots, "path string, mx double, my double, r int, g int, b int")
+    assert images.write_pyramid(pixels, str(tmp_path / "map"), range(3, 4), 2 * step, 16) == 1
+    import struct
+    import zlib
+
+    png = (tmp_path / "map/3/0/0.png").read_bytes()
+    at = png.index(b"IDAT")
+    (size,) = struct.unpack(">I", png[at - 4 : at])
+    image = np.frombuffer(zlib.decompress(png[at + 4 : at + 4 + size]), np.uint8).reshape(16, 1 + 64)[:, 1:].reshape(16, 16, 4)
+    assert (image[:2, :2] == (90, 91, 92, 255)).all() and (image[2:4, :4] == (50, 60, 70, 255)).all() and image[4:].sum() == 0 and image[:, 4:].sum() == 0
+
+
+def test_annotation_file_as_it_is_written(spark, tmp_path):
+    objects = spark.createDataFrame(
+        [("t.tif", 64, 32, "waste", 0, [(1.0, 2.0), (3.0, 4.5)], "V01", "", None, None), ("t.tif", 64, 32, "interrow_area", 0, [(0.0, 0.0), (1.0, 0.0), (1.0, 1.0)], "", "", None, None)],
+        "tile string, width int, height int, label string, place int, points array<struct<x:double,y:double>>, vineyard_id string, row_id string, row_structure string, interrow_cover string",
+    )
+    cvat.write(objects, str(tmp_path / "out"))
+    import xml.etree.ElementTree as tree
+
+    text = "".join(p.read_text() for p in (tmp_path / "out").glob("part-*"))
+    root = tree.fromstring(text[text.index("<annotations") :])
+    kinds = [(x.findtext("name"), x.findtext("type"), [(a.findtext("name"), a.findtext("input_type"), a.findtext("mutable"), a.findtext("default_value") or "") for a in x.iter("attribute")]) for x in root.iter("label")]
+    v = ("vineyard_id", "text", "false", "")
+    assert kinds == [
+        ("vineyard", "polygon", [v]),
+        ("waste", "rectangle", [v]),
+        ("row", "polyline", [v, ("row_id", "text", "false", ""), ("row_structure", "select", "false", "regular")]),
+        ("interrow_area", "polygon", [v, ("interrow_cover", "select", "false", "bare_soil")]),
+    ]
+    shapes = [(s.tag, s.attrib, {a.get("name"): a.text or "" for a in s}) for s in root.find("image")]
+    common = {"occluded": "0", "source": "auto", "z_order": "0"}
+    assert shapes == [
+        ("polygon", {"label": "interrow_area", "points": "0.00,0.00;1.00,0.00;1.00,1.00", **common}, {"vineyard_id": "", "interrow_cover": "bare_soil"}),
+        ("box", {"label": "waste", "xtl": "1.00", "ytl": "2.00", "xbr": "3.00", "ybr": "4.50", **common}, {"vineyard_id": "V01"}),
+    ]
+
+
+def test_survey_from_pixels(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    rng = np.random.default_rng(5)
+    a = np.full((240, 200, 3), (120, 70, 60), np.uint8)
+    for k in range(4):
+        for x in range(4 + 5 * k * k % 19, 180, 20):
+            a[20 + 60 * k : 32 + 60 * k, x : x + 14] = (90, 160, 40)
+    a[:, :, 1] += rng.integers(0, 30, a.shape[:2], dtype=np.uint8)
+    (tmp_path / "in/tile_r001_c002.tif").write_bytes(images.encode_tiff(a))
+    table = jobs.survey_from_tiles(spark, str(tmp_path / "in"), str(tmp_path / "out"), 200, 240, 60, share=0.3, least=60, radius=8)
+    found = {(r.metric, r.vineyard_id, r.row_id): r.value for r in table.collect()}
+    objects = cvat.read(spark, str(tmp_path / "out/annotations")).collect()
+    assert found["row_count", "", ""] == 4 and found["block_count", "", ""] == 1, [(o.label, o.points, o.row_id) for o in objects if o.label == "row"]
+    strips = [o for o in objects if o.label == "interrow_area"]
+    assert len(strips) == 3 and {o.interrow_cover for o in strips} == {"bare_soil"} and {o.vineyard_id for o in strips} == {"V01"}
+    assert sum(o.label == "vineyard" for o in objects) >= 30
