@@ -13,7 +13,7 @@ from fieldloom.operators import evaluate
 from fieldloom.sources import cvat, geojson, metrics, training
 
 from . import fixtures as fx
-from . import jobs
+from . import jobs, spatial
 from .catalogue import query
 
 
@@ -122,8 +122,19 @@ def metrics_csv(spark, sf_dir):
     return metrics.read(spark, path).select("metric", "vineyard_id", "row_id", F.round("value", 2).alias("value"))
 
 
-@query("q65_survey_ids", fx.with_fixtures("SELECT count(*) AS n, sum(CASE WHEN label = 'row' THEN 1 ELSE 0 END)::BIGINT AS rows FROM (SELECT 'row' AS label FROM seg UNION ALL SELECT 'other' FROM box)"))
+_IDS = f"""{spatial.NAMED}, kw AS (SELECT kept.id, w.vineyard_id, w.row_id, ax, ay, bx, by_ FROM kept JOIN w ON w.block = kept.block AND w.row = kept.row),
+p AS (SELECT id, {_LABEL} AS label, 51.2E0 * (12285 + c) + 0.025E0 * ((x0 + x1) / 2 + 0.5E0) AS x, 51.2E0 * (101977 - r) - 0.025E0 * ((y0 + y1) / 2 + 0.5E0) AS y FROM box),
+d AS (SELECT p.id, label, vineyard_id, min({spatial.point_distance("p.x", "p.y", "ax", "ay", "bx", "by_")}) AS d FROM p, kw GROUP BY 1, 2, 3),
+s AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY d > 5, CASE WHEN d <= 5 THEN 0 ELSE d END, vineyard_id) AS n FROM d)"""
+
+
+@query(
+    "q65_survey_ids",
+    fx.with_fixtures(
+        f"""{_IDS} SELECT 'row' AS label, CAST(wseg.id AS INTEGER) AS place, coalesce(vineyard_id, '') AS vineyard_id, coalesce(row_id, '') AS row_id FROM wseg LEFT JOIN kw ON kw.id = wseg.id
+        UNION ALL SELECT label, CAST(p.id AS INTEGER), coalesce(vineyard_id, ''), '' FROM p LEFT JOIN s USING (id, label) WHERE coalesce(n, 1) = 1"""
+    ),
+)
 def survey_ids(spark, sf_dir):
-    """Ids of every object, crowns by the block near them: none is lost."""
-    named = jobs.assign_ids(objects(spark, sf_dir))
-    return named.agg(F.count("*").alias("n"), F.count_if(F.col("label") == "row").alias("rows"))
+    """Ids of every object: rows by stitching, crowns and litter by the block near them."""
+    return jobs.assign_ids(objects(spark, sf_dir)).select("label", "place", "vineyard_id", "row_id")

@@ -19,16 +19,16 @@ pd AS (SELECT a.id AS a, b.id AS b, a.ax, a.ay, a.bx, a.by_, b.ax AS cx, b.ay AS
   AND least(a.ax, a.bx) - 5 <= greatest(b.ax, b.bx) AND least(b.ax, b.bx) - 5 <= greatest(a.ax, a.bx) AND least(a.ay, a.by_) - 5 <= greatest(b.ay, b.by_) AND least(b.ay, b.by_) - 5 <= greatest(a.ay, a.by_))"""
 
 
-def _point_distance(px, py, ax, ay, bx, by_):
+def point_distance(px, py, ax, ay, bx, by_):
     t = f"least(1, greatest(0, (({px} - {ax}) * ({bx} - {ax}) + ({py} - {ay}) * ({by_} - {ay})) / (({bx} - {ax}) ** 2 + ({by_} - {ay}) ** 2)))"
     return f"sqrt(({ax} + {t} * ({bx} - {ax}) - {px}) ** 2 + ({ay} + {t} * ({by_} - {ay}) - {py}) ** 2)"
 
 
 _DISTANCE = "least({}, {}, {}, {})".format(
-    _point_distance("ax", "ay", "cx", "cy", "dx", "dy"),
-    _point_distance("bx", "by_", "cx", "cy", "dx", "dy"),
-    _point_distance("cx", "cy", "ax", "ay", "bx", "by_"),
-    _point_distance("dx", "dy", "ax", "ay", "bx", "by_"),
+    point_distance("ax", "ay", "cx", "cy", "dx", "dy"),
+    point_distance("bx", "by_", "cx", "cy", "dx", "dy"),
+    point_distance("cx", "cy", "ax", "ay", "bx", "by_"),
+    point_distance("dx", "dy", "ax", "ay", "bx", "by_"),
 )
 _SIDE = "(({2} - {0}) * ({5} - {1}) - ({3} - {1}) * ({4} - {0}))"
 _CROSS = "({} * {} < 0 AND {} * {} < 0)".format(
@@ -87,7 +87,7 @@ _POINTS = """SELECT o_orderkey AS id, 51.2E0 * 12285 + CAST((o_orderkey * 37) %
 @query(
     "q28_block_assignment",
     fx.with_fixtures(
-        f"""WITH d AS (SELECT p.id, r AS block, min({_point_distance("p.x", "p.y", "ax", "ay", "bx", "by_")}) AS d FROM points p, wseg GROUP BY 1, 2),
+        f"""WITH d AS (SELECT p.id, r AS block, min({point_distance("p.x", "p.y", "ax", "ay", "bx", "by_")}) AS d FROM points p, wseg GROUP BY 1, 2),
         s AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY d > 5, CASE WHEN d <= 5 THEN block ELSE d END, block) AS n FROM d)
         SELECT id, block, d <= 5 AS inside FROM s WHERE n = 1""",
         points=_POINTS,
@@ -140,17 +140,17 @@ def block_prune(spark, sf_dir):
     return stitching.prune_blocks(rowed).groupBy("block").agg(F.count("*").alias("n"), F.count_distinct("row").alias("rows"))
 
 
-_NAMED = f"""{_STITCH}, v AS (SELECT block, printf('V%02d', row_number() OVER (ORDER BY min(least(ax, bx)), block)) AS vineyard_id FROM kept GROUP BY block),
+NAMED = f"""{_STITCH}, v AS (SELECT block, printf('V%02d', row_number() OVER (ORDER BY min(least(ax, bx)), block)) AS vineyard_id FROM kept GROUP BY block),
 mid AS (SELECT block, row, round(avg((ax + bx) / 2), 6) AS mx, round(avg((ay + by_) / 2), 6) AS my FROM kept GROUP BY block, row),
 w AS (SELECT mid.block, mid.row, vineyard_id, printf('%s-R%02d', vineyard_id, row_number() OVER (PARTITION BY mid.block ORDER BY mx, my, mid.row)) AS row_id FROM mid JOIN v ON v.block = mid.block)"""
 
 
-@query("q32_stitching", fx.with_fixtures(f"{_NAMED} SELECT id, vineyard_id, row_id FROM kept JOIN w ON w.block = kept.block AND w.row = kept.row"))
+@query("q32_stitching", fx.with_fixtures(f"{NAMED} SELECT id, vineyard_id, row_id FROM kept JOIN w ON w.block = kept.block AND w.row = kept.row"))
 def stitch(spark, sf_dir):
     return stitching.stitch(segments(spark, sf_dir)).select("id", "vineyard_id", "row_id")
 
 
-@query("q33_rows_by_block", fx.with_fixtures(f"{_NAMED} SELECT vineyard_id, string_agg(DISTINCT row_id, ',' ORDER BY row_id) AS row_ids FROM w GROUP BY vineyard_id"))
+@query("q33_rows_by_block", fx.with_fixtures(f"{NAMED} SELECT vineyard_id, string_agg(DISTINCT row_id, ',' ORDER BY row_id) AS row_ids FROM w GROUP BY vineyard_id"))
 def rows_by_block(spark, sf_dir):
     return stitching.rows_by_block(stitching.stitch(segments(spark, sf_dir))).withColumn("row_ids", F.array_join("row_ids", ","))
 
@@ -209,7 +209,7 @@ def interrow_parts(spark, sf_dir):
     return out.select("r", "c", "id", "part", F.round("area", 3).alias("area"), m.cover_class(1 - F.col("area") / F.col("whole"), F.col("area")).alias("interrow_cover"))
 
 
-_FULL = f"""{_NAMED}, lens AS (SELECT row_id, vineyard_id, sum(sqrt((bx - ax) ** 2 + (by_ - ay) ** 2)) AS len FROM kept JOIN w ON w.block = kept.block AND w.row = kept.row GROUP BY 1, 2),
+_FULL = f"""{NAMED}, lens AS (SELECT row_id, vineyard_id, sum(sqrt((bx - ax) ** 2 + (by_ - ay) ** 2)) AS len FROM kept JOIN w ON w.block = kept.block AND w.row = kept.row GROUP BY 1, 2),
 b AS (SELECT r, 0 AS c, (c * 2048 + x0) * 0.025 AS x0, (c * 2048 + x1) * 0.025 AS x1, y0 * 0.025 AS y0, y1 * 0.025 AS y1 FROM box WHERE status <> 'F'), {_UNION}
 SELECT 'row_count' AS metric, '' AS id, CAST(count(*) AS DOUBLE) AS value FROM lens UNION ALL SELECT 'block_rows', vineyard_id, count(*) FROM lens GROUP BY 2
 UNION ALL SELECT 'row_length', row_id, round(len, 4) FROM lens UNION ALL SELECT 'canopy_union', CAST(r AS VARCHAR), round(area, 6) FROM area"""
