@@ -1,8 +1,9 @@
 """Secret scans: wide patterns find candidates, a random forest removes the false positives.
 
 The forest looks at a candidate's length, its character transitions, how much of it dictionary words cover, the
-path it was found under and the neighbouring words. It is trained from labelled findings: those that the
-caller gives, or else labelled_findings(), which draws secrets and look-alikes by rule.
+path it was found under and the neighbouring words. It is trained from labelled findings: those of a table that the
+caller gives (findings_of), or else labelled_findings(), which draws secrets and look-alikes by rule. The dictionary is
+learnt from the corpus that is scanned: its most common words, beside a short built-in list.
 """
 
 from __future__ import annotations
@@ -54,7 +55,37 @@ DICTIONARY = frozenset(
     public private static class function return string number object null true false write read open close start stop first second
     foo bar baz lorem ipsum dolor xxxx abcd qwerty replace here""".split()
 )
-KINDS = ("token", "assigned", "block")
+#: Words that are learnt from the corpus at most, their letters, and the documents that must share one.
+LEARNT_WORDS, SHORTEST, LONGEST, LEAST_DOCUMENTS = 20_000, 4, 12, 3
+#: Labelled findings that are read from a table at most.
+FINDINGS = 20_000
+
+
+def dictionary(df: DataFrame, most: int = LEARNT_WORDS) -> frozenset[str]:
+    """The built-in words and the corpus's most common ones of SHORTEST to LONGEST letters a to z, by the number of documents
+    that hold them, ties in the order of the alphabet. Counted over all whole texts; only the `most` first ones leave
+    the executors. Null and empty texts hold none."""
+
+    def count(batches):
+        common.claim("secrets")
+        counts: Counter = Counter()
+
+        def close():
+            words = sorted(counts)
+            return pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array([counts[w] for w in words], pa.int64())], names=["word", "n"])
+
+        for batch in batches:
+            for text in batch.column("text"):
+                words = set((text.as_py() or "").lower().split())
+                counts.update([w for w in words if SHORTEST <= len(w) <= LONGEST and w.isascii() and w.isalpha()])
+            if len(counts) > 200_000:
+                yield close()
+                counts.clear()
+        yield close()
+
+    found = df.select("text").mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    rows = found.filter(F.col("n") >= LEAST_DOCUMENTS).orderBy(F.desc("n"), "word").limit(most).collect()
+    return DICTIONARY.union(r.word for r in rows)
 
 
 def candidates(text: str) -> list[tuple[int, int, str]]:
@@ -90,11 +121,11 @@ def accepted(found: list[tuple[int, int, str, float]], least: float) -> list[tup
     return out
 
 
-def covered(value: str) -> float:
+def covered(value: str, words: frozenset[str] = DICTIONARY) -> float:
     """Share of a value's characters that dictionary words of three letters or more cover, longest first."""
     low, hit, at = value.lower(), 0, 0
     while at < len(low):
-        n = next((n for n in range(min(9, len(low) - at), 2, -1) if low[at : at + n] in DICTIONARY), 0)
+        n = next((n for n in range(min(LONGEST, len(low) - at), 2, -1) if low[at : at + n] in words), 0)
         hit, at = hit + n, at + (n or 1)
     return hit / max(1, len(low))
 
@@ -103,7 +134,7 @@ def kind_of(c: str) -> int:
     return 0 if c.isdigit() else 1 if c.islower() else 2 if c.isupper() else 3
 
 
-def measures(text: str, path: str, start: int, end: int, kind: str) -> list[float]:
+def measures(text: str, path: str, start: int, end: int, kind: str, words: frozenset[str] = DICTIONARY) -> list[float]:
     """The forest's view of one candidate."""
     value = text[start:end]
     before = text[max(0, start - 80) : start]
@@ -125,7 +156,7 @@ def measures(text: str, path: str, start: int, end: int, kind: str) -> list[floa
         len(counts) / n,
         max(len(m.group()) for m in re.finditer(r"(.)\1*", value, re.S)) / n,
         sum(c in "aeiou" for c in letters) / max(1, len(letters)),
-        covered(value),
+        covered(value, words),
         float(all(c in string.hexdigits for c in value)),
         float(value.startswith(PREFIXES)),
         float(bool(named & SECRET_WORDS)),
@@ -142,13 +173,19 @@ def measures(text: str, path: str, start: int, end: int, kind: str) -> list[floa
     ]
 
 
-def labelled_findings(n: int = 4000, seed: int = 11) -> list[tuple[str, str, int]]:
+def spoken(rng: random.Random, known: frozenset[str], least: int):
+    """A source of words: of syllables, or as often one that is known."""
+    syllables = "an er th in on re ed nd ha at en es of or nt ea ti to it st io le is ou ar as de rt ve al ing ion ment ung ich keit eau oux".split()
+    known = sorted(known)
+    return lambda: rng.choice(known) if rng.random() < 0.5 else "".join(rng.choices(syllables, k=rng.randint(least, 4)))
+
+
+def labelled_findings(n: int = 4000, seed: int = 11, known: frozenset[str] = DICTIONARY) -> list[tuple[str, str, int]]:
     """(text, path, label) of findings drawn by rule: the first candidate of each text is the finding."""
     rng = random.Random(seed)
     pick = lambda chars, k: "".join(rng.choices(chars, k=k))
     upper, mixed, hexes = string.ascii_uppercase + string.digits, string.ascii_letters + string.digits, "0123456789abcdef"
-    syllables = "an er th in on re ed nd ha at en es of or nt ea ti to it st io le is ou ar as de rt ve al ing ion ment ung ich keit eau oux".split()
-    word = lambda: "".join(rng.choices(syllables, k=rng.randint(1, 4)))
+    word = spoken(rng, known, 1)
     words = lambda k: " ".join(word() for _ in range(k))
     name = lambda: rng.choice(["password", "passwd", "secret", "token", "api_key", "apikey", "access_token", "db_password", "secret_key", "auth_token", "PASSWORD", "pwd"])
     assign = lambda v: rng.choice([f"{name()}={v}", f"{name()}: {v}", f'{name()} = "{v}"', f"{name()}='{v}'"])
@@ -170,7 +207,11 @@ def labelled_findings(n: int = 4000, seed: int = 11) -> list[tuple[str, str, int
         lambda: "-".join(pick(hexes, k) for k in (8, 4, 4, 4, 12)),
         lambda: pick(string.digits, rng.randint(16, 20)),
         lambda: rng.choice(["order", "phone", "card", "invoice", "id"]) + rng.choice([" ", "=", ": "]) + pick(string.digits, rng.randint(12, 19)),
-        lambda: "-".join(rng.sample(sorted(DICTIONARY), 4)) + "-" + pick(string.digits, rng.randint(1, 4)),
+        lambda: rng.choice("-_/.").join(word() for _ in range(4)) + rng.choice("-_") + pick(string.digits, rng.randint(1, 4)),
+        lambda: assign(rng.choice(["none", "null", "true", "required", "unset"])),
+        lambda: rng.choice(["AKIA", "ASIA"]) + pick(upper, 9) + "EXAMPLE",
+        lambda: "${" + "_".join(word() for _ in range(3)).upper() + "}",
+        lambda: "".join(word().capitalize() for _ in range(4)) + rng.choice(["Factory", "Manager", "Service", "Error"]),
         lambda: "".join(word() for _ in range(6)).upper(),
         lambda: words(1) + "/" + "/".join(word() for _ in range(4)) + "-" + pick(string.digits, 2),
         lambda: assign(rng.choice(["your_api_key_here", "changeme", "example_password", "placeholder", "xxxxxxxx", "replace_me_here", "insert_token_here", "test_secret_value", "dummy_value"]) + pick(string.digits, rng.randint(0, 3))),
@@ -194,14 +235,13 @@ def labelled_findings(n: int = 4000, seed: int = 11) -> list[tuple[str, str, int
     return out
 
 
-def inner_findings(n: int = 3000, seed: int = 12) -> list[tuple[str, str, int, tuple[int, int, str]]]:
+def inner_findings(n: int = 3000, seed: int = 12, known: frozenset[str] = DICTIONARY) -> list[tuple[str, str, int, tuple[int, int, str]]]:
     """(text, path, label, candidate) of findings drawn by rule in URLs and connection strings, of short values and of
     tokens without a digit: the value is one and what surrounds it is not."""
     rng = random.Random(seed)
     pick = lambda chars, k: "".join(rng.choices(chars, k=k))
     mixed, hexes = string.ascii_letters + string.digits, "0123456789abcdef"
-    syllables = "an er th in on re ed nd ha at en es of or nt ea ti to it st io le is ou ar as de rt ve al ing ion ment ung ich keit eau oux".split()
-    word = lambda: "".join(rng.choices(syllables, k=rng.randint(2, 4)))
+    word = spoken(rng, known, 2)
     key = lambda: rng.choice([lambda: pick(hexes, rng.choice([20, 32, 40])), lambda: pick(mixed, rng.randint(12, 40)), lambda: "ghp_" + pick(mixed, 36), lambda: "sk_live_" + pick(mixed, 24)])()
     short = lambda: pick(mixed, rng.randint(3, 6)) + pick(string.digits, 1)
     name = lambda: rng.choice(["token", "access_token", "api_key", "apikey", "key", "secret", "password", "pwd", "auth"])
@@ -246,11 +286,23 @@ def inner_findings(n: int = 3000, seed: int = 12) -> list[tuple[str, str, int, t
     return out
 
 
+def findings_of(table: DataFrame, bound: int = FINDINGS) -> list[tuple]:
+    """Labelled findings from a table (text, path, label, start, end): at most `bound` rows, in the order of their hash.
+
+    A finding is the candidate of its text at these characters; rows that name none, or hold a null but for the path,
+    are left out, and a null path counts as empty."""
+    columns = ["text", F.coalesce("path", F.lit("")).alias("path"), F.col("label").cast("int").alias("label"), F.col("start").cast("int").alias("start"), F.col("end").cast("int").alias("end")]
+    rows = table.select(*columns).dropna()
+    rows = rows.orderBy(F.xxhash64(*rows.columns), *rows.columns).limit(bound).collect()
+    return [(r.text, r.path, r.label, c) for r in rows for c in candidates(r.text) if c[:2] == (r.start, r.end)]
+
+
 @dataclass
 class Forest:
-    """Trees as arrays: feature (-1: a leaf), threshold, children and the leaf's share of secrets."""
+    """Trees as arrays: feature (-1: a leaf), threshold, children and the leaf's share of secrets; and the dictionary."""
 
     trees: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
+    words: frozenset[str] = DICTIONARY
 
     def probabilities(self, x: np.ndarray) -> np.ndarray:
         total = np.zeros(len(x))
@@ -299,15 +351,15 @@ def grow(x: np.ndarray, y: np.ndarray, rng: np.random.Generator, depth: int, lea
     return np.array(feature), np.array(threshold), np.array(child), np.array(value)
 
 
-def train(findings: list[tuple] | None = None, trees: int = 40, depth: int = 12, least: int = 2, seed: int = 5) -> Forest:
+def train(findings: list[tuple] | None = None, trees: int = 40, depth: int = 12, least: int = 2, seed: int = 5, words: frozenset[str] = DICTIONARY) -> Forest:
     """A forest from labelled findings (text, path, 1 for a secret, and the candidate if it is not the text's first)."""
-    findings = labelled_findings() + inner_findings() if findings is None else findings
+    findings = labelled_findings(known=words) + inner_findings(known=words) if findings is None else findings
     if not findings:
         raise ValueError("no labelled findings to train from")
-    x = np.array([measures(text, path, *(which[0] if which else candidates(text)[0])) for text, path, _, *which in findings])
+    x = np.array([measures(text, path, *(which[0] if which else candidates(text)[0]), words) for text, path, _, *which in findings])
     y = np.array([f[2] for f in findings], np.float64)
     rng = np.random.default_rng(seed)
-    return Forest([grow(x, y, rng, depth, least) for _ in range(trees)])
+    return Forest([grow(x, y, rng, depth, least) for _ in range(trees)], words)
 
 
 def judged(forest: Forest, text: str, path: str) -> list[tuple[int, int, str, float]]:
@@ -315,7 +367,7 @@ def judged(forest: Forest, text: str, path: str) -> list[tuple[int, int, str, fl
     found = candidates(text)
     if not found:
         return []
-    p = forest.probabilities(np.array([measures(text, path, *c) for c in found]))
+    p = forest.probabilities(np.array([measures(text, path, *c, forest.words) for c in found]))
     return [(*c, float(x)) for c, x in zip(found, p)]
 
 
@@ -382,12 +434,16 @@ def mask(text, path, forest: Forest, least: float = LEAST_PROBABILITY):
 
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All candidates in all documents, with the verdicts of a forest trained on the built-in findings."""
-    return scan(common.table(spark, sf_dir, "documents"), train())
+    documents = common.table(spark, sf_dir, "documents")
+    return scan(documents, train(words=dictionary(documents)))
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pipeline's fourth stage: secrets are masked in the text, and n_chars follows; no document goes."""
-    text = mask(docs["text"], docs["source"].cast("string"), train())
+    """The pipeline's fourth stage: secrets are masked in the text, and n_chars follows; no document goes.
+
+    A null text stays null and has a null n_chars; a null source counts as empty; null ids and repeated rows are like
+    others; an empty docs stays empty."""
+    text = mask(docs["text"], docs["source"].cast("string"), train(words=dictionary(docs)))
     changed = docs.withColumn("text", text)
     return changed.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.char_length("text")).cast("long")).select(*docs.columns)
 
