@@ -13,7 +13,6 @@ from bisect import bisect_left, bisect_right
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -84,18 +83,24 @@ def piece_cuts(hashed: np.ndarray, bounds: list[tuple[int, int]]) -> list[list[i
     return out
 
 
+def lowered(text: str) -> str:
+    """The text in lower case, of the same length: a character whose lower case is longer stays."""
+    low = text.lower()
+    return low if len(low) == len(text) else "".join(c if len(c.lower()) != 1 else c.lower() for c in text)
+
+
+def hashes_of(words: list[str]) -> np.ndarray:
+    return _hasher.hashes(" ".join(words).encode("utf-8", "replace").split(b" ")) if words else np.empty(0, np.uint64)
+
+
 def sentences(text: str | None) -> list[tuple[int, int, str, int]]:
     """(start, end, normalised words, number of words) of a whole text's sentences and pieces.
 
     Each reaches to the next one's start, so the slices of the kept ones join to the text that is left."""
     if not text:
         return []
-    found, words, start = [], [], 0
-    low = text.lower()
-    if len(low) != len(text):
-        # A character whose lower case is longer would shift the places.
-        low = "".join(c if len(c.lower()) != 1 else c.lower() for c in text)
-    for m in [*BREAK.finditer(text), None]:
+    found, words, start, low = [], [], 0, lowered(text)
+    for m in [*BREAK.finditer(low), None]:
         stop, end = (m.start(), m.end()) if m else (len(text), len(text))
         at = len(words)
         words += low[start:stop].split()
@@ -104,11 +109,8 @@ def sentences(text: str | None) -> list[tuple[int, int, str, int]]:
         elif found:
             found[-1] = (*found[-1][:2], end, *found[-1][3:])
         start = end
-    if not found:
-        return []
     out, bounds = [], [(a, b) for *_, a, b in found]
-    hashed = _hasher.hashes(" ".join(words).encode("utf-8", "replace").split(b" "))
-    for (start, stop, end, a, b), cuts in zip(found, piece_cuts(hashed, bounds)):
+    for (start, stop, end, a, b), cuts in zip(found, piece_cuts(hashes_of(words), bounds)):
         if not cuts:
             out.append((start, end, " ".join(words[a:b]), b - a))
             continue
@@ -119,25 +121,62 @@ def sentences(text: str | None) -> list[tuple[int, int, str, int]]:
     return out
 
 
-def run_ends(found: list[tuple[int, int, str, int]]) -> list[int]:
-    """Of every run the unit behind its last: SENTENCES units, or more until they have RUN_WORDS words. Begins that
-    leave too few have none."""
-    out, end, words = [], 0, 0
-    for i, unit in enumerate(found):
-        while end < len(found) and (end - i < SENTENCES or words < RUN_WORDS):
-            words += found[end][3]
-            end += 1
-        if end - i < SENTENCES or words < RUN_WORDS:
-            break
-        out.append(end)
-        words -= unit[3]
-    return out
-
-
-def span_hashes(found: list[tuple[int, int, str, int]]) -> list[tuple[int, int]]:
-    """(position, hash) of every run of sentences."""
-    single = np.array([xxhash.xxh3_64_intdigest(s[2].encode("utf-8", "replace")) for s in found], np.uint64)
-    return [(i, xxhash.xxh3_64_intdigest(single[i:end].tobytes())) for i, end in enumerate(run_ends(found))]
+def unit_edges(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of a whole text's words, and the words at which its sentences and pieces begin, with the end: the same
+    units as sentences() gives."""
+    parts = [part.split() for part in BREAK.split(lowered(text))] if text else []
+    hashed, bounds, at = hashes_of([w for part in parts for w in part]), [], 0
+    for part in parts:
+        if part:
+            bounds.append((at, at + len(part)))
+            at += len(part)
+    edges = [x for (a, _), cuts in zip(bounds, piece_cuts(hashed, bounds)) for x in (a, *cuts)]
+    return hashed, np.array([*edges, at] if edges else [], np.int64)
+
+
+def run_ends(edges: np.ndarray) -> np.ndarray:
+    """Of every run the unit behind its last: SENTENCES units, or more until they have RUN_WORDS words. Begins that leave
+    too few have none."""
+    n = len(edges) - 1
+    if n < SENTENCES:
+        return np.empty(0, np.int64)
+    ends = np.maximum(np.searchsorted(edges, edges[:-1] + RUN_WORDS), np.arange(n) + SENTENCES)
+    return ends[: np.searchsorted(ends, n, "right")]
+
+
+#: An odd number and its inverse: the powers by which words count in a run's hash, and by which its place is taken out.
+_STEP = 0x9E3779B97F4A7C15
+_BACK = pow(_STEP, -1, 1 << 64)
+_powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def powers(n: int) -> list[np.ndarray]:
+    """The first n powers of both, kept for texts of ordinary length."""
+    if n <= len(_powers[0]):
+        return [p[:n] for p in _powers]
+    made = []
+    for base in (_STEP, _BACK):
+        steps = np.full(n, base, np.uint64)
+        steps[0] = 1
+        made.append(np.cumprod(steps, dtype=np.uint64))
+    if n <= 1 << 18:
+        _powers[:] = made
+    return made
+
+
+def span_hashes(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """(positions, hashes) of every run of a whole text: from sums of its words' hashes, each times a power for its place."""
+    hashed, edges = unit_edges(text)
+    ends = run_ends(edges)
+    if not len(ends):
+        return np.empty(0, np.int64), np.empty(0, np.uint64)
+    up, down = powers(len(hashed) + 1)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashed * up[:-1], dtype=np.uint64)])
+    begin, end = edges[: len(ends)], edges[ends]
+    out = (sums[end] - sums[begin]) * down[begin] + (end - begin).astype(np.uint64)
+    for shift in (32, 29):
+        out = (out ^ (out >> np.uint64(shift))) * np.uint64(0xBF58476D1CE4E5B9)
+    return np.arange(len(ends)), out ^ (out >> np.uint64(32))
 
 
 def documents_of(df: DataFrame) -> DataFrame:
@@ -154,13 +193,13 @@ def spans(docs: DataFrame) -> DataFrame:
             for batch in common.slices(whole, 512):
                 span, owner, at = [], [], []
                 for i, t in enumerate(batch.column("text")):
-                    runs = span_hashes(sentences(t.as_py()))
-                    at += [p for p, _ in runs]
-                    span += [h for _, h in runs]
-                    owner += [i] * len(runs)
-                take = pa.array(owner, pa.int64())
+                    places, found = span_hashes(t.as_py())
+                    at.append(places)
+                    span.append(found)
+                    owner.append(np.full(len(found), i))
+                take = pa.array(np.concatenate(owner))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.array(span, np.uint64).view(np.int64)), batch.column("doc_id").take(take), batch.column("mark").take(take), pa.array(at, pa.int32())],
+                    [pa.array(np.concatenate(span).view(np.int64)), batch.column("doc_id").take(take), batch.column("mark").take(take), pa.array(np.concatenate(at).astype(np.int32))],
                     names=["span", "doc_id", "mark", "at"],
                 )
 
@@ -170,9 +209,10 @@ def spans(docs: DataFrame) -> DataFrame:
 def met(rows: DataFrame, sides: DataFrame) -> DataFrame:
     """Join rows by span with sides (span, n, ...), where n is the number of the span's rows.
 
-    Spans of very many rows, of which there can only be few, are sent to all; the others may shuffle."""
+    Spans of very many rows, of which there can only be few, are sent to all; the others meet by a shuffle at any size."""
     hot, cold = sides.filter(F.col("n") > HOT_ROWS), sides.filter(F.col("n") <= HOT_ROWS)
-    return rows.join(common.small_side(hot), "span").unionAll(rows.join(common.small_side(cold), "span"))
+    met_cold = rows.join(cold.hint("merge"), "span")
+    return met_cold if hot.isEmpty() else met_cold.unionAll(rows.join(common.small_side(hot), "span"))
 
 
 def repeats(docs: DataFrame) -> DataFrame:
@@ -191,8 +231,10 @@ def repeats(docs: DataFrame) -> DataFrame:
 
 
 def covered(at: list[int], units: list[tuple[int, int, str, int]]) -> set[int]:
-    ends = run_ends(units) if at else []
-    return {k for p in at for k in range(p, ends[p])}
+    if not at:
+        return set()
+    ends = run_ends(np.cumsum([0, *(u[3] for u in units)]))
+    return {k for p in at for k in range(p, int(ends[p]))}
 
 
 CLEANED = T.StructType(

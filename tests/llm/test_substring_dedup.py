@@ -1,3 +1,4 @@
+import itertools
 import random
 
 from fieldloom.llm import substring_dedup as sd
@@ -87,7 +88,7 @@ def test_all_white_space_parts_words():
 
 def shared(a, b):
     """Whether two texts share a run."""
-    return {h for _, h in sd.span_hashes(sd.sentences(a))} & {h for _, h in sd.span_hashes(sd.sentences(b))}
+    return set(sd.span_hashes(a)[1].tolist()) & set(sd.span_hashes(b)[1].tolist())
 
 
 def test_passages_inside_sentences_at_every_offset(documents):
@@ -128,3 +129,19 @@ def test_short_phrases_and_one_passage_in_every_text(documents, monkeypatch):
     got = {r.doc_id: r for r in sd.dedup_substrings(documents(rows)).collect()}
     assert all(r.n_removed == 0 and r.text == dict(rows)[i] for i, r in got.items() if i % 2 == 0 or i == 1)
     assert all(r.sources == [1] and phrase in r.text and passage[20:300] not in r.text for i, r in got.items() if i % 2 and i > 1)
+
+
+def test_units_and_hashes_are_the_same_both_ways():
+    rng = random.Random(10)
+    seen = {}
+    for _ in range(400):
+        t = " ".join(rng.choices(["İx", "a", "b.", "c!\n", "dd", "\u00a0e", "word", "ẞs", "\n"], k=rng.randint(0, 120)))
+        units = sd.sentences(t)
+        hashed, edges = sd.unit_edges(t)
+        assert edges.tolist() == ([0, *itertools.accumulate(u[3] for u in units)] if units else [])
+        ends = sd.run_ends(edges)
+        for p, h in zip(*sd.span_hashes(t)):
+            run = " ".join(u[2] for u in units[p : ends[p]])
+            assert len(run.split()) >= 24 and ends[p] - p >= 3
+            assert seen.setdefault(int(h), run) == run
+    assert len(set(seen.values())) == len(seen)
