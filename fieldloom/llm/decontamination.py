@@ -105,8 +105,9 @@ class ItemClass:
     """Items of about the same length: their tables, and the steps that a window of that size is walked.
 
     seeds are the items' runs of q words, of which every near window holds `least` within `span` words; sieve has
-    a bit for each 22-bit prefix of a seed, to pass over nearly all of a text at once. A table is (walk, sampled steps,
-    keys in order, their items, 1 if it walks from the middle of items)."""
+    a bit for each 22-bit prefix of a seed, to pass over nearly all of a text at once. tables are those of one walk
+    together: (walk, 1 if from the middle of items, numbers, sampled steps of each). keys holds the keys of all tables in
+    order and members their items."""
 
     steps: int
     longest: int
@@ -115,7 +116,9 @@ class ItemClass:
     least: int
     span: int
     sieve: np.ndarray
-    tables: list[tuple[int, tuple[int, ...], np.ndarray, np.ndarray, int]] = field(default_factory=list)
+    tables: list[tuple[int, int, np.ndarray, np.ndarray]] = field(default_factory=list)
+    keys: np.ndarray | None = None
+    members: np.ndarray | None = None
 
 
 class ItemIndex:
@@ -124,6 +127,7 @@ class ItemIndex:
     def __init__(self, items: list[tuple[int, str | None]], recall: float = RECALL, seed: int = 3) -> None:
         hasher = common.WordHasher()
         self.items = [(i, h) for i, text in items if len(h := hasher.hashes(words(text)))]
+        self.lengths = np.array([len(h) for _, h in self.items], np.int64)
         n_tables = math.ceil(math.log(1 - recall) / math.log(1 - AGREEMENT**SAMPLED))
         rng = np.random.default_rng(seed)
         classes: dict[int, list[int]] = {}
@@ -143,20 +147,27 @@ class ItemIndex:
             flat = np.concatenate([self.items[m][1] for m in members])
             begin = np.cumsum([0, *[len(self.items[m][1]) for m in members]])
             # A walk from the middle has half of the words, and no item of the class ends within `least` of its steps but by chance.
+            found, owners, count = [], [], 0
             for half, steps in ((0, group.steps), (1, max(SAMPLED, least - least // 4))):
-                walks = [walk(flat, begin[:-1] + half * (np.diff(begin) // 2), begin[1:], steps, 1000 * w) for w in range(WALKS)]
-                for t in range(n_tables):
-                    sample = tuple(sorted(rng.choice(steps, min(SAMPLED, steps), replace=False).tolist()))
-                    keys = self.keys(walks[t % WALKS], sample)
-                    order = np.argsort(keys, kind="stable")
-                    group.tables.append((t % WALKS, sample, keys[order], np.array(members)[order], half))
+                for w in range(WALKS):
+                    numbers = np.arange(count, count + len(range(w + half * WALKS, n_tables, 2 * WALKS)), dtype=np.uint64)
+                    count += len(numbers)
+                    samples = np.array([sorted(rng.choice(steps, min(SAMPLED, steps), replace=False)) for _ in numbers], np.int64).reshape(len(numbers), -1)
+                    outputs = walk(flat, begin[:-1] + half * (np.diff(begin) // 2), begin[1:], steps, 1000 * w)
+                    group.tables.append((w, half, numbers, samples))
+                    found.append(self.keys(outputs, numbers, samples).ravel())
+                    owners.append(np.tile(np.array(members), len(numbers)))
+            found = np.concatenate(found)
+            order = np.argsort(found, kind="stable")
+            group.keys, group.members = found[order], np.concatenate(owners)[order]
             self.classes.append(group)
 
     @staticmethod
-    def keys(outputs: np.ndarray, sample: tuple[int, ...]) -> np.ndarray:
-        key = np.zeros(outputs.shape[1], np.uint64)
-        for j in sample:
-            key = mixed(key ^ outputs[j], 17) + np.uint64(j)
+    def keys(outputs: np.ndarray, numbers: np.ndarray, samples: np.ndarray) -> np.ndarray:
+        """The key of each table (row) and window (column)."""
+        key = np.repeat(mixed(numbers, 5)[:, None], outputs.shape[1], axis=1)
+        for j in samples.T:
+            key = mixed(key ^ outputs[j], 17) + j[:, None].astype(np.uint64)
         return key
 
     @staticmethod
@@ -184,23 +195,31 @@ class ItemIndex:
         grams = {q: seeds(hashed, q) for q in {g.q for g in self.classes}}
         for group in self.classes:
             at = self.starts(group, grams[group.q])
-            candidates: dict[int, list[int]] = {}
+            if not len(at):
+                continue
+            met = [np.empty(0, np.int64)]
             for low in range(0, len(at), STARTS_AT_ONCE):
                 starts = at[low : low + STARTS_AT_ONCE]
                 stop = np.minimum(starts + group.longest, len(hashed))
                 walks = [walk(hashed, starts, stop, group.steps, 1000 * w) for w in range(WALKS)]
-                for w, sample, keys, members, half in group.tables:
-                    asked = self.keys(walks[w], sample)
-                    left, right = np.searchsorted(keys, asked, "left"), np.searchsorted(keys, asked, "right")
-                    for p in np.flatnonzero(right > left):
-                        for m in members[left[p] : right[p]]:
-                            before = half * (len(self.items[m][1]) // 2)
-                            candidates.setdefault(int(m), []).append(max(0, int(starts[p]) - before))
-            for m, starts in candidates.items():
+                for w, half, numbers, samples in group.tables:
+                    asked = self.keys(walks[w], numbers, samples).ravel()
+                    left = np.searchsorted(group.keys, asked)
+                    hit = np.flatnonzero(group.keys[np.minimum(left, len(group.keys) - 1)] == asked)
+                    if not len(hit):
+                        continue
+                    left = left[hit]
+                    many = np.searchsorted(group.keys, asked[hit], "right") - left
+                    place = np.repeat(left - np.cumsum(many) + many, many) + np.arange(many.sum())
+                    item = group.members[place]
+                    begins = np.maximum(0, np.repeat(starts[hit % len(starts)], many) - half * (self.lengths[item] // 2))
+                    met.append(item * (len(hashed) + 1) + begins)
+            met_items, met_starts = np.divmod(np.unique(np.concatenate(met)), len(hashed) + 1)
+            for m in np.unique(met_items).tolist():
+                starts = met_starts[met_items == m].tolist()
                 item = self.items[m][1]
                 n, k = len(item), allowed(len(item))
                 # Windows that overlap are verified at once.
-                starts = sorted(set(starts))
                 while starts:
                     upto = starts[0]
                     for s in starts:
@@ -211,7 +230,8 @@ class ItemIndex:
                     a, b = max(0, starts[0] - 2 * k), min(len(hashed), upto + n + 2 * k)
                     starts = [s for s in starts if s > upto]
                     # Every word that is not edited stands in the text, so fewer common words rule the item out.
-                    if np.isin(item, hashed[a:b]).sum() < n - k:
+                    near = set(hashed[a:b].tolist())
+                    if sum(map(near.__contains__, item.tolist())) < n - k:
                         continue
                     edits, end = edit_distance_within(item, hashed[a:b])
                     if edits <= k and (m not in found or edits < found[m][0]):
