@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +23,23 @@ def _cells(df: DataFrame, x0: Column, y0: Column, x1: Column, y1: Column, cell:
     return df.withColumn("_cx", F.explode(F.sequence(index(x0), index(x1)))).withColumn("_cy", F.explode(F.sequence(index(y0), index(y1))))
 
 
+def _segment_distances(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """Least distances of pairs of segments, each four arrays (ax, ay, bx, by), 0 where they cross."""
+
+    def to_segment(px, py, ax, ay, bx, by_):
+        dx, dy = bx - ax, by_ - ay
+        square = dx * dx + dy * dy
+        with np.errstate(divide="ignore", invalid="ignore"):
+            t = np.where(square > 0, np.clip(((px - ax) * dx + (py - ay) * dy) / square, 0.0, 1.0), 0.0)
+        qx, qy = ax + t * dx - px, ay + t * dy - py
+        return np.sqrt(qx * qx + qy * qy)
+
+    side = lambda ax, ay, bx, by_, cx, cy: (bx - ax) * (cy - ay) - (by_ - ay) * (cx - ax)
+    crossed = (side(*b, *a[:2]) * side(*b, *a[2:]) < 0) & (side(*a, *b[:2]) * side(*a, *b[2:]) < 0)
+    ends = [to_segment(*a[:2], *b), to_segment(*a[2:], *b), to_segment(*b[:2], *a), to_segment(*b[2:], *a)]
+    return np.where(crossed, 0.0, np.minimum.reduce(ends))
+
+
 def segment_pairs(segments: DataFrame, limit: float, cell: float | None = None) -> DataFrame:
     """(a, b, d) with a < b of all segments (id, ax, ay, bx, by_) within limit metres of one another.
 
@@ -41,8 +60,18 @@ def segment_pairs(segments: DataFrame, limit: float, cell: float | None = None)
         & (F.floor(low_x / cell) == F.col("_cx"))
         & (F.floor(low_y / cell) == F.col("_cy"))
     )
-    d = g.segment_distance(_ends("l_"), _ends("r_"))
-    return met.select(F.col("l_id").alias("a"), F.col("r_id").alias("b"), d.alias("d")).filter(F.col("d") <= limit)
+    kind = segments.schema["id"].dataType.simpleString()
+    columns = [f"{side}_{c}" for side in "lr" for c in ENDS]
+
+    def within(batches):
+        for batch in batches:
+            ends = [batch.column(c).to_numpy(zero_copy_only=False) for c in columns]
+            d = _segment_distances(ends[:4], ends[4:])
+            near = np.flatnonzero(d <= limit)
+            yield pa.RecordBatch.from_arrays([batch.column("l_id").take(pa.array(near)), batch.column("r_id").take(pa.array(near)), pa.array(d[near])], names=["a", "b", "d"])
+
+    # In one expression the distance would be a method too long for the JVM to compile.
+    return met.select("l_id", "r_id", *[F.col(c).cast("double").alias(c) for c in columns]).mapInArrow(within, f"a {kind}, b {kind}, d double")
 
 
 def same_row_line(a: dict, b: dict, off: float = 1.0, gap: float = 4.0, tolerance: float = 20.0) -> Column:
