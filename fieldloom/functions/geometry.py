@@ -53,7 +53,12 @@ def affine_to_world(points: Column, a: Column, c: Column, e: Column, f: Column,
 
 
 def utm35_to_lonlat(x: Column, y: Column) -> tuple[Column, Column]:
-    """EPSG:32635 to longitude and latitude in degrees, by Krueger's series to fourth order."""
+    """EPSG:32635 to longitude and latitude in degrees."""
+    return utm_to_lonlat(x, y, 35)
+
+
+def utm_to_lonlat(x: Column, y: Column, zone: int, south: bool = False) -> tuple[Column, Column]:
+    """A UTM zone to longitude and latitude in degrees, by Krueger's series to fourth order."""
     f = 1 / 298.257223563
     n = f / (2 - f)
     radius = 6378137.0 / (1 + n) * (1 + n**2 / 4 + n**4 / 64)
@@ -70,7 +75,7 @@ def utm35_to_lonlat(x: Column, y: Column) -> tuple[Column, Column]:
         56 * n**3 / 15 - 136 * n**4 / 35,
         4279 * n**4 / 630,
     ]
-    xi = y / F.lit(0.9996 * radius)
+    xi = (y - F.lit(10_000_000.0 if south else 0.0)) / F.lit(0.9996 * radius)
     eta = (x - F.lit(500000.0)) / F.lit(0.9996 * radius)
     xi0, eta0 = xi, eta
     for k, b in enumerate(beta, 1):
@@ -81,7 +86,20 @@ def utm35_to_lonlat(x: Column, y: Column) -> tuple[Column, Column]:
     for k, d in enumerate(delta, 1):
         lat = lat + F.lit(d) * F.sin(F.lit(2.0 * k) * chi)
     lon = F.atan2(F.sinh(eta0), F.cos(xi0))
-    return F.lit(27.0) + F.degrees(lon), F.degrees(lat)
+    return F.lit(6.0 * zone - 183.0) + F.degrees(lon), F.degrees(lat)
+
+
+def transformer(source: int, target: int):
+    """A function of two columns that takes places from one EPSG code to another: from any UTM zone, 4326 or 3857 to itself, and
+    from a UTM zone or 4326 to 4326 or 3857."""
+    zone = source % 100
+    utm = source // 100 in (326, 327) and 1 <= zone <= 60
+    if source == target and (utm or source in (4326, 3857)):
+        return lambda x, y: (x, y)
+    if not (utm or source == 4326) or target not in (4326, 3857):
+        raise ValueError(f"no way from EPSG:{source} to EPSG:{target}")
+    degrees = (lambda x, y: utm_to_lonlat(x, y, zone, source // 100 == 327)) if utm else (lambda x, y: (x, y))
+    return degrees if target == 4326 else lambda x, y: lonlat_to_mercator(*degrees(x, y))
 
 
 def points_to_lonlat(points: Column) -> Column:

@@ -19,6 +19,16 @@ def box_ious(preds: DataFrame, refs: DataFrame, keys: list[str], cell: float = 6
     return met.select(*keys, F.col("a_id").alias("pred"), F.col("b_id").alias("ref"), (both / (area("a") + area("b") - both)).alias("iou"))
 
 
+def mask_ious(preds: DataFrame, refs: DataFrame, tile: str = "tile") -> DataFrame:
+    """(tile, pred, ref, iou) of all masks, given as pixels (tile, id, x, y), that share a pixel. Pixels meet by equality and
+    only counts of pairs of masks are left, so nothing is gathered; a pixel repeated within a mask counts once."""
+    a, b = (df.select(tile, F.col("id").alias(n), "x", "y").distinct() for df, n in ((preds, "pred"), (refs, "ref")))
+    sizes = lambda df, n: df.groupBy(tile, n).agg(F.count("*").alias(f"_{n}"))
+    both = a.join(b, [tile, "x", "y"]).groupBy(tile, "pred", "ref").agg(F.count("*").alias("_both"))
+    met = both.join(sizes(a, "pred"), [tile, "pred"]).join(sizes(b, "ref"), [tile, "ref"])
+    return met.select(tile, "pred", "ref", (F.col("_both") / (F.col("_pred") + F.col("_ref") - F.col("_both"))).alias("iou"))
+
+
 def greedy_matches(pairs: DataFrame, key: str, least: float = 0.5) -> DataFrame:
     """(key, pred, ref, iou): predictions in order each take the best free reference, the later of equals. A tile's
     pairs are a bounded group."""

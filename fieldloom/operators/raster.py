@@ -420,6 +420,23 @@ def keep_apart(points: list[tuple[float, float]], least: float) -> list[int]:
     return kept
 
 
+def closed_along(pixels: DataFrame, width: int, height: int, length: int = 41, thickness: int = 3) -> DataFrame:
+    """Set pixels (tile, x, y) after gaps along each tile's dominant direction are closed, by a line element."""
+    kind = pixels.schema["tile"].dataType.simpleString()
+
+    def kernel(group: pd.DataFrame) -> pd.DataFrame:
+        (on,) = dense(group.assign(one=1), width, height, ("one",))
+        ys, xs = closing(on > 0, line_offsets(dominant_angle(on), length, thickness)).nonzero()
+        return pd.DataFrame({"tile": group["tile"].iloc[0], "x": xs, "y": ys})
+
+    return per_tile(pixels.select("tile", "x", "y"), kernel, f"tile {kind}, x int, y int")
+
+
+#: The parameters of the second way to crowns, which has no colour gate, and to covers.
+VARIANT_CROWNS = {"least": 130, "most": 9000, "share": 0.38, "epsilon": 0.008}
+VARIANT_GREEN, VARIANT_LEAST_PIXELS = 25.0, 1
+
+
 def crowns(green: np.ndarray, mask: np.ndarray, least: int = 240, most: int = 12800, share: float = 0.08, epsilon: float = 0.004, radius: int | None = None) -> list[dict]:
     """Crown outlines of one tile: close and open the mask with elements of 4 and 2 pixels across, drop blobs of over `most`, split touching crowns by a watershed
     from the distance map's peaks, trace and simplify."""
@@ -434,8 +451,11 @@ def crowns(green: np.ndarray, mask: np.ndarray, least: int = 240, most: int = 12
         own = regions == k
         size = int(own.sum())
         if least <= size <= most:
-            ring = simplify_ring(contour(own), epsilon)
-            if len(ring) >= 3:
+            outline = contour(own)
+            # The outline's area is less than the pixels where a crown falls apart.
+            area = abs(sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(outline, [*outline[1:], outline[0]]))) / 2
+            ring = simplify_ring(outline, epsilon)
+            if area >= least and len(ring) >= 3:
                 out.append({"pixels": size, "ring": ring})
     return out
 
@@ -529,10 +549,12 @@ def per_tile(pixels: DataFrame, kernel, schema: str) -> DataFrame:
     return pixels.groupBy("tile").applyInPandas(kernel, schema)
 
 
-def green_mask(pixels: DataFrame, width: int, height: int, share: float = 0.87, floor: float = 15.0) -> DataFrame:
-    """(tile, x, y, r, g, b, exg) of the pixels that are greener than their block's percentile and of a plant's colour."""
+def green_mask(pixels: DataFrame, width: int, height: int, share: float = 0.87, floor: float = 15.0, gate: bool = True) -> DataFrame:
+    """(tile, x, y, r, g, b, exg) of the pixels that are greener than their block's percentile and, with the gate, of a
+    plant's colour."""
     green = pixels.withColumn("exg", px.raw_excess_green(F.col("r"), F.col("g"), F.col("b")))
-    return block_mask(green, "exg", share, floor, width, height).filter(px.green_gate(F.col("r"), F.col("g"), F.col("b")))
+    mask = block_mask(green, "exg", share, floor, width, height)
+    return mask.filter(px.green_gate(F.col("r"), F.col("g"), F.col("b"))) if gate else mask
 
 
 def ring_shares(rings: DataFrame, pixels: DataFrame, least_green: float = 20.0) -> DataFrame:
@@ -561,11 +583,11 @@ def ring_shares(rings: DataFrame, pixels: DataFrame, least_green: float = 20.0)
     return left.groupBy("tile").cogroup(right.groupBy("tile")).applyInPandas(kernel, f"tile {kind}, id {id_kind}, n long, share double")
 
 
-def segment_crowns(pixels: DataFrame, width: int, height: int, share: float = 0.87, floor: float = 15.0, **limits) -> DataFrame:
+def segment_crowns(pixels: DataFrame, width: int, height: int, quantile: float = 0.87, floor: float = 15.0, gate: bool = True, **limits) -> DataFrame:
     """Crown polygons (tile, crown, pixels, ring) of every tile from its bands: block-percentile mask, colour gate in
-    SQL, then the crown kernel."""
+    SQL, then the crown kernel with its limits (the second way: gate=False, **VARIANT_CROWNS)."""
     green = pixels.withColumn("exg", px.raw_excess_green(F.col("r"), F.col("g"), F.col("b")))
-    mask = green_mask(pixels, width, height, share, floor)
+    mask = green_mask(pixels, width, height, quantile, floor, gate)
     flagged = green.join(mask.select("tile", "x", "y", F.lit(1).alias("on")), ["tile", "x", "y"], "left").select("tile", "x", "y", "exg", F.coalesce("on", F.lit(0)).alias("on"))
 
     def kernel(group: pd.DataFrame) -> pd.DataFrame:

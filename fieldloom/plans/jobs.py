@@ -43,7 +43,7 @@ def assign_ids(objects: DataFrame, reach: float = 5.0) -> DataFrame:
     return rows.select(*objects.columns).unionByName(rest)
 
 
-def derive_interrow(objects: DataFrame, pixels: DataFrame | None = None, least: float = 200.0) -> DataFrame:
+def derive_interrow(objects: DataFrame, pixels: DataFrame | None = None, least: float = 200.0, least_green: float = 20.0, least_pixels: int = 50) -> DataFrame:
     """Strips between neighbouring rows of a block within a tile, less the crowns in them, in parts: (tile, vineyard_id,
     id, part, area in square pixels, ring, interrow_cover). Rows are ordered across their median direction. The cover
     follows from the green share of the pixels (tile, x, y, r, g, b) in a part; without pixels it is null, and where
@@ -66,8 +66,8 @@ def derive_interrow(objects: DataFrame, pixels: DataFrame | None = None, least:
         return parts.withColumn("interrow_cover", F.lit(None).cast("string"))
     parts = session.written(parts, "parts")
     named = parts.withColumn("_id", F.xxhash64("vineyard_id", "id", "part"))
-    shares = raster.ring_shares(named.select("tile", F.col("_id").alias("id"), "ring"), pixels)
-    shares = shares.select("tile", F.col("id").alias("_id"), measure.cover_class(F.col("share"), F.col("n")).alias("interrow_cover"))
+    shares = raster.ring_shares(named.select("tile", F.col("_id").alias("id"), "ring"), pixels, least_green)
+    shares = shares.select("tile", F.col("id").alias("_id"), measure.cover_class(F.col("share"), F.col("n"), least_pixels).alias("interrow_cover"))
     return named.join(shares, ["tile", "_id"]).drop("_id")
 
 
@@ -82,11 +82,11 @@ def with_interrow(objects: DataFrame, pixels: DataFrame | None = None) -> DataFr
     return objects.filter("label <> 'interrow_area'").unionByName(derived)
 
 
-def detect_objects(pixels: DataFrame, width: int, height: int, spacing: float, share: float = 0.87, floor: float = 15.0, **limits) -> DataFrame:
+def detect_objects(pixels: DataFrame, width: int, height: int, spacing: float, quantile: float = 0.87, floor: float = 15.0, gate: bool = True, **limits) -> DataFrame:
     """Objects (tile, width, height, label, place, points and empty ids) from the pixels (tile, x, y, r, g, b) of tiles: crowns
     of the green mask, and the rows that it runs in."""
-    crowns = raster.segment_crowns(pixels, width, height, share, floor, **limits).select("tile", F.lit("vineyard").alias("label"), F.col("crown").alias("place"), F.col("ring").alias("points"))
-    mask = raster.green_mask(pixels, width, height, share, floor).select("tile", "x", "y")
+    crowns = raster.segment_crowns(pixels, width, height, quantile, floor, gate, **limits).select("tile", F.lit("vineyard").alias("label"), F.col("crown").alias("place"), F.col("ring").alias("points"))
+    mask = raster.green_mask(pixels, width, height, quantile, floor, gate).select("tile", "x", "y")
     at = lambda t: g.point(F.col(t) * F.cos("angle") - F.col("s") * F.sin("angle"), F.col(t) * F.sin("angle") + F.col("s") * F.cos("angle"))
     lines = rows.detect_rows(mask, spacing).select("tile", F.lit("row").alias("label"), F.col("row").alias("place"), F.array(at("t0"), at("t1")).alias("points"))
     found = lines.unionByName(crowns)
@@ -218,6 +218,22 @@ def plan_survey_routes(spark: SparkSession, passages: str, start: tuple[float, f
     return routes
 
 
+def export_route(routes: DataFrame, persona: str, out: str, source: int = 32635) -> None:
+    """A persona's route as a GeoJSON line in longitude and latitude, with its length, and its points in order as CSV; no
+    files where it has no length."""
+    one = routes.filter((F.col("persona") == persona) & (F.col("length") > 0))
+    if one.isEmpty():
+        return
+    to = g.transformer(source, 4326)
+    points = one.select("persona", "length", F.from_json("points", "array<array<double>>").alias("p"))
+    line = F.transform("p", lambda p: F.struct(to(p[0], p[1])[0].alias("x"), to(p[0], p[1])[1].alias("y")))
+    placed = points.select("persona", "length", line.alias("line"))
+    geojson.write_collection(placed.select("persona", geojson.route_feature(F.col("line"), F.col("persona"), F.col("length"), 7).alias("feature")), f"{out}/{persona}_route", ["persona"])
+    # A route is one ordered file.
+    table = placed.select(F.posexplode("line").alias("place", "q")).select("place", F.col("q.x").alias("longitude"), F.col("q.y").alias("latitude"))
+    table.coalesce(1).sortWithinPartitions("place").write.mode("overwrite").option("header", "true").csv(f"{out}/{persona}_route_points")
+
+
 def tile_report(objects: DataFrame, known: DataFrame) -> DataFrame:
     """Tiles that objects name and the tile list lacks."""
     return objects.select("tile").distinct().join(tiles.resolve(objects, known).select("tile").distinct(), "tile", "left_anti")

@@ -86,9 +86,9 @@ def write_collection(features: DataFrame, path: str, order: list[str], crs: str
     lines.unionAll(ends).coalesce(1).sortWithinPartitions("place").select("feature").write.mode("overwrite").text(path)
 
 
-def route_feature(points: Column, name: Column, length: Column) -> Column:
-    """A route as a LineString with its name and length in centimetres' precision."""
-    return feature(F.lit("LineString"), F.array(F.array(points)), {"name": name, "length_m": F.round(length, 2)}, 3)
+def route_feature(points: Column, name: Column, length: Column, digits: int = 3) -> Column:
+    """A route as a LineString with its name and length in centimetres' precision; degrees want more digits than metres."""
+    return feature(F.lit("LineString"), F.array(F.array(points)), {"name": name, "length_m": F.round(length, 2)}, digits)
 
 
 def read_targets(spark: SparkSession, path: str) -> DataFrame:

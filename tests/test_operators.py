@@ -628,10 +628,73 @@ def test_survey_from_pixels(spark, tmp_path):
             a[20 + 60 * k : 32 + 60 * k, x : x + 14] = (90, 160, 40)
     a[:, :, 1] += rng.integers(0, 30, a.shape[:2], dtype=np.uint8)
     (tmp_path / "in/tile_r001_c002.tif").write_bytes(images.encode_tiff(a))
-    table = jobs.survey_from_tiles(spark, str(tmp_path / "in"), str(tmp_path / "out"), 200, 240, 60, share=0.3, least=60, radius=8)
+    table = jobs.survey_from_tiles(spark, str(tmp_path / "in"), str(tmp_path / "out"), 200, 240, 60, quantile=0.3, least=60, radius=8)
     found = {(r.metric, r.vineyard_id, r.row_id): r.value for r in table.collect()}
     objects = cvat.read(spark, str(tmp_path / "out/annotations")).collect()
     assert found["row_count", "", ""] == 4 and found["block_count", "", ""] == 1, [(o.label, o.points, o.row_id) for o in objects if o.label == "row"]
     strips = [o for o in objects if o.label == "interrow_area"]
     assert len(strips) == 3 and {o.interrow_cover for o in strips} == {"bare_soil"} and {o.vineyard_id for o in strips} == {"V01"}
     assert sum(o.label == "vineyard" for o in objects) >= 30
+
+
+def test_ways_between_references(spark):
+    at = lambda f, x, y: spark.range(1).select(*[c.alias(n) for n, c in zip("xy", f(F.lit(x), F.lit(y)))]).first()
+    assert tuple(at(g.transformer(32635, 4326), 500000.0, 0.0)) == pytest.approx((27.0, 0.0))
+    assert tuple(at(g.transformer(32731, 4326), 500000.0, 10_000_000.0)) == pytest.approx((3.0, 0.0))
+    one, two = at(g.transformer(32635, 4326), 630000.0, 5220000.0), at(g.transformer(32635, 3857), 630000.0, 5220000.0)
+    assert tuple(at(g.transformer(4326, 3857), one.x, one.y)) == pytest.approx(tuple(two))
+    north, south = at(g.transformer(32633, 4326), 400000.0, 3e6), at(g.transformer(32733, 4326), 400000.0, 7e6)
+    assert (north.x, north.y) == pytest.approx((south.x, -south.y))
+    with pytest.raises(ValueError):
+        g.transformer(3857, 32635)
+
+
+def test_mask_ious(spark):
+    box = lambda i, x0, y0, x1, y1: [(0, i, x, y) for x in range(x0, x1) for y in range(y0, y1)]
+    df = lambda rows: spark.createDataFrame(rows, "tile int, id int, x int, y int")
+    preds, refs = df(box(1, 0, 0, 4, 4) + box(1, 0, 0, 1, 1) + box(2, 20, 20, 22, 22)), df(box(7, 2, 0, 6, 4) + box(8, 4, 4, 9, 9))
+    assert [tuple(r) for r in evaluate.mask_ious(preds, refs).collect()] == [(0, 1, 7, pytest.approx(8 / 24))]
+
+
+def test_gaps_along_lines_close(spark):
+    angle = math.radians(30)
+    line = lambda x, y, w: abs((y * math.cos(angle) - x * math.sin(angle)) % 50 - 25) < w
+    along = lambda x, y: (x * math.cos(angle) + y * math.sin(angle)) % 40
+    spots = [(0, x, y) for x in range(150) for y in range(150) if line(x, y, 3) and along(x, y) > 15]
+    closed = {(r.x, r.y) for r in raster.closed_along(spark.createDataFrame(spots, "tile int, x int, y int"), 150, 150).collect()}
+    inner = [(x, y) for x in range(45, 105) for y in range(45, 105) if line(x, y, 1)]
+    assert sum(p in closed for p in inner) >= 0.97 * len(inner) and sum(p in set((x, y) for _, x, y in spots) for p in inner) < 0.75 * len(inner)
+    assert not [p for p in closed if not line(*p, 6)]
+
+
+def test_route_files_and_drawn_tiles(spark, tmp_path):
+    routes = spark.createDataFrame([("farmer", 12.5, json.dumps([[630000.0, 5220000.0], [630010.0, 5220000.0]])), ("inspector", 0.0, "[]")], "persona string, length double, points string")
+    jobs.export_route(routes, "farmer", str(tmp_path))
+    jobs.export_route(routes, "inspector", str(tmp_path))
+    line = geojson.read(spark, str(tmp_path / "farmer_route")).first()
+    lon, lat = json.loads(line.coordinates)[0]
+    assert line.geom_type == "LineString" and line.length_m == 12.5 and 28 < lon < 29 and 47 < lat < 48
+    table = spark.read.option("header", "true").csv(str(tmp_path / "farmer_route_points")).collect()
+    assert [r.place for r in table] == ["0", "1"] and float(table[0].longitude) == pytest.approx(lon, abs=1e-6)
+    assert not (tmp_path / "inspector_route").exists()
+    pixels = spark.createDataFrame([("t", x, y, 5, 6, 7) for x in range(4) for y in range(3)], "tile string, x int, y int, r int, g int, b int")
+    drawn = images.annotate(pixels, pixels.limit(1).withColumn("r", F.lit(99)), 4, 3)
+    assert images.write_files(drawn.select(F.concat("tile", F.lit(".tif")).alias("path"), F.col("tiff").alias("content")), str(tmp_path / "drawn")) == 1
+    back, _ = images.decode_tiff((tmp_path / "drawn/t.tif").read_bytes())
+    assert back.shape == (3, 4, 3) and sorted(back[:, :, 0].ravel().tolist()) == [5] * 11 + [99]
+
+
+def test_crowns_without_the_colour_gate(spark):
+    rng = np.random.default_rng(6)
+    rows = []
+    for x in range(64):
+        for y in range(64):
+            on = (x - 30) ** 2 + (y - 30) ** 2 < 100
+            rows.append((1, x, y, 30, 160 + int(rng.integers(0, 20)), 200 if on else 255))
+    df = spark.createDataFrame(rows, "tile int, x int, y int, r int, g int, b int")
+    # Blue rather than green: the gate leaves nothing of it.
+    assert raster.segment_crowns(df, 64, 64, 0.2).count() == 0
+    found = raster.segment_crowns(df, 64, 64, 0.2, gate=False, **raster.VARIANT_CROWNS).collect()
+    assert len(found) >= 1 and all(130 <= r.pixels <= 9000 for r in found)
+    shares = raster.ring_shares(spark.createDataFrame([(1, 5, [(20.0, 20.0), (40.0, 20.0), (40.0, 40.0), (20.0, 40.0)]), (2, 5, [(0.0, 0.0), (1.0, 0.0), (1.0, 1.0)])], "tile int, id int, ring array<struct<x:double,y:double>>"), df, raster.VARIANT_GREEN).collect()
+    assert [(r.tile, r.n) for r in shares] == [(1, 400)] and 0 <= shares[0].share <= 1
