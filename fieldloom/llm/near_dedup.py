@@ -32,7 +32,7 @@ from . import common
 #: Trees, the values of a region's key and those that order a region; trees that are read for neighbours in large families.
 TREES, ROOT, FURTHER, CHAINS = 24, 4, 4, 3
 #: Classes of a region that are compared by sketches.
-REGION = 4096
+REGION = 1024
 #: Bytes of full sets that a block of a family holds; a task compares two at a time.
 BLOCK_BYTES = 8 << 20
 #: Rows of a class's shared keys that are broadcast at most.
