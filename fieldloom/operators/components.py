@@ -12,13 +12,15 @@ def _both_ways(edges: DataFrame) -> DataFrame:
     return edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
 
 
-def _star(edges: DataFrame, larger: bool) -> DataFrame:
+def _star(edges: DataFrame, larger: bool, few: bool) -> DataFrame:
     """One star step: tie a node's larger (or smaller) neighbours to the least node around it.
 
-    Only minima are aggregated, so a node with very many neighbours is never gathered in one place."""
+    Only minima are aggregated, so a node with very many neighbours is never gathered in one place. Where the nodes are
+    few, their minima are sent to the edges, so that no node's edges move to one task either; beyond that, adaptive
+    execution splits the join."""
     around = _both_ways(edges) if larger else edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     least = around.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-    tied = around.join(least, "a")
+    tied = around.join(F.broadcast(least) if few else least, "a")
     if larger:
         pairs = tied.filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         return pairs.filter("a <> b")
@@ -33,13 +35,15 @@ def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     edges with a null count for nothing; without edges the result is empty.
     """
     now = session.written(edges.select("a", "b").dropna().filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    state = None
+    state, edges_left = None, now.count()
     for _ in range(most_rounds):
-        now = session.written(_star(_star(now, True), False), "stars")
+        # A step makes no more nodes, and of each edge there are two at most.
+        few = 2 * edges_left <= session.BROADCAST_ROWS
+        now = session.written(_star(_star(now, True, few), False, few), "stars")
         count, mark = now.agg(F.count("*"), F.expr("bit_xor(xxhash64(a, b))")).first()
         if (count, mark) == state or not count:
             break
-        state = (count, mark)
+        state, edges_left = (count, mark), count
     else:
         raise RuntimeError("components did not settle")
     # Now every node but the least of its component points at that one.
