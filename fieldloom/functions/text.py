@@ -15,9 +15,26 @@ def parse_points(text: Column) -> Column:
     return points
 
 
+def fixed(v: Column, digits: int) -> Column:
+    """A double with so many decimals, rounded by its exact binary value and exact halves to the even digit, as the files'
+    other writers round; format_string rounds the shortest decimal form, halves away from zero. From 1e12 on, and for
+    what is no number, it stands in. Null stays null."""
+    up, size = 10**digits, F.abs(v)
+    part = size - F.floor(size)
+    k, steps = F.floor(part * up), part * float(1 << 52)
+    wide = lambda c: c.cast("long").cast("decimal(20,0)")
+    # Above zero where the value lies above the middle between k and k + 1.
+    above = wide(F.floor(steps)) * F.lit(2 * up) - (wide(k) * 2 + 1) * F.lit(1 << 52)
+    down = (above < 0) | ((above == 0) & (steps == F.floor(steps)) & (k % 2 == 0))
+    near = k + F.when(down, 0).otherwise(1)
+    whole = F.floor(size).cast("long") + F.when(near >= up, 1).otherwise(0)
+    written = F.concat(F.when(v < 0, "-").otherwise(""), whole.cast("string"), F.lit("."), F.lpad((near % up).cast("string"), digits, "0"))
+    return F.when(v.isNull(), F.lit(None)).when(size < 1e12, written).otherwise(F.format_string(f"%.{digits}f", v))
+
+
 def format_points(points: Column) -> Column:
-    """A point list to 'x,y;x,y' with two decimals."""
-    return F.array_join(F.transform(points, lambda p: F.format_string("%.2f,%.2f", p["x"], p["y"])), ";")
+    """A point list to 'x,y;x,y' with two decimals; points that lack a coordinate are left out."""
+    return F.array_join(F.transform(points, lambda p: F.concat(fixed(p["x"], 2), F.lit(","), fixed(p["y"], 2))), ";")
 
 
 def escape_xml(text: Column) -> Column:

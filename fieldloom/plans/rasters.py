@@ -253,9 +253,21 @@ def box_iou(spark, sf_dir):
     return evaluate.box_ious(p, r, ["tile"]).withColumn("iou", F.round("iou", 6))
 
 
-@query("q58_greedy_f1")
+@query(
+    "q58_greedy_f1",
+    fx.with_fixtures(
+        f"""WITH RECURSIVE {_IOU}, c AS (SELECT tile, pred, ref, row_number() OVER (PARTITION BY tile ORDER BY pred, shared / (sum - shared) DESC, ref DESC) AS n FROM i WHERE shared / (sum - shared) >= 0.5),
+        reach AS (SELECT DISTINCT tile, CAST(0 AS BIGINT) AS n, CAST([] AS BIGINT[]) AS ps, CAST([] AS BIGINT[]) AS rs FROM refs
+          UNION ALL SELECT m.tile, c.n, CASE WHEN list_contains(ps, pred) OR list_contains(rs, ref) THEN ps ELSE list_append(ps, pred) END, CASE WHEN list_contains(ps, pred) OR list_contains(rs, ref) THEN rs ELSE list_append(rs, ref) END
+          FROM reach m JOIN c ON c.tile = m.tile AND c.n = m.n + 1),
+        t AS (SELECT tile, max(len(ps)) AS tp FROM reach GROUP BY tile), np AS (SELECT tile, count(*) AS n FROM preds GROUP BY tile), nr AS (SELECT tile, count(*) AS n FROM refs GROUP BY tile),
+        f AS (SELECT tile, tp, coalesce(np.n, 0) - tp AS fp, nr.n - tp AS fn, CASE WHEN tp > 0 THEN 2 * (tp / np.n) * (tp / nr.n) / (tp / np.n + tp / nr.n) ELSE 0 END AS f1 FROM t JOIN nr USING (tile) LEFT JOIN np USING (tile))
+        SELECT tile, tp, fp, fn, round(f1, 6) AS f1 FROM f UNION ALL SELECT -1, 0, 0, 0, round(avg(f1), 6) FROM f""",
+        preds=fx.PRED,
+    ),
+)
 def greedy_f1(spark, sf_dir):
-    """Scores of greedy matching, whose every step depends on those before; tests hold it against plain loops."""
+    """Scores of greedy matching and their mean."""
     p, r = boxes(spark, sf_dir)
     scores = evaluate.f1_scores(evaluate.greedy_matches(evaluate.box_ious(p, r, ["tile"]), "tile"), p, r, "tile")
     mean = scores.agg(F.avg("f1").alias("f1"))

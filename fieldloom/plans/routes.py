@@ -187,8 +187,12 @@ def row_barriers(spark, sf_dir):
     ),
 )
 def compact_graph(spark, sf_dir):
+    return compact_graph_parts(spark, sf_dir)[1]
+
+
+def compact_graph_parts(spark, sf_dir):
     nodes = cells(spark, sf_dir)
-    return graph.compact_graph(metres(nodes.filter("node % 5 <> 2")), graph.grid_edges(nodes, 2.0))[1]
+    return graph.compact_graph(metres(nodes.filter("node % 5 <> 2")), graph.grid_edges(nodes, 2.0))
 
 
 @query("q64b_mock_targets")

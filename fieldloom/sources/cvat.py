@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fieldloom.functions.text import escape_xml, format_points, parse_points
+from fieldloom.functions.text import escape_xml, fixed, format_points, parse_points
 
 _ATTRIBUTE = "attribute: ARRAY<STRUCT<_name: STRING, _VALUE: STRING>>"
 #: Inference would take a single attribute for a struct, so the schema is declared.
@@ -46,7 +46,7 @@ def image_blocks(objects: DataFrame) -> DataFrame:
     """(place, tile, xml): one image element per tile, numbered from 0 by name, its objects in the order of LABELS.
 
     A tile's objects are a bounded group."""
-    number = lambda v: F.format_string("%.2f", v.cast("double"))
+    number = lambda v: fixed(v.cast("double"), 2)
     attributes = F.concat(
         *[
             F.when(F.col("label").isin(*[k for k, (_, a) in LABELS.items() if n in a]), F.concat(F.lit(f'<attribute name="{n}">'), escape_xml(F.coalesce(F.col(n), F.lit(next(a[n] for _, a in LABELS.values() if n in a)))), F.lit("</attribute>"))).otherwise("")

@@ -39,7 +39,8 @@ def geometry(kind: Column, coordinates: Column) -> Column:
     line = lambda points: F.transform(points, _point)
     rings = lambda many: F.transform(many, line)
     return (
-        F.when(kind == "Point", F.array(F.array(F.array(_point(parse(0))))))
+        F.when(coordinates.isNull(), F.lit(None))
+        .when(kind == "Point", F.array(F.array(F.array(_point(parse(0))))))
         .when(kind == "LineString", F.array(F.array(line(parse(1)))))
         .when(kind.isin("Polygon", "MultiLineString"), F.array(rings(parse(2))))
         .when(kind == "MultiPolygon", F.transform(parse(3), rings))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fieldloom.functions.text import fixed
+
 COCO = """images ARRAY<STRUCT<id: BIGINT, file_name: STRING, width: DOUBLE, height: DOUBLE>>, categories ARRAY<STRUCT<id: BIGINT, name: STRING>>,
 annotations ARRAY<STRUCT<category_id: BIGINT, image_id: BIGINT, segmentation: STRING>>"""
 #: The classes that are kept.
@@ -27,7 +29,7 @@ def read_coco(spark: SparkSession, path: str) -> DataFrame:
 def yolo_line(cls: Column, polygon: Column, width: Column, height: Column) -> Column:
     """'class x y x y ...' with coordinates as shares of the image, held in [0, 1]; null under three points."""
     share = lambda v, i: F.least(F.greatest(v / F.when(i % 2 == 0, width).otherwise(height), F.lit(0.0)), F.lit(1.0))
-    text = F.transform(polygon, lambda v, i: F.format_string("%.6f", share(v, i)))
+    text = F.transform(polygon, lambda v, i: fixed(share(v, i), 6))
     return F.when(F.size(polygon) >= 6, F.concat_ws(" ", F.array(cls.cast("string")), text))
 
 

@@ -698,3 +698,22 @@ def test_crowns_without_the_colour_gate(spark):
     assert len(found) >= 1 and all(130 <= r.pixels <= 9000 for r in found)
     shares = raster.ring_shares(spark.createDataFrame([(1, 5, [(20.0, 20.0), (40.0, 20.0), (40.0, 40.0), (20.0, 40.0)]), (2, 5, [(0.0, 0.0), (1.0, 0.0), (1.0, 1.0)])], "tile int, id int, ring array<struct<x:double,y:double>>"), df, raster.VARIANT_GREEN).collect()
     assert [(r.tile, r.n) for r in shares] == [(1, 400)] and 0 <= shares[0].share <= 1
+
+
+def test_decimals_round_by_the_exact_value(spark):
+    rng = random.Random(3)
+    values = [0.0, 0.125, 0.375, 2.675, 1.005, 0.285, 0.29, 0.995, 0.9951, 99.995, 1024.125, 0.1953125, 0.4140625, 0.5, 1e-9, 1234567.885, 0.9999999, 1e15, 3.7e-300]
+    values += [rng.randrange(0, 1 << 20) / 2 ** rng.randrange(0, 12) for _ in range(400)] + [rng.randrange(0, 10**7) / 1000 for _ in range(400)] + [rng.random() * 10 ** rng.randrange(-4, 9) for _ in range(400)]
+    values += [-v for v in values if v]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    for digits in (2, 6):
+        got = df.select("v", text.fixed(F.col("v"), digits).alias("t")).collect()
+        assert [(r.v, r.t) for r in got if r.t != f"{r.v:.{digits}f}"] == []
+    odd = spark.createDataFrame([(None,), (math.nan,), (math.inf,)], "v double").select(text.fixed(F.col("v"), 2).alias("t")).collect()
+    assert [r.t for r in odd] == [None, "NaN", "Infinity"]
+
+
+def test_null_geometries_of_every_type_stay_null(spark):
+    kinds = ["Point", "LineString", "Polygon", "MultiLineString", "MultiPolygon"]
+    df = spark.createDataFrame([(k, None) for k in kinds], "kind string, coordinates string")
+    assert [r.p for r in df.select(geojson.geometry(F.col("kind"), F.col("coordinates")).alias("p")).collect()] == [None] * 5
