@@ -345,8 +345,9 @@ def mock_targets(nodes: DataFrame, start: int, n: int = 6, seed: int = 42) -> Da
     """At most n nodes but the start in the order of a seeded hash, inspection and waste by turns."""
     from pyspark.sql import Window
 
-    picked = nodes.filter(F.col("node") != start).orderBy(F.xxhash64("node", F.lit(seed)), "node").limit(n)
-    k = F.row_number().over(Window.partitionBy().orderBy(F.xxhash64("node", F.lit(seed)), "node")) - 1
+    drawn = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("node").cast("string")))
+    picked = nodes.filter(F.col("node") != start).orderBy(drawn, "node").limit(n)
+    k = F.row_number().over(Window.partitionBy().orderBy(drawn, "node")) - 1
     kind = F.when(F.col("_k") % 2 == 0, "inspection").otherwise("waste")
     prefix = F.when(F.col("_k") % 2 == 0, "MOCK-INSP-").otherwise("MOCK-WASTE-")
     return picked.withColumn("_k", k).select(F.concat(prefix, F.format_string("%02d", F.floor(F.col("_k") / 2))).alias("id"), kind.alias("kind"), "node", "x", "y")

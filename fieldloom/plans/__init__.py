@@ -1,3 +1,3 @@
 """Registered queries and whole jobs; importing a module of queries registers them."""
 
-from . import files, geometry, layers, rasters, routes, spatial, tables, vines  # noqa: F401
+from . import files, geometry, layers, rasters, routes, scenes, spatial, tables, vines  # noqa: F401

@@ -195,7 +195,13 @@ def compact_graph_parts(spark, sf_dir):
     return graph.compact_graph(metres(nodes.filter("node % 5 <> 2")), graph.grid_edges(nodes, 2.0))
 
 
-@query("q64b_mock_targets")
+@query(
+    "q64b_mock_targets",
+    fx.with_fixtures(
+        f"""WITH d AS (SELECT *, row_number() OVER (ORDER BY md5('42:' || CAST(node AS VARCHAR)), node) - 1 AS k FROM cells WHERE node <> {START})
+        SELECT printf('MOCK-%s-%02d', CASE WHEN k % 2 = 0 THEN 'INSP' ELSE 'WASTE' END, k // 2) AS id, CASE WHEN k % 2 = 0 THEN 'inspection' ELSE 'waste' END AS kind, node, x * 2.0::DOUBLE AS x, y * 2.0::DOUBLE AS y FROM d WHERE k < 6"""
+    ),
+)
 def mock_targets(spark, sf_dir):
-    """Six mock targets; a seeded hash stands for a random draw, so there is no SQL to hold it against."""
+    """Six mock targets; a seeded hash stands for a random draw."""
     return graph.mock_targets(metres(cells(spark, sf_dir)), START)
