@@ -34,7 +34,7 @@ ASSIGNED = re.compile(r"[:=][ \t]*[\"']?([^\s\"'<>|]{4,})")
 PART = re.compile(r"[^&;,@]{4,}")
 #: Where a value may begin, also inside of another one.
 SIGN = re.compile(r"[:=]")
-#: Longest value, in characters, that is looked at inside of another value.
+#: Longest value, or part of one up to a divider, in characters, that is looked at inside of another value.
 INNER = 1024
 BLOCK = re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:.*?-----END [A-Z ]*PRIVATE KEY-----)?", re.S)
 NAME_BEFORE = re.compile(r"([A-Za-z][\w.\-]{1,40})[\"']?[ \t]*[:=][ \t]*[\"']?$")
@@ -98,14 +98,15 @@ def candidates(text: str) -> list[tuple[int, int, str]]:
         # Inside of another value only so far, or a long run of signs would take time by its square.
         stop = len(text) if sign.start() >= reached else min(len(text), sign.start() + INNER)
         m = ASSIGNED.match(text, sign.start(), stop)
-        if m and stop < len(text) and m.end() == stop:
-            continue
         if m and NAME_BEFORE.search(text[max(0, m.start(1) - 60) : m.start(1)]):
-            reached = max(reached, m.end())
-            found.setdefault(m.span(1), "assigned")
+            # Of an inner value that reaches on, the part up to its first divider is still looked at.
+            open_ended = stop < len(text) and m.end() == stop
             part = PART.match(text, *m.span(1))
-            if part:
+            if part and not (open_ended and part.end() == stop):
                 found.setdefault(part.span(), "assigned")
+            if not open_ended:
+                reached = max(reached, m.end())
+                found.setdefault(m.span(1), "assigned")
     for m in TOKEN.finditer(text):
         found.setdefault(m.span(), "token")
     return [(*span, found[span]) for span in sorted(found, key=lambda x: (x[0], -x[1]))]

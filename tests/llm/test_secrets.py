@@ -129,3 +129,10 @@ def test_dictionary_and_findings_of_tables(spark, odd, documents):
     forest = secrets.train(found * 10, least=1)
     assert forest.probabilities(np.array([secrets.measures(f[0], f[1], *f[3]) for f in found])).round().tolist() == [f[2] for f in found]
     assert len(secrets.findings_of(table, 1)) <= 1
+
+
+def test_values_near_the_start_of_long_ones_are_candidates():
+    value = "https://host.com/cb?user=anna&pwd=q7Rt2&" + "state=" + "ab/" * 900
+    text = f"see url={value} end"
+    found = {text[a:b] for a, b, _ in secrets.candidates(text)}
+    assert {value, "q7Rt2"} <= found
