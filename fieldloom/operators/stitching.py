@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from fieldloom import session
 from fieldloom.operators.components import connected_components
 from fieldloom.operators.sequences import dense_label
-from fieldloom.operators.spatial import row_line_pairs, segment_pairs
+from fieldloom.operators.spatial import of_shapes, segment_links, segment_shapes
 
 
 def labelled(segments: DataFrame, edges: DataFrame, name: str) -> DataFrame:
@@ -17,6 +17,17 @@ def labelled(segments: DataFrame, edges: DataFrame, name: str) -> DataFrame:
     return segments.drop(name).join(labels, "id", "left").withColumn(name, F.coalesce(F.col(name), F.col("id")))
 
 
+def identified(segments: DataFrame, reach: float = 5.0, names: tuple[str, ...] = ("block", "row"), **limits) -> DataFrame:
+    """Segments (id, ends, ...) with their block and row, each the least id of its component. Copies of a segment take part
+    once, and pairs are never written: cells give stars of what they tie."""
+    shapes = session.written(segment_shapes(segments), "shapes")
+    links, found = session.written(segment_links(shapes, reach, **limits), "links"), shapes
+    for name in names:
+        found = labelled(found, links.filter("line" if name == "row" else "NOT line"), name)
+    out = of_shapes(segments.drop(*names), session.written(found.drop("id"), "labels"))
+    return out.withColumns({name: F.coalesce(F.col(name), F.col("id").cast("long")) for name in names})
+
+
 def prune_blocks(segments: DataFrame, least_rows: int = 3) -> DataFrame:
     """Without the blocks that have fewer than least_rows distinct rows. Removal never joins other components, so
     once is enough."""
@@ -29,9 +40,7 @@ def stitch(segments: DataFrame, reach: float = 5.0, least_rows: int = 3, **limit
 
     Blocks are components of segments within reach of one another, rows components of segments of one block on one
     line. Blocks are named V01.. by their least easting, rows V01-R01.. by the mean of their fragments' centres."""
-    pairs = session.written(segment_pairs(segments, reach), "pairs")
-    blocked = labelled(segments, pairs, "block")
-    rowed = labelled(blocked, row_line_pairs(pairs, blocked, **limits), "row")
+    rowed = session.written(identified(segments, reach, **limits), "identified")
     kept = session.written(prune_blocks(rowed, least_rows), "stitched")
     least = kept.groupBy("block").agg(F.min(F.least("ax", "bx")).alias("_east"))
     names = least.select("block", dense_label([F.col("_east"), F.col("block")], "V").alias("vineyard_id"))

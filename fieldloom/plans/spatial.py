@@ -119,8 +119,7 @@ blocks AS (SELECT node AS id, min(seen) AS block FROM reach GROUP BY node)"""
 
 @query("q30_components", fx.with_fixtures(f"{_REACH} SELECT id, block FROM blocks"))
 def components(spark, sf_dir):
-    s = segments(spark, sf_dir)
-    return stitching.labelled(s.select("id"), spatial.segment_pairs(s, 5.0), "block")
+    return stitching.identified(segments(spark, sf_dir), 5.0, ("block",)).select("id", "block")
 
 
 _STITCH = f"""{_REACH}, {_LINES.removeprefix(_PAIRS).lstrip(', ')},

@@ -717,3 +717,31 @@ def test_null_geometries_of_every_type_stay_null(spark):
     kinds = ["Point", "LineString", "Polygon", "MultiLineString", "MultiPolygon"]
     df = spark.createDataFrame([(k, None) for k in kinds], "kind string, coordinates string")
     assert [r.p for r in df.select(geojson.geometry(F.col("kind"), F.col("coordinates")).alias("p")).collect()] == [None] * 5
+
+
+def plain_components(ids, edges):
+    label = {i: i for i in ids}
+    for _ in ids:
+        for a, b in edges:
+            label[a] = label[b] = min(label[a], label[b])
+    return label
+
+
+def test_blocks_and_rows_of_heaped_segments(spark):
+    """Components from stars of cells equal those of all pairs, with copies, points and crossings; 3,000 copies give no pairs."""
+    from fieldloom.operators import stitching
+
+    rng = random.Random(11)
+    segs = [(x := rng.uniform(0, 160), y := rng.uniform(0, 160), x + rng.uniform(-12, 12), y + rng.uniform(-1, 1)) for _ in range(70)]
+    segs += segs[:20] + [(50.0, 300.0, 50.0, 300.0)] * 3 + [(0.0, 400.0, 9.0, 400.0), (13.0, 400.5, 20.0, 400.4), (25.0, 400.0, 33.0, 400.0)]
+    df = spark.createDataFrame([(i, *s) for i, s in enumerate(segs)], "id long, ax double, ay double, bx double, by_ double").repartition(3)
+    pairs = spatial.segment_pairs(df, 5.0)
+    lines = spatial.row_line_pairs(pairs, df.withColumn("block", F.lit(0)))
+    ids = range(len(segs))
+    blocks, rows = (plain_components(ids, [(r.a, r.b) for r in p.collect()]) for p in (pairs, lines))
+    got = {r.id: (r.block, r.row) for r in stitching.identified(df, 5.0).collect()}
+    assert got == {i: (blocks[i], rows[i]) for i in ids}
+    heap = df.limit(1).crossJoin(spark.range(3000).toDF("n")).withColumns({"id": F.col("n"), "ax": F.col("ax") + F.col("n") % 50}).drop("n")
+    assert spatial.segment_shapes(heap).count() == 50
+    assert spatial.segment_links(heap, 5.0).groupBy("line").count().agg(F.max("count")).first()[0] < 20 * 3000
+    assert stitching.identified(heap.limit(0), 5.0).count() == 0
