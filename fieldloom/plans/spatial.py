@@ -132,10 +132,7 @@ kept AS (SELECT * FROM joined WHERE block IN (SELECT block FROM joined GROUP BY
 
 @query("q31_block_prune", fx.with_fixtures(f"{_STITCH} SELECT block, count(*) AS n, count(DISTINCT row) AS rows FROM kept GROUP BY block"))
 def block_prune(spark, sf_dir):
-    s = segments(spark, sf_dir)
-    pairs = session.written(spatial.segment_pairs(s, 5.0), "pairs")
-    blocked = stitching.labelled(s, pairs, "block")
-    rowed = stitching.labelled(blocked, spatial.row_line_pairs(pairs, blocked), "row")
+    rowed = session.written(stitching.identified(segments(spark, sf_dir)), "identified")
     return stitching.prune_blocks(rowed).groupBy("block").agg(F.count("*").alias("n"), F.count_distinct("row").alias("rows"))
 
 
