@@ -14,15 +14,25 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from fieldloom import session
+
 
 def box_slabs(boxes: DataFrame, keys: list[str]) -> DataFrame:
-    """Boxes (x0, y0, x1, y1) cut at every abscissa at which a box of the group begins or ends: (sx, width, y0, y1).
+    """Boxes (x0, y0, x1, y1) cut at every abscissa at which a box of the group begins or ends: (sx, width, y0, y1), of boxes
+    that begin alike in a slab the tallest.
 
-    Each box only meets the slabs it spans."""
+    Both ends of a box are such abscissas, so each box finds by equality the numbers of the slabs it spans."""
     edges = boxes.select(*keys, F.explode(F.array("x0", "x1")).alias("sx")).distinct()
-    slabs = edges.withColumn("ex", F.lead("sx").over(Window.partitionBy(*keys).orderBy("sx"))).filter("ex IS NOT NULL")
+    ordered = Window.partitionBy(*keys).orderBy("sx")
+    edges = session.written(edges.withColumns({"ex": F.lead("sx").over(ordered), "_k": F.row_number().over(ordered)}), "slabs")
+    slabs = session.small_side(edges)
     b = boxes.select(*keys, "x0", "x1", "y0", "y1")
-    return b.join(slabs, keys).filter("x0 <= sx AND ex <= x1").select(*keys, "sx", (F.col("ex") - F.col("sx")).alias("width"), "y0", "y1")
+    for at, k in (("x0", "_i"), ("x1", "_j")):
+        b = b.join(slabs.select(*keys, F.col("sx").alias(at), F.col("_k").alias(k)), [*keys, at])
+    cut = b.filter("_i < _j").select(*keys, "y0", "y1", F.explode(F.sequence(F.col("_i"), F.col("_j") - 1)).alias("_k"))
+    # Boxes of one base in one slab: the tallest covers the others, and few are left before anything is sorted.
+    cut = cut.groupBy(*keys, "_k", "y0").agg(F.max("y1").alias("y1"))
+    return cut.join(slabs, [*keys, "_k"]).select(*keys, "sx", (F.col("ex") - F.col("sx")).alias("width"), "y0", "y1")
 
 
 def box_union_area(boxes: DataFrame, keys: list[str], name: str = "area") -> DataFrame:
