@@ -62,8 +62,7 @@ _LINES = f"{_PAIRS}, lines AS (SELECT a, b FROM pd WHERE {_DISTANCE} <= 5 AND de
 
 @query("q26_same_row_line", fx.with_fixtures(f"WITH {_LINES} SELECT a, b FROM lines"))
 def same_row_line(spark, sf_dir):
-    s = segments(spark, sf_dir).withColumn("block", F.lit(0))
-    return spatial.row_line_pairs(spatial.segment_pairs(s, 5.0), s)
+    return spatial.segment_line_pairs(segments(spark, sf_dir), 5.0)
 
 
 _NODES = "SELECT s_suppkey AS node, 51.2E0 * 12285 + CAST((s_suppkey * 977) % 256 AS DOUBLE) + 0.125E0 AS x, 51.2E0 * 101972 + CAST((s_suppkey * 613) % 256 AS DOUBLE) + 0.375E0 AS y FROM {supplier}"

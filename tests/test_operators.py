@@ -741,6 +741,8 @@ def test_blocks_and_rows_of_heaped_segments(spark):
     blocks, rows = (plain_components(ids, [(r.a, r.b) for r in p.collect()]) for p in (pairs, lines))
     got = {r.id: (r.block, r.row) for r in stitching.identified(df, 5.0).collect()}
     assert got == {i: (blocks[i], rows[i]) for i in ids}
+    both = [sorted((r.a, r.b) for r in df_.collect()) for df_ in (spatial.segment_line_pairs(df, 5.0), lines)]
+    assert both[0] == both[1] and len(both[0]) > 20
     heap = df.limit(1).crossJoin(spark.range(3000).toDF("n")).withColumns({"id": F.col("n"), "ax": F.col("ax") + F.col("n") % 50}).drop("n")
     assert spatial.segment_shapes(heap).count() == 50
     assert spatial.segment_links(heap, 5.0).groupBy("line").count().agg(F.max("count")).first()[0] < 20 * 3000
@@ -797,3 +799,26 @@ def test_block_assignment_of_many_points(spark):
         want[x, y] = rows[k][0], bool(d[k] <= 5)
     assert got == {i: want[x, y] for i, x, y in points}
     assert spatial._sure_blocks(s, 5.0, 1.25).count() > 500
+
+
+def test_line_pairs_of_copies(spark):
+    """Copies are paired once as shapes: 1,500 copies of three segments give their million pairs without a million tests."""
+    ends = [(0.0, 0.0, 9.0, 0.0), (12.0, 0.0, 20.0, 0.5), (40.0, 0.0, 49.0, 0.0)]
+    df = spark.createDataFrame([(i, *ends[i % 3]) for i in range(1500)], "id long, ax double, ay double, bx double, by_ double")
+    found = spatial.segment_line_pairs(df, 5.0)
+    assert found.filter("a >= b").isEmpty() and found.distinct().count() == found.count() == 3 * 500 * 499 // 2 + 500 * 500
+    assert spatial.segment_line_pairs(df.limit(0), 5.0).isEmpty()
+
+
+def test_greedy_matching_of_heaped_boxes(spark):
+    """Boxes matched by class as their pairs are; 4,000 predictions on 4,000 copies make no pairs (16 million before)."""
+    rng = random.Random(23)
+    some = lambda n: [(rng.randrange(2), i, float(x := rng.randrange(12)), float(y := rng.randrange(6)), float(x + rng.randrange(4, 9)), float(y + rng.randrange(4, 7))) for i in range(n)]
+    p, r = (spark.createDataFrame(some(n), "tile int, id long, x0 double, y0 double, x1 double, y1 double") for n in (150, 130))
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    want = rows(evaluate.greedy_matches(evaluate.box_ious(p, r, ["tile"]), "tile"))
+    assert rows(evaluate.greedy_box_matches(p, r, "tile")) == want and len(want) > 50
+    heap = spark.range(4000).selectExpr("0 AS tile", "id", "0D AS x0", "0D AS y0", "4D AS x1", "4D AS y1")
+    found = rows(evaluate.greedy_box_matches(heap, heap, "tile"))
+    assert [m[1:3] for m in found] == [(i, 3999 - i) for i in range(4000)]
+    assert evaluate.greedy_box_matches(p, r.limit(0), "tile").count() == evaluate.greedy_box_matches(p.limit(0), r, "tile").count() == 0
