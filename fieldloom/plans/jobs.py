@@ -36,9 +36,10 @@ def assign_ids(objects: DataFrame, reach: float = 5.0) -> DataFrame:
     ids = segments.select("id", "tile", "place").join(named.select("id", F.col("vineyard_id").alias("_v"), F.col("row_id").alias("_w")), "id").drop("id")
     rows = objects.filter("label = 'row'").join(ids, ["tile", "place"], "left").withColumns({"vineyard_id": F.coalesce("_v", F.lit("")), "row_id": F.coalesce("_w", F.lit(""))}).drop("_v", "_w")
     blocks = segments.join(named, "id").select(F.col("vineyard_id").alias("block"), F.col("vineyard_id").alias("ord"), *spatial.ENDS)
-    others = placed(objects.filter("label <> 'row'")).withColumn("id", F.xxhash64("tile", "label", "place"))
-    middle = g.vertex_mean(F.col("world"))
-    near = spatial.assign_blocks(others.select("id", middle["x"].alias("x"), middle["y"].alias("y")), blocks, reach).select("id", F.col("block").alias("_v"))
+    # Written step by step: each use of a column would else work out all of the nested points behind it again.
+    others = session.written(placed(objects.filter("label <> 'row'")).withColumn("id", F.xxhash64("tile", "label", "place")), "others")
+    middle = session.written(others.select("id", g.vertex_mean(F.col("world")).alias("m")), "middles")
+    near = spatial.assign_blocks(middle.select("id", "m.x", "m.y"), blocks, reach).select("id", F.col("block").alias("_v"))
     rest = others.join(near, "id", "left").withColumn("vineyard_id", F.coalesce("_v", F.lit(""))).select(*objects.columns)
     return rows.select(*objects.columns).unionByName(rest)
 
