@@ -164,10 +164,10 @@ def export_web(objects: DataFrame, out: str, context: list[str] = ()) -> None:
     spark = objects.sparkSession
     for path in context:
         if geojson.exists(spark, path):
-            layer = geojson.read(spark, path)
+            layer = geojson.read(spark, path, ordered=True)
             parts = geojson.reproject(geojson.geometry(F.col("geom_type"), F.col("coordinates")))
             name = path.rstrip("/").rsplit("/", 1)[-1].removesuffix(".geojson")
-            shown = layer.select(F.monotonically_increasing_id().alias("place"), geojson.feature(F.col("geom_type"), parts, {"name": F.coalesce("name", F.lit(""))}).alias("feature"))
+            shown = layer.select("place", geojson.feature(F.col("geom_type"), parts, {"name": F.coalesce("name", F.lit(""))}).alias("feature"))
             geojson.write_collection(shown, f"{out}/{name}", ["place"])
 
 

@@ -1,11 +1,13 @@
 """Documents that are one file, with more in them than one task should hold."""
 
+import json
+import random
 import xml.etree.ElementTree as tree
 
 import pytest
 from pyspark.sql import functions as F
 
-from fieldloom.sources import cvat
+from fieldloom.sources import cvat, geojson
 
 ODD = """<?xml version="1.0"?>
 <annotations><meta><task><labels><label><attributes><attribute><name>v</name></attribute></attributes></label></labels></task></meta>
@@ -80,3 +82,74 @@ def test_one_tile_of_many_objects(spark, tmp_path, monkeypatch, short_splits):
     assert back.groupBy("tile").agg(F.count("*"), F.count_distinct("place"), F.max("place")).orderBy("tile").collect() == [("a.tif", n - 2, n - 2, n - 3), ("b.tif", 2, 2, 1)]
     compared = ["tile", "label", "points", "vineyard_id"]
     assert rows(back.select(compared)) == rows(objects.select(compared))
+
+
+def spaceless(features):
+    return features.withColumn("coordinates", F.regexp_replace("coordinates", r"\s", ""))
+
+
+def collection(n, first, around, indent):
+    rng = random.Random(n)
+    kinds = [("Point", [1.5, 2.25]), ("LineString", [[1, 2.5], [3e2, -4.125]]), ("Polygon", [[[0.1, 0.2], [1, 0], [1, 1], [0.1, 0.2]]]), None]
+    out = []
+    for k in range(n):
+        kind = rng.choice(kinds)
+        # Texts that look like marks, and objects that look like features.
+        name = rng.choice(['a "}],{', '{"type":"Feature"', "x\\", "é{", None, "]}"])
+        f = {"type": "Feature", "geometry": kind and {"type": kind[0], "coordinates": kind[1]}, "properties": {"id": str(k), "name": name, "length_m": k / 4, "more": rng.choice([1, {"id": "q"}, {"type": "Feature"}, [{"bbox": 1}]])}}
+        out.append({c: f[c] for c in first} | f)
+    doc = {"type": "FeatureCollection", "features": out}
+    return json.dumps({"name": "{", **doc, "crs": {"features": [{"type": "Feature"}]}} if around else doc, indent=indent)
+
+
+@pytest.mark.parametrize("size", [300, 1100, 10**7])
+@pytest.mark.parametrize("first, around, indent", [((), False, None), (("properties",), True, None), (("geometry",), True, 2)])
+def test_collection_read_feature_by_feature(spark, tmp_path, short_splits, size, first, around, indent):
+    for n in (0, 1, 40):
+        (tmp_path / f"{n}.geojson").write_text(collection(n, first, around, indent))
+    path = str(tmp_path / "*.geojson")
+    want = rows(spaceless(spark.read.schema(geojson.COLLECTION).option("multiLine", "true").json(path).selectExpr("inline(features)").selectExpr("geometry.type AS geom_type", "geometry.coordinates", "properties.*")))
+    assert len(want) == 41
+    short_splits(size)
+    got = geojson.read(spark, str(tmp_path), 0, ordered=True)
+    assert rows(spaceless(got.drop("place"))) == want
+    assert [r.id for r in got.orderBy("place").collect() if int(r.id) > 0] == [str(k) for k in range(1, 40)]
+
+
+@pytest.mark.parametrize("size", [200, 700])
+def test_features_of_splits_make_up_the_collection(tmp_path, size):
+    (tmp_path / "a.geojson").write_text(collection(40, (), False, None))
+    splits = splits_of(tmp_path / "a.geojson", size)
+    between = geojson._joined({1: [(b, json.loads(several[-1][-1])) for b, several in splits]})
+    inner = [r for _, several in splits for r in several if r[-1] is None]
+    assert len(inner) > 0 and len(between) > 0
+    assert [json.loads(r[3])["properties"]["id"] for r in sorted(inner + between)] == [str(k) for k in range(40)]
+
+
+def splits_of(path, size):
+    """The rows of each split as the reader deals out the pieces of a file: by where they begin."""
+    text, out, at = path.read_text(), {}, 0
+    for piece in text.split("{"):
+        out.setdefault(max(0, at - 1) // size * size, []).append(piece)
+        at += len(piece.encode()) + 1
+    return [(block, list(geojson._split_features(1, block, filter(None, [pieces[:2], pieces[2:]])))) for block, pieces in out.items()]
+
+
+def test_collection_of_another_form_is_read_whole(spark, tmp_path, short_splits):
+    odd = {"type": "FeatureCollection", "features": [{"type": "Feature", "geometry": None, "properties": {"id": str(k)}} for k in range(30)]}
+    text = json.dumps(odd)
+    short_splits(400)
+    for k, written in enumerate((text.replace('"properties": {"id": "7"}', "'properties': {'id': '7'}"), text[:-1] + ', "features": []}', text[:-9])):
+        (tmp_path / f"{k}.geojson").write_text(written)
+        assert rows(geojson.read(spark, str(tmp_path / f"{k}.geojson"), 0)) == rows(geojson.read(spark, str(tmp_path / f"{k}.geojson")))
+
+
+def test_collection_is_sorted_by_many_tasks(spark, tmp_path):
+    features = spark.range(2000, numPartitions=4).select((1999 - F.col("id")).alias("place"), geojson.feature(F.lit("Point"), F.array(F.array(F.array(F.struct(F.col("id").cast("double").alias("x"), F.lit(1.0).alias("y"))))), {"id": F.col("id").cast("string")}).alias("feature"))
+    for n, kept in ((2000, features), (1, features.filter("place = 0")), (0, features.filter("place < 0"))):
+        geojson.write_collection(kept, str(tmp_path / "out"), ["place"], "urn:x")
+        (part,) = (tmp_path / "out").glob("part-*")
+        doc = json.loads(part.read_text())
+        assert doc["crs"]["properties"]["name"] == "urn:x" and [int(f["properties"]["id"]) for f in doc["features"]] == list(range(1999, 1999 - n, -1))
+    # The window that numbered a layer in one task is gone.
+    assert not hasattr(geojson, "Window") and "Window" not in geojson.write_collection.__code__.co_names
