@@ -59,6 +59,13 @@ def utm35_to_lonlat(x: Column, y: Column) -> tuple[Column, Column]:
 
 def utm_to_lonlat(x: Column, y: Column, zone: int, south: bool = False) -> tuple[Column, Column]:
     """A UTM zone to longitude and latitude in degrees, by Krueger's series to fourth order."""
+    for step in _utm_steps(zone, south):
+        x, y = step(x, y)
+    return x, y
+
+
+def _utm_steps(zone: int, south: bool = False) -> list:
+    """The steps of utm_to_lonlat; each uses its two columns many times."""
     f = 1 / 298.257223563
     n = f / (2 - f)
     radius = 6378137.0 / (1 + n) * (1 + n**2 / 4 + n**4 / 64)
@@ -75,18 +82,27 @@ def utm_to_lonlat(x: Column, y: Column, zone: int, south: bool = False) -> tuple
         56 * n**3 / 15 - 136 * n**4 / 35,
         4279 * n**4 / 630,
     ]
-    xi = (y - F.lit(10_000_000.0 if south else 0.0)) / F.lit(0.9996 * radius)
-    eta = (x - F.lit(500000.0)) / F.lit(0.9996 * radius)
-    xi0, eta0 = xi, eta
-    for k, b in enumerate(beta, 1):
-        xi0 = xi0 - F.lit(b) * F.sin(F.lit(2.0 * k) * xi) * F.cosh(F.lit(2.0 * k) * eta)
-        eta0 = eta0 - F.lit(b) * F.cos(F.lit(2.0 * k) * xi) * F.sinh(F.lit(2.0 * k) * eta)
-    chi = F.asin(F.sin(xi0) / F.cosh(eta0))
-    lat = chi
-    for k, d in enumerate(delta, 1):
-        lat = lat + F.lit(d) * F.sin(F.lit(2.0 * k) * chi)
-    lon = F.atan2(F.sinh(eta0), F.cos(xi0))
-    return F.lit(6.0 * zone - 183.0) + F.degrees(lon), F.degrees(lat)
+
+    def scaled(x: Column, y: Column) -> tuple[Column, Column]:
+        return (x - F.lit(500000.0)) / F.lit(0.9996 * radius), (y - F.lit(10_000_000.0 if south else 0.0)) / F.lit(0.9996 * radius)
+
+    def series(eta: Column, xi: Column) -> tuple[Column, Column]:
+        xi0, eta0 = xi, eta
+        for k, b in enumerate(beta, 1):
+            xi0 = xi0 - F.lit(b) * F.sin(F.lit(2.0 * k) * xi) * F.cosh(F.lit(2.0 * k) * eta)
+            eta0 = eta0 - F.lit(b) * F.cos(F.lit(2.0 * k) * xi) * F.sinh(F.lit(2.0 * k) * eta)
+        return eta0, xi0
+
+    def conformal(eta0: Column, xi0: Column) -> tuple[Column, Column]:
+        return F.atan2(F.sinh(eta0), F.cos(xi0)), F.asin(F.sin(xi0) / F.cosh(eta0))
+
+    def geodetic(lon: Column, chi: Column) -> tuple[Column, Column]:
+        lat = chi
+        for k, d in enumerate(delta, 1):
+            lat = lat + F.lit(d) * F.sin(F.lit(2.0 * k) * chi)
+        return F.lit(6.0 * zone - 183.0) + F.degrees(lon), F.degrees(lat)
+
+    return [scaled, series, conformal, geodetic]
 
 
 def transformer(source: int, target: int):
@@ -103,7 +119,10 @@ def transformer(source: int, target: int):
 
 
 def points_to_lonlat(points: Column) -> Column:
-    return F.transform(points, lambda p: F.struct(utm35_to_lonlat(p["x"], p["y"])[0].alias("x"), utm35_to_lonlat(p["x"], p["y"])[1].alias("y")))
+    # A transform for each step, as within one, each use of a step would work it out again.
+    for step in _utm_steps(35):
+        points = F.transform(points, lambda p: point(*step(p["x"], p["y"])))
+    return points
 
 
 def close_ring(points: Column) -> Column:

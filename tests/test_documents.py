@@ -7,6 +7,7 @@ import xml.etree.ElementTree as tree
 import pytest
 from pyspark.sql import functions as F
 
+from fieldloom.functions import geometry as g
 from fieldloom.sources import cvat, geojson
 
 ODD = """<?xml version="1.0"?>
@@ -153,3 +154,13 @@ def test_collection_is_sorted_by_many_tasks(spark, tmp_path):
         assert doc["crs"]["properties"]["name"] == "urn:x" and [int(f["properties"]["id"]) for f in doc["features"]] == list(range(1999, 1999 - n, -1))
     # The window that numbered a layer in one task is gone.
     assert not hasattr(geojson, "Window") and "Window" not in geojson.write_collection.__code__.co_names
+
+
+def test_steps_of_the_projection_are_shared(spark):
+    points = spark.createDataFrame([([(629145.5, 5221222.25), (400000.0, 10.5)],)], "p array<struct<x:double,y:double>>")
+    one = F.transform("p", lambda p: F.struct(*[c.alias(n) for c, n in zip(g.utm35_to_lonlat(p["x"], p["y"]), "xy")]))
+    many = g.points_to_lonlat(F.col("p"))
+    assert points.select((one == many).alias("same")).first().same
+    # Written out in one step, the series is worked out anew at each use.
+    sines = lambda c: points.select(c.alias("c"))._jdf.queryExecution().optimizedPlan().toString().upper().count("SIN(")
+    assert sines(many) < 25 < sines(one)
