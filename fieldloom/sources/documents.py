@@ -26,7 +26,7 @@ def write(lines: DataFrame, order: list[str], path: str, head: str, foot: str, s
     The parts are sorted and written by many tasks; only their bytes pass through one stream, which holds a buffer."""
     spark, path = lines.sparkSession, path.rstrip("/")
     parts = f"{path}.parts-{uuid.uuid4().hex}"
-    lines.filter("line IS NOT NULL").orderBy(*order).select("line").write.text(parts)
+    lines.filter("line IS NOT NULL").orderBy(*order).select("line").write.option("compression", "none").text(parts)
     at, conf = spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration()
     store = at(path).getFileSystem(conf)
     names = [s.getPath() for s in store.listStatus(at(parts)) if s.getPath().getName().startswith("part-")]
@@ -45,7 +45,8 @@ def write(lines: DataFrame, order: list[str], path: str, head: str, foot: str, s
         out.write(bytearray(f"{foot}\n".encode()))
     finally:
         out.close()
-    store.rename(at(f"{path}/_part-00000.txt"), at(f"{path}/part-00000.txt"))
+    if not store.rename(at(f"{path}/_part-00000.txt"), at(f"{path}/part-00000.txt")):
+        raise OSError(f"no file could be put into {path}")
     store.create(at(f"{path}/_SUCCESS"), True).close()
     store.delete(at(parts), True)
 
